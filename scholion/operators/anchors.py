@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scholion.functions import vocab
 from scholion.functions.arrays import dedup_ignore_case, let, overlaps
-from scholion.functions.text import alternation, clean
+from scholion.functions.text import any_pattern, clean
 from scholion.sources.routing_config import route_config
 
 ROUTE_STAGE = {"char": "characterization", "prop": "property", "proc": "process"}
@@ -192,7 +192,7 @@ def ratio_conflict(anchor_ratios: Column, ratios: Column) -> Column:
 
 
 def has_variant_marker(text: Column, route: str) -> Column:
-    return text.rlike(alternation(vocab.VARIANT_MARKERS[route]))
+    return any_pattern(text, vocab.VARIANT_MARKERS[route])
 
 
 @dataclass(frozen=True)
@@ -230,7 +230,7 @@ class Anchor:
     def derived_other_form(self, forms: Column, text: Column) -> Column:
         """A fluid anchor, while the text speaks of turning it into another form."""
         outside = F.size(F.array_except(self.widen(forms), self.widen(self.forms))) > 0
-        return self.is_fluid & (F.size(forms) > 0) & outside & text.rlike(alternation(vocab.TRANSITIONS))
+        return self.is_fluid & (F.size(forms) > 0) & outside & any_pattern(text, vocab.TRANSITIONS)
 
 
 def with_anchor_features(samples: DataFrame, route: str) -> DataFrame:

@@ -10,17 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholion.functions import vocab
-from scholion.functions.arrays import let, overlaps, span
-from scholion.functions.text import alternation, any_pattern, any_phrase, clean, split_lines, strip
+from scholion.functions.arrays import let, span
+from scholion.functions.text import alternation, any_pattern, any_phrase, clean, has_required, split_lines, strip
 from scholion.operators.anchors import form_groups, form_mentions, has_variant_marker, ratio_markers
 from scholion.sources.routing_config import RouteConfig, route_config
 
 
 def labels_of(text: Column, config: RouteConfig) -> Column:
     """Dictionary labels whose patterns occur in a text."""
-    tests = [F.when(text.rlike(alternation(ps)), F.lit(label)) for label, ps in config.keywords.items()]
-    return F.when(text.rlike(alternation([p for ps in config.keywords.values() for p in ps])),
-                  F.array_compact(F.array(*tests))).otherwise(F.array().cast("array<string>"))
+    everything = [p for ps in config.keywords.values() for p in ps]
+    return F.when(has_required(text, everything), F.array_compact(F.array(*[
+        F.when(text.rlike(alternation(ps)), F.lit(label)) for label, ps in config.keywords.items()
+    ]))).otherwise(F.array().cast("array<string>"))
 
 
 def section_lines(sections: DataFrame) -> DataFrame:
@@ -31,9 +32,8 @@ def section_lines(sections: DataFrame) -> DataFrame:
 
 def label_lines(lines: DataFrame, route: str) -> DataFrame:
     """Lines that carry at least one dictionary label, with their labels."""
-    config = route_config(route)
-    hit = lines.where(any_pattern(F.col("line"), [p for ps in config.keywords.values() for p in ps]))
-    return hit.withColumn("labels", F.array_sort(labels_of(F.col("line"), config)))
+    labelled = lines.withColumn("labels", F.array_sort(labels_of(F.col("line"), route_config(route))))
+    return labelled.where(F.size("labels") > 0)
 
 
 def process_signals(lines: DataFrame) -> DataFrame:

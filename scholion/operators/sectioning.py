@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholion.functions.arrays import let, span
-from scholion.functions.text import is_blank, split_lines, strip
+from scholion.functions.text import RARE_BREAK, has_text, is_blank, split_lines, strip
 from scholion.sources.corpus import dense_index
 
 # Heading and outline number shapes, and the names of unnamed sections.
 HEADING = r"(?sU)^(#{1,6})[ \t]+(.+?)\s*\z"
+STRIPPED_HEADING = r"(?sU)^\s*#{1,6}[ \t]+.*\S"
 OUTLINE = r"(?U)^(\d+(?:\.\d+)*)(?:\.(?=[^\d]|\z)|\s+|\z)"
 FULL_TEXT, PREFACE, UNTITLED = "__FULL_TEXT__", "__PREFACE__", "__UNTITLED__"
 
@@ -108,9 +109,9 @@ def split_starts(lines: Column) -> Column:
         deep = F.transform(heads, lambda h: _named(
             h["line"], h["level"], F.coalesce(h["outline"], h["level"]), h["title"], h["number"]))
         first = F.get(heads, F.lit(0))["line"]
-        before = F.exists(F.slice(lines, 1, first), lambda x: strip(x) != "")
+        before = F.exists(F.slice(lines, 1, first), has_text)
         return (
-            F.when(F.size(heads) == 0, F.when(F.exists(lines, lambda x: strip(x) != ""), whole)
+            F.when(F.size(heads) == 0, F.when(F.exists(lines, has_text), whole)
                    .otherwise(F.slice(whole, 1, 0)))
             .when(F.exists(heads, lambda h: h["outline"].isNull() | (h["outline"] == 1)), by_top)
             .when(before, F.concat(preface, deep))
@@ -120,10 +121,15 @@ def split_starts(lines: Column) -> Column:
     return let(headings_of(lines), by_heads)
 
 
+def is_body_line(line: Column) -> Column:
+    """Neither blank nor a heading."""
+    return has_text(line) & ~line.rlike(STRIPPED_HEADING)
+
+
 def has_body(lines: Column) -> Column:
-    """A line that is neither blank nor a heading exists."""
-    return F.exists(lines, lambda x: F.exists(
-        split_lines(x), lambda y: let(strip(y), lambda z: (z != "") & ~z.rlike(HEADING))))
+    """A body line exists; rare separators inside a line count as line breaks too."""
+    return F.exists(lines, lambda x: F.when(
+        x.rlike(RARE_BREAK), F.exists(split_lines(x), is_body_line)).otherwise(is_body_line(x)))
 
 
 def _with_ends(starts: Column, total: Column) -> Column:
@@ -155,8 +161,8 @@ def _block_rows(lines: Column, blocks: Column) -> Column:
         lengths = F.transform(bs, lambda b: F.length(b["raw"]))
         lead = F.coalesce(F.aggregate(
             F.slice(lines, 1, F.get(bs, F.lit(0))["line"]), F.lit(0), lambda n, x: n + F.length(x) + 1), F.lit(0))
-        return let(lengths, lambda ns: F.transform(bs, lambda b, k: let(
-            lead + F.aggregate(F.slice(ns, 1, k), F.lit(0), lambda a, n: a + n),
+        return let(F.struct(lengths.alias("ns"), lead.alias("lead")), lambda v: F.transform(bs, lambda b, k: let(
+            v["lead"] + F.aggregate(F.slice(v["ns"], 1, k), F.lit(0), lambda a, n: a + n),
             lambda start: F.struct(
                 (k + 1).alias("section_index"),
                 b["header_level"].alias("header_level"),
@@ -170,7 +176,7 @@ def _block_rows(lines: Column, blocks: Column) -> Column:
                      .otherwise(0)).cast("int"),
                     F.when(b["stop"] < total, b["stop"] + 1).otherwise(total).cast("int"),
                 ).alias("line_span"),
-                F.array(start.cast("int"), (start + F.get(ns, k)).cast("int")).alias("char_span"),
+                F.array(start.cast("int"), (start + F.get(v["ns"], k)).cast("int")).alias("char_span"),
                 strip(b["raw"]).alias("content"),
             ),
         )))
@@ -189,21 +195,26 @@ def split_sections(docs: DataFrame, run_id: str, collapse: bool = True) -> DataF
         *[c for c in ("doc_index", "doc_id", "file_name") if c in docs.columns],
         F.explode(let(F.split("content", "\n", -1), blocks)).alias("b"),
     )
-    lines = split_lines(F.col("content"))
+    counts = let(split_lines(F.col("content")), lambda lines: F.struct(
+        F.size(F.filter(lines, has_text)).alias("content_non_empty_lines"),
+        F.size(F.filter(lines, is_body_line)).alias("effective_body_non_empty_lines")))
     return (
         exploded.select("*", "b.*").drop("b")
         .withColumn("chunk_index", F.col("section_index") - 1)
         .withColumn("block_id", F.format_string("b%04d", F.col("section_index")))
         .withColumn("outline_level", F.col("title_level"))
         .withColumn("content_char_len", F.length("content"))
-        .withColumn("content_non_empty_lines", F.size(F.filter(lines, lambda x: strip(x) != "")))
-        .withColumn(
-            "effective_body_non_empty_lines",
-            F.size(F.filter(lines, lambda x: let(strip(x), lambda z: (z != "") & ~z.rlike(HEADING)))),
-        )
+        .withColumn("_counts", counts)
+        .select("*", "_counts.*").drop("_counts")
     )
 
 
+def section_metrics(sections: DataFrame) -> DataFrame:
+    """The size columns of each section."""
+    return sections.select("run_id", "doc_id", "chunk_index", "content_char_len", "content_non_empty_lines",
+                           "effective_body_non_empty_lines")
+
+
 def render_human_chunks(sections: DataFrame) -> DataFrame:
     """Readable text of each block: a header of metadata, then numbered lines."""
     def shown(name: str) -> Column:

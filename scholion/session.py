@@ -18,6 +18,8 @@ def build_session(app_name: str, master: str | None = None, shuffle_partitions:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # the expressions are large; recording a call site for each part slows planning
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.driver.memory", "12g")
