@@ -49,3 +49,8 @@ def sorted_set(nested: Column) -> Column:
 def span(items: Column, start: Column, end: Column) -> Column:
     """Elements start..end, both zero-based and inclusive."""
     return F.slice(items, start + 1, F.greatest(end - start + 1, F.lit(0)))
+
+
+def sort_by(items: Column, field: str) -> Column:
+    """Structs in order of one field; the others need not be comparable."""
+    return F.array_sort(items, lambda a, b: F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0))
