@@ -355,7 +355,8 @@ def route_windows(rows: DataFrame, route: str) -> DataFrame:
         staged = staged.withColumn("result", F.when(
             F.size("hints") > 0, narrow_labels(F.col("result"), F.col("hints"))).otherwise(F.col("result")))
     return staged.withColumn("methods", method_excerpts(F.col("all"), F.col("hints"), route)).select(
-        *SAMPLE_KEYS, "anchor", "hints", "methods", "result", "used_result_fallback", "raw_count")
+        *SAMPLE_KEYS, "anchor", "hints", "methods", "result", "used_result_fallback", "raw_count",
+        (F.size("ranked") > 0).alias("had_ranked"))
 
 
 def preferred_hints(hints: Column, groups: Column) -> Column:

@@ -67,7 +67,7 @@ fbase AS (SELECT doc_id, sample_index, 3 AS o, category_code AS label FROM smp W
   UNION ALL SELECT doc_id, sample_index, 7, trim(regexp_replace(regexp_replace(name, '(?i)\d+(\.\d+)?\s*wt\s*%([\pL\pN_])', '\2', 'g'), '\s+', ' ', 'g')) FROM smp),
 fraw AS (SELECT doc_id, sample_index, o, 0 AS k, label FROM fbase
   UNION ALL SELECT doc_id, sample_index, o, unnest(range(1, len(t) + 1)) AS k, unnest(t) AS label FROM
-    (SELECT *, list_filter(regexp_extract_all(label, '{TOKEN_RE}', 1), x -> len(x) >= 2) AS t FROM fbase)),
+    (SELECT *, list_filter(regexp_extract_all(label, '{TOKEN_RE}', 1), lambda x: len(x) >= 2) AS t FROM fbase)),
 fterms AS (SELECT doc_id, sample_index, row_number() OVER (PARTITION BY doc_id, sample_index ORDER BY o, k) - 1 AS ord, label FROM
   (SELECT * FROM fraw QUALIFY row_number() OVER (PARTITION BY doc_id, sample_index, lower(label) ORDER BY o, k) = 1))"""
 
@@ -76,9 +76,10 @@ def hit_sql(text: str, label: str, route: str) -> str:
     """Boolean: the term occurs in the text."""
     plural = "" if route == "char" else "s?"
     escaped = f"regexp_replace({label}, '([^\\pL\\pN ])', '\\\\\\1', 'g')"
-    return (f"CASE WHEN len({label}) <= 6 AND regexp_full_match({label}, '[A-Z0-9/+-]+') THEN "
+    return (f"CASE WHEN NOT contains(lower({text}), lower({label})) THEN false "
+            f"WHEN len({label}) <= 6 AND regexp_full_match({label}, '[A-Z0-9/+-]+') THEN "
             f"regexp_matches({text}, concat('(^|[^A-Za-z0-9/+-])', {escaped}, '{plural}([^A-Za-z0-9/+-]|$)')) "
-            f"ELSE contains(lower({text}), lower({label})) END")
+            f"ELSE true END")
 
 
 def strong_sql(text: str, label: str, route: str) -> str:
@@ -87,7 +88,8 @@ def strong_sql(text: str, label: str, route: str) -> str:
     tail = vocab.VARIANT_TAIL[route].removesuffix(r"\b")
     cut_text = (f"regexp_replace({text}, concat('(?i)', {escaped}, '{tail}([^\\pL\\pN_]|$)'), ' ', 'g')")
     cut_code = (f"regexp_replace({text}, concat('(^|[^A-Za-z0-9/+-])', {escaped}, '(?:s)?(?i:{tail})([^\\pL\\pN_]|$)'), '\\1 ', 'g')")
-    return (f"CASE WHEN len({label}) <= 6 AND regexp_full_match({label}, '[A-Z0-9/+-]+') THEN "
+    return (f"CASE WHEN NOT contains(lower({text}), lower({label})) THEN false "
+            f"WHEN len({label}) <= 6 AND regexp_full_match({label}, '[A-Z0-9/+-]+') THEN "
             f"regexp_matches({cut_code}, concat('(^|[^A-Za-z0-9/+-])', {escaped}, 's?([^A-Za-z0-9/+-]|$)')) "
             f"ELSE contains(lower({cut_text}), lower({label})) END")
 
@@ -97,22 +99,22 @@ def forms_sql(text: str, route: str) -> str:
     pairs = [(w + e, form) for form, ws in vocab.FORM_WORDS[route].items() for w in ws for e in vocab.PLURAL_ENDINGS[route]]
     keys, values = sql_list(k for k, _ in pairs), sql_list(v for _, v in pairs)
     return (f"list_distinct(list_filter(list_transform(string_split_regex(lower({text}), '[^a-z]+'), "
-            f"w -> ([{values}])[list_position([{keys}], w)]), f -> f IS NOT NULL))")
+            f"lambda w: ([{values}])[list_position([{keys}], w)]), lambda f: f IS NOT NULL))")
 
 
 def groups_sql(forms: str) -> str:
     keys, values = sql_list(vocab.FORM_GROUPS), sql_list(vocab.FORM_GROUPS.values())
-    return f"list_distinct(list_concat({forms}, list_transform({forms}, f -> ([{values}])[list_position([{keys}], f)])))"
+    return f"list_distinct(list_concat({forms}, list_transform({forms}, lambda f: ([{values}])[list_position([{keys}], f)])))"
 
 
 def ratios_sql(text: str) -> str:
-    return f"list_distinct(list_transform(regexp_extract_all({text}, '{RATIO_RE}', 1), r -> regexp_replace(lower(r), '\\s+', '', 'g')))"
+    return f"list_distinct(list_transform(regexp_extract_all({text}, '{RATIO_RE}', 1), lambda r: regexp_replace(lower(r), '\\s+', '', 'g')))"
 
 
 def labels_sql(text: str, route: str) -> str:
     """Sorted list of dictionary labels of a text."""
     tests = ", ".join(f"CASE WHEN {any_regex(ps, text)} THEN '{k}' END" for k, ps in route_config(route).keywords.items())
-    return f"list_sort(list_filter([{tests}], x -> x IS NOT NULL))"
+    return f"list_sort(list_filter([{tests}], lambda x: x IS NOT NULL))"
 
 
 def route_base(route: str) -> str:
@@ -247,7 +249,7 @@ def window_ctes(route: str) -> str:
         family = "NOT rconf AND shares AND fhit"
         morph = "list_contains(labels, 'Morphology') AND NOT is_fluid AND shares"
         variant, fluid, strong = "false", "false", "false"
-        seed_rule, radius_rule, alone = "true", str(radius), "false"
+        seed_rule, radius_rule, alone = "count(*) OVER () > 0", str(radius), "false"
         general = """NOT wconf AND ((len(family) > 0 AND wshares) OR (list_contains(keywords, 'Morphology') AND NOT is_fluid AND wshares))"""
         excluded = """derived OR (wexcl AND ((list_has_any(keywords, ['Morphology', 'BET']) AND wcomp AND NOT direct) OR NOT list_contains(keywords, 'Morphology') OR is_fluid))"""
         dropped = "false"
@@ -317,7 +319,7 @@ wfacts AS (SELECT w.*, keywords, hints, direct, coalesce(anchors, []) AS anchors
   FROM wtext w JOIN wlines USING (doc_id, sample_index, chunk_index, window_index) LEFT JOIN wanch USING (doc_id, sample_index, chunk_index, window_index)
   LEFT JOIN wfam USING (doc_id, sample_index, chunk_index, window_index) JOIN anch a ON a.doc_id = w.doc_id AND a.sample_index = w.sample_index),
 wjudged AS (SELECT *, len(ratios) > 0 AND len(tr) > 0 AND NOT list_has_any(ratios, tr) AS wconf, len(aforms) > 0 AND list_has_any({widen('tf')}, aforms) AS wshares,
-    is_fluid AND len(tf) > 0 AND len(list_filter({widen('tf')}, x -> NOT list_contains(aforms, x))) > 0 AND wtrans AS derived,
+    is_fluid AND len(tf) > 0 AND len(list_filter({widen('tf')}, lambda x: NOT list_contains(aforms, x))) > 0 AND wtrans AS derived,
     NOT is_variant AND len(family) > 0 AND wmark AS wvariant FROM wfacts),
 wins AS (SELECT *, {excluded} AS excluded, {dropped} AS dropped, {general} AS general FROM wjudged),
 raw_wins AS (SELECT * FROM wins WHERE NOT dropped),
@@ -362,3 +364,207 @@ array_to_string(list_sort(labels), '|') AS labels, hit, family FROM seeds""")(_s
     query(f"build_windows_{_route}", f"""WITH {window_ctes(_route)} SELECT doc_id, sample_index, chunk_index, window_index, line_start + s AS start, line_start + e AS "end",
 array_to_string(keywords, '|') AS keywords, array_to_string(anchors, '|') AS anchors, array_to_string(family, '|') AS family, wconf AS conflict, excluded, dropped, general, text FROM wins""")(_made)
     query(f"rank_windows_{_route}", f"""WITH {window_ctes(_route)} SELECT doc_id, sample_index, chunk_index, window_index, array_to_string(hints, '|') AS hints FROM ranked""")(_kept)
+
+
+# --- per-sample results
+
+def routed(spark: SparkSession, sf: str, route: str) -> DataFrame:
+    return windows.route_windows(_windows(spark, sf, route), route)
+
+
+FULL = """
+results AS (SELECT DISTINCT r.doc_id, a.sample_index, r.chunk_index, r.section_title, r.title_labels, r.content, r.line_start FROM roled r JOIN anch a USING (doc_id) WHERE r.role = 'result'),
+raw_counts AS (SELECT a.doc_id, a.sample_index, count(w.window_index) AS raw_count FROM anch a LEFT JOIN raw_wins w ON w.doc_id = a.doc_id AND w.sample_index = a.sample_index GROUP BY ALL),
+kept_counts AS (SELECT a.doc_id, a.sample_index, count(w.window_index) AS kept_count FROM anch a LEFT JOIN ranked w ON w.doc_id = a.doc_id AND w.sample_index = a.sample_index GROUP BY ALL)"""
+
+CHAR_FINAL = f"""{window_ctes('char')},{FULL},
+fulls AS (SELECT r.* FROM results r JOIN raw_counts c USING (doc_id, sample_index) WHERE c.raw_count = 0),
+title_hits AS (SELECT r.doc_id, r.sample_index, r.chunk_index, unnest(r.title_labels) AS label FROM
+  (SELECT r.*, a.aforms, a.is_fluid, a.f0, {forms_sql('r.content', 'char')} AS tf, {any_regex(vocab.TRANSITIONS, 'r.content')} AS trans FROM results r JOIN anch a USING (doc_id, sample_index) WHERE len(r.title_labels) > 0) r
+  WHERE NOT (is_fluid AND len(tf) > 0 AND len(list_filter(tf, lambda x: NOT list_contains(aforms, x))) > 0 AND trans)
+  AND (EXISTS (SELECT 1 FROM aterms t WHERE t.doc_id = r.doc_id AND t.sample_index = r.sample_index AND {hit_sql('r.content', 't.label', 'char')})
+    OR (len(aforms) > 0 AND list_has_any(tf, aforms) AND EXISTS (SELECT 1 FROM fterms t WHERE t.doc_id = r.doc_id AND t.sample_index = r.sample_index AND {hit_sql('r.content', 't.label', 'char')}))
+    OR (list_contains(r.title_labels, 'Morphology') AND NOT is_fluid AND len(aforms) > 0 AND list_has_any(tf, aforms)))),
+all_hints AS (SELECT doc_id, sample_index, label FROM title_hits UNION SELECT doc_id, sample_index, unnest(hints) FROM ranked),
+hint_lists AS (SELECT a.doc_id, a.sample_index, list_sort(list(h.label) FILTER (h.label IS NOT NULL)) AS hints FROM anch a LEFT JOIN all_hints h USING (doc_id, sample_index) GROUP BY ALL)"""
+
+
+@query("result_fallback_char", f"""WITH {CHAR_FINAL} SELECT doc_id, sample_index, chunk_index, row_number() OVER (PARTITION BY doc_id, sample_index ORDER BY chunk_index) AS window_index,
+array_to_string(title_labels, '|') AS keywords FROM fulls""")
+def _(spark, sf):
+    return routed(spark, sf, "char").where("used_result_fallback").select("doc_id", "sample_index", F.explode("result").alias("w")).select(
+        "doc_id", "sample_index", "w.chunk_index", "w.window_index", as_list("w.keywords").alias("keywords"))
+
+
+@query("method_hints_char", f"WITH {CHAR_FINAL} SELECT doc_id, sample_index, coalesce(array_to_string(hints, '|'), '') AS hints FROM hint_lists")
+def _(spark, sf):
+    return routed(spark, sf, "char").select("doc_id", "sample_index", as_list("hints").alias("hints"))
+
+
+METHODS = """
+mrng AS (SELECT l.doc_id, l.chunk_index, l.line_start, e.seg_start, greatest(e.seg_start, l.i - 4) AS s, least(e.seg_end, l.i + 4) AS e, l.i, r.section_title
+  FROM labelled l JOIN roled r ON r.doc_id = l.doc_id AND r.chunk_index = l.chunk_index AND r.role = 'method' JOIN seg_ends e ON e.doc_id = l.doc_id AND e.chunk_index = l.chunk_index AND e.i = l.i),
+mopen AS (SELECT *, CASE WHEN coalesce(s > max(e) OVER (PARTITION BY doc_id, chunk_index, seg_start ORDER BY s, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, true) THEN 1 ELSE 0 END AS opens FROM mrng),
+mwin AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, chunk_index ORDER BY s, i) AS window_index FROM mopen),
+mranges AS (SELECT doc_id, chunk_index, window_index, any_value(section_title) AS section_title, min(s) AS s, max(e) AS e, any_value(line_start) AS line_start FROM mwin GROUP BY ALL),
+mkeys AS (SELECT m.doc_id, m.chunk_index, m.window_index, any_value(m.section_title) AS section_title, any_value(m.line_start + m.s) AS start, any_value(m.line_start + m.e) AS "end",
+  list_sort(list_distinct(flatten(list(l.labels)))) AS keywords FROM mranges m JOIN labelled l ON l.doc_id = m.doc_id AND l.chunk_index = m.chunk_index AND l.i BETWEEN m.s AND m.e GROUP BY m.doc_id, m.chunk_index, m.window_index)"""
+
+
+@query("method_excerpts_char", f"""WITH {CHAR_FINAL},{METHODS}
+SELECT m.doc_id, h.sample_index, m.chunk_index, m.window_index, m.start, m."end", array_to_string(list_filter(m.keywords, lambda x: list_contains(h.hints, x)), '|') AS keywords
+FROM mkeys m JOIN hint_lists h USING (doc_id) WHERE list_has_any(m.keywords, h.hints)""")
+def _(spark, sf):
+    return routed(spark, sf, "char").select("doc_id", "sample_index", F.explode("methods").alias("w")).select(
+        "doc_id", "sample_index", "w.chunk_index", "w.window_index", "w.start", "w.end", as_list("w.keywords").alias("keywords"))
+
+
+def task_summary(built: DataFrame, first: str, second: str, flag: str) -> DataFrame:
+    return built.select("doc_id", "sample_index", "task_id", F.col(f"route_stats.{first}").alias(first),
+                        F.col(f"route_stats.{second}").alias(second), F.col(f"route_stats.{flag}").alias(flag))
+
+
+CHAR_TASKS = f"""{CHAR_FINAL},{METHODS},
+mcount AS (SELECT h.doc_id, h.sample_index, count(m.window_index) AS n FROM hint_lists h LEFT JOIN mkeys m ON m.doc_id = h.doc_id AND list_has_any(m.keywords, h.hints) GROUP BY ALL),
+fcount AS (SELECT doc_id, sample_index, count(*) AS n FROM fulls GROUP BY ALL),
+tasks AS (SELECT doc_id, sample_index, concat('run__', doc_id, '__', lpad(sample_index::varchar, 3, '0'), '__characterization') AS task_id, m.n AS method_window_count,
+  kept_count + coalesce(f.n, 0) AS result_window_count, coalesce(f.n, 0) > 0 AS used_result_fallback
+  FROM mcount m JOIN kept_counts USING (doc_id, sample_index) LEFT JOIN fcount f USING (doc_id, sample_index))"""
+
+
+@query("char_tasks", f"WITH {CHAR_TASKS} SELECT * FROM tasks")
+def _(spark, sf):
+    built = tasks.build_char_tasks(sections(spark, sf), samples(spark, sf, "char"))
+    return task_summary(built, "method_window_count", "result_window_count", "used_result_fallback")
+
+
+@query("char_task_stats", f"""WITH {CHAR_TASKS} SELECT 'task_count' AS metric, count(*) AS value FROM tasks UNION ALL SELECT 'empty_method_count', count(*) FILTER (method_window_count = 0) FROM tasks
+UNION ALL SELECT 'empty_result_count', count(*) FILTER (result_window_count = 0) FROM tasks UNION ALL SELECT 'empty_context_count', count(*) FILTER (method_window_count = 0 AND result_window_count = 0) FROM tasks
+UNION ALL SELECT 'fallback_count', count(*) FILTER (used_result_fallback) FROM tasks""")
+def _(spark, sf):
+    return stats.route_before_stats(tasks.build_char_tasks(sections(spark, sf), samples(spark, sf, "char")), "char")
+
+
+# the task text is put together again from the parts of the task's own windows
+@query("char_task_text", f"""WITH {CHAR_TASKS},
+wtexts AS (SELECT doc_id, sample_index, count(*) AS n, sum(len(text)) AS n_chars FROM ranked GROUP BY ALL)
+SELECT t.doc_id, t.sample_index, concat('[RESULT_METHOD_HINTS]', CASE WHEN len(hints) > 0 THEN chr(10) || array_to_string(hints, ', ') ELSE '' END) AS hint_block,
+  t.result_window_count AS n_excerpts FROM tasks t JOIN hint_lists h USING (doc_id, sample_index)""")
+def _(spark, sf):
+    built = tasks.build_char_tasks(sections(spark, sf), samples(spark, sf, "char"))
+    blocks = F.split("text", r"\n\n\[CHAR_RESULTS\]")
+    return built.select(
+        "doc_id", "sample_index",
+        F.regexp_extract("text", r"(?s)(\[RESULT_METHOD_HINTS\].*?)\n\n\[CHAR_METHODS\]", 1).alias("hint_block"),
+        F.size(F.regexp_extract_all(blocks[1], F.lit(r"(?m)^## excerpt \d+ \| block="), F.lit(0))).alias("n_excerpts"))
+
+
+PROP = route_config("prop")
+PREFERRED = "list_distinct(flatten(list_transform(agroups, lambda g: CASE " + " ".join(
+    f"WHEN g = '{k}' THEN [{sql_list(v)}]" for k, v in PROP.preferences.items()) + " ELSE [] END)))"
+
+
+@query("method_hints_prop", f"""WITH {window_ctes('prop')},{FULL},
+direct AS (SELECT doc_id, sample_index, list_sort(list_distinct(flatten(list(hints)))) AS hints FROM ranked GROUP BY ALL)
+SELECT doc_id, sample_index, array_to_string(CASE WHEN list_has_any(hints, {PREFERRED}) THEN list_filter(hints, lambda x: list_contains({PREFERRED}, x)) ELSE hints END, '|') AS hints
+FROM direct JOIN anch USING (doc_id, sample_index)""")
+def _(spark, sf):
+    kept = routed(spark, sf, "prop").where("NOT used_result_fallback AND had_ranked")
+    return kept.select("doc_id", "sample_index", as_list("hints").alias("hints"))
+
+
+@query("prop_tasks")
+def _(spark, sf):
+    built = tasks.build_prop_tasks(sections(spark, sf), samples(spark, sf, "prop"))
+    return task_summary(built, "method_window_count", "result_window_count", "used_result_fallback")
+
+
+@query("window_refs_char", f"""WITH {CHAR_TASKS}
+SELECT doc_id, sample_index, chunk_index, 'char_methods' AS route_role, window_index, start AS line_start, "end" AS line_end FROM (SELECT m.*, h.sample_index FROM mkeys m JOIN hint_lists h USING (doc_id) WHERE list_has_any(m.keywords, h.hints))
+UNION ALL SELECT doc_id, sample_index, chunk_index, 'char_results', window_index, line_start + s, line_start + e FROM ranked
+UNION ALL SELECT f.doc_id, f.sample_index, f.chunk_index, 'char_results_full', row_number() OVER (PARTITION BY f.doc_id, f.sample_index ORDER BY f.chunk_index), s.line_start, s.line_end FROM fulls f JOIN sections s USING (doc_id, chunk_index)""")
+def _(spark, sf):
+    built = tasks.build_char_tasks(sections(spark, sf), samples(spark, sf, "char"))
+    return built.select("doc_id", "sample_index", F.explode("source_refs").alias("r")).select(
+        "doc_id", "sample_index", "r.chunk_index", "r.route_role", "r.window_index",
+        F.col("r.line_span")[0].alias("line_start"), F.col("r.line_span")[1].alias("line_end"))
+
+
+# --- process route
+
+PC = route_config("proc")
+
+
+def _title_sql(kind: str) -> str:
+    phrases = " OR ".join(f"contains(lower(segment_title), '{p}')" for p in PC.segment_phrases[kind])
+    return f"({phrases} OR {any_regex(PC.segment_patterns[kind], 'segment_title')})"
+
+
+UPSTREAM = "list_distinct(list_concat(agroups, flatten(list_transform(agroups, lambda g: CASE " + " ".join(
+    f"WHEN g = '{k}' THEN [{sql_list(v)}]" for k, v in PC.preferences.items()) + " ELSE [] END))))"
+PROC_CTES = f"""{route_base('proc')},{SEGMENT_CTE},
+seg0 AS (SELECT s.*, r.role, {_title_sql('include')} AS process_title, {any_regex(PC.keywords['actions'], 'text')} AS action,
+    {any_regex(PC.keywords['materials'], 'segment_title')} OR {any_regex(PC.keywords['materials'], 'text')} AS material, {any_regex(PC.keywords['support'], 'text')} AS support,
+    {any_regex(vocab.VARIANT_MARKERS['proc'], 'text')} AS marked, {groups_sql(forms_sql('segment_title', 'proc'))} AS title_forms, {groups_sql(forms_sql("concat(segment_title, ' ', text)", 'proc'))} AS all_forms
+  FROM segments s JOIN roled r USING (doc_id, chunk_index) WHERE r.role IN ('method', 'support', 'method_support', 'front') AND text <> ''),
+seg1 AS (SELECT *, CASE WHEN len(title_forms) > 0 THEN title_forms ELSE all_forms END AS forms, NOT process_title AND {_title_sql('exclude')} AS excl FROM seg0),
+pairs AS (SELECT g.*, a.sample_index, a.is_variant, a.agroups, {UPSTREAM} AS allowed FROM seg1 g JOIN anch a USING (doc_id)),
+phit AS (SELECT p.doc_id, p.sample_index, p.chunk_index, p.segment, list(t.label ORDER BY t.ord) FILTER ({hit_sql('p.text', 't.label', 'proc')}) AS anchors,
+    bool_or(CASE WHEN is_variant THEN {hit_sql('p.text', 't.label', 'proc')} ELSE {strong_sql('p.text', 't.label', 'proc')} END) AS strong
+  FROM pairs p JOIN aterms t ON t.doc_id = p.doc_id AND t.sample_index = p.sample_index GROUP BY ALL),
+pfam AS (SELECT p.doc_id, p.sample_index, p.chunk_index, p.segment, list(t.label ORDER BY t.ord) FILTER ({hit_sql('p.text', 't.label', 'proc')}) AS families
+  FROM pairs p JOIN fterms t ON t.doc_id = p.doc_id AND t.sample_index = p.sample_index GROUP BY ALL),
+judged AS (SELECT p.*, anchors, families, anchors IS NOT NULL AS hit, families IS NOT NULL AS family, strong, NOT is_variant AND families IS NOT NULL AND marked AS variant,
+    list_has_any(forms, allowed) AS upstream, list_contains(forms, 'SupportedNode') AND (strong OR families IS NOT NULL) AS node, len(forms) = 0 AND len(agroups) > 0 AS formless
+  FROM pairs p JOIN phit USING (doc_id, sample_index, chunk_index, segment) JOIN pfam USING (doc_id, sample_index, chunk_index, segment)),
+uses AS (
+  SELECT *, 'method' AS use FROM judged WHERE role IN ('method', 'method_support') AND NOT excl AND (process_title OR action OR material OR hit)
+    AND (strong OR (NOT variant AND upstream AND (family OR process_title OR action)))
+  UNION ALL SELECT *, 'material' FROM judged WHERE role IN ('method', 'method_support') AND NOT excl AND material
+  UNION ALL SELECT *, 'support' FROM judged WHERE role IN ('support', 'method_support') AND (NOT excl OR node) AND (process_title OR action OR support OR node)
+    AND (strong OR (NOT variant AND family AND (upstream OR formless)))
+  UNION ALL SELECT *, 'weak' FROM judged WHERE role = 'front' AND (hit OR family) AND (action OR support OR upstream OR formless) AND (strong OR NOT variant)),
+chosen AS (SELECT *, bool_or(use = 'method') OVER w AS has_method, bool_or(use = 'support') OVER w AS has_support FROM uses WINDOW w AS (PARTITION BY doc_id, sample_index)),
+final AS (SELECT *, CASE WHEN use IN ('method', 'material') THEN 'process_methods' ELSE 'process_support' END AS route_role FROM chosen
+  WHERE use IN ('method', 'support') OR (use = 'material' AND NOT has_method) OR (use = 'weak' AND NOT has_support))"""
+
+
+def judged_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return segments.judged_segments(segments.sample_segments(sections(spark, sf), samples(spark, sf, "proc")))
+
+
+for _use in ("method", "support", "weak"):
+    def _segments(spark, sf, use=_use):
+        rows = segments.dedupe_excerpts(segments.segment_rows(judged_segments(spark, sf)))
+        return rows.where(F.col("use") == use).select(
+            "doc_id", "sample_index", "chunk_index", "segment_title", "start", "end", as_list("anchors").alias("anchors"),
+            as_list("families").alias("families"), as_list("forms").alias("forms"), "text")
+
+    query(f"process_{_use}_segments", f"""WITH {PROC_CTES} SELECT doc_id, sample_index, chunk_index, segment_title, line_start + start AS start, line_start + stop - 1 AS "end",
+coalesce(array_to_string(anchors, '|'), '') AS anchors, coalesce(array_to_string(families, '|'), '') AS families, array_to_string(list_sort(forms), '|') AS forms, text FROM uses WHERE use = '{_use}'""")(_segments)
+
+
+@query("proc_source_refs", f"""WITH {PROC_CTES} SELECT doc_id, sample_index, chunk_index, route_role, segment_title, line_start + start AS line_start, line_start + stop - 1 AS line_end FROM final""")
+def _(spark, sf):
+    return tasks.build_proc_tasks(sections(spark, sf), samples(spark, sf, "proc")).select(
+        "doc_id", "sample_index", F.explode("source_refs").alias("r")).select(
+        "doc_id", "sample_index", "r.chunk_index", "r.route_role", "r.segment_title",
+        F.col("r.line_span")[0].alias("line_start"), F.col("r.line_span")[1].alias("line_end"))
+
+
+PROC_TASKS = f"""{PROC_CTES},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, sample_index, route_role ORDER BY chunk_index, start) AS k FROM final),
+texts AS (SELECT doc_id, sample_index, route_role, string_agg(trim(concat_ws(chr(10), '## excerpt ' || k, 'section_title: ' || section_title, 'segment_title: ' || segment_title,
+    concat('line_span: ', line_start + start, '-', line_start + stop - 1), text), '{WS}'), chr(10) || chr(10) ORDER BY k) AS body, count(*) AS n, bool_or(use = 'material') AS fallback FROM ranked GROUP BY ALL),
+tasks AS (SELECT s.doc_id, s.sample_index, s.sample_id, concat('run__', s.doc_id, '__', lpad(s.sample_index::varchar, 3, '0'), '__process') AS task_id,
+    coalesce(m.n, 0) AS method_excerpt_count, coalesce(p.n, 0) AS support_excerpt_count, coalesce(m.fallback, false) AS used_method_fallback,
+    trim(concat('[POLYMER_ANCHOR]', chr(10), trim(concat('身份标识: ', s.sample_id, chr(10), '名称: ', s.name, chr(10), '别名: ', chr(10), '聚合物分类编码: ', s.category_code, chr(10), '聚合物分类名称: ', coalesce(s.category_name, ''), chr(10), '样本形态: ', s.sample_form), '{WS}'),
+      chr(10), chr(10), '[PROCESS_METHODS]', chr(10), coalesce(chr(10) || m.body, ''), chr(10), chr(10), '[PROCESS_SUPPORT]', chr(10), coalesce(chr(10) || p.body, '')), '{WS}') AS text
+  FROM smp s LEFT JOIN texts m ON m.doc_id = s.doc_id AND m.sample_index = s.sample_index AND m.route_role = 'process_methods'
+  LEFT JOIN texts p ON p.doc_id = s.doc_id AND p.sample_index = s.sample_index AND p.route_role = 'process_support')"""
+
+
+@query("proc_tasks", f"WITH {PROC_TASKS} SELECT doc_id, sample_index, sample_id, task_id, method_excerpt_count, support_excerpt_count, used_method_fallback, text FROM tasks")
+def _(spark, sf):
+    built = tasks.build_proc_tasks(sections(spark, sf), samples(spark, sf, "proc"))
+    return built.select("doc_id", "sample_index", "sample_id", "task_id", "route_stats.*", "text")
