@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scholion.functions.arrays import let
 from scholion.functions.text import SPACE_RUN, strip
@@ -17,7 +18,7 @@ from scholion.session import cut_lineage
 CONTENT_SUFFIX = "_content_list"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(names: pd.Series) -> pd.Series:
     """Compatibility form of names; Spark has no built-in for it."""
     return names.map(lambda n: unicodedata.normalize("NFKC", n), na_action="ignore")
@@ -101,7 +102,7 @@ def _numbered_grams(text: Column, q: int) -> Column:
         g, F.size(F.filter(F.slice(gs, 1, i), lambda x: x == g)).cast("string"))))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series, floor: pd.Series) -> pd.Series:
     """Sequence-matcher ratio; 0 where an upper bound is already below the floor."""
     def one(a: str, b: str, least: float) -> float:
