@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholion.plans import query_routing, query_sections
+from scholion.plans import query_answers, query_routing, query_sections
 
-MODULES = (query_sections, query_routing)
+MODULES = (query_sections, query_routing, query_answers)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
