@@ -27,8 +27,8 @@ def repair_json(text: Column) -> Column:
 
     def unclosed(body: Column) -> Column:
         marks = F.regexp_replace(F.regexp_replace(body, string, ""), r'[^\[\]{}"]', "")
-        pairs = F.aggregate(F.sequence(F.lit(1), F.lit(MAX_NESTING)), marks,
-                            lambda m, _: F.regexp_replace(m, r"\{\}|\[\]", ""))
+        pairs = F.aggregate(F.sequence(F.lit(1), F.lit(MAX_NESTING)), marks, lambda m, _: F.when(
+            m.contains("{}") | m.contains("[]"), F.regexp_replace(m, r"\{\}|\[\]", "")).otherwise(m))
         return F.translate(F.reverse(F.regexp_replace(pairs, r"[\]}]", "")), '{["', '}]"')
 
     def closed(body: Column) -> Column:
@@ -155,24 +155,29 @@ def parse_responses(df: DataFrame, entity: Entity, rules: list[tuple[str, Column
     hold) pairs over ``parse``.
     """
     prior = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
-    staged = df.withColumn("_json", repair_json(F.col("raw_text")))
-    well_formed = F.try_parse_json("_json").isNotNull()
-    staged = staged.withColumn("_ok", F.coalesce(well_formed, F.lit(False))).withColumn(
-        "_read", F.when(F.col("_ok"), read_record(F.col("_json"), entity)))
-    staged = staged.drop("parse").withColumn("parse", F.col("_read.rec"))
+    kept = [c for c in df.columns if c not in ("error", "parse")]
+    body = df.select(*kept, prior.alias("_prior"), _once(repair_json(F.col("raw_text")), "_json"))
+    well_formed = F.coalesce(F.try_parse_json("_json").isNotNull(), F.lit(False))
+    read = F.when(well_formed, read_record(F.col("_json"), entity))
+    staged = body.select(*kept, "_prior", "_json", _once(read, "_read")).withColumn("parse", F.col("_read.rec"))
     errs = F.col("_read.errs")
     if rules:
-        broken = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(True)), F.lit(m)) for m, ok in rules]))
-        errs = F.concat(errs, broken)
-    staged = staged.withColumn("_errs", errs)
+        errs = F.concat(errs, F.array_compact(F.array(*[
+            F.when(~F.coalesce(ok, F.lit(True)), F.lit(m)) for m, ok in rules])))
     error = (
-        F.when(F.col("_json").isNull(), F.lit(NO_JSON))
-        .when(~F.col("_ok"), F.concat(F.lit(BAD_JSON), F.substring("_json", 1, 80)))
-        .when(F.size("_errs") > 0, F.concat(F.lit(BAD_MODEL), F.array_join("_errs", "; ")))
+        F.when(F.col("_prior") != "", F.col("_prior"))
+        .when(F.col("_json").isNull(), F.lit(NO_JSON))
+        .when(F.col("_read").isNull(), F.concat(F.lit(BAD_JSON), F.substring("_json", 1, 80)))
+        .when(F.size(errs) > 0, F.concat(F.lit(BAD_MODEL), F.array_join(errs, "; ")))
     )
-    kept = [c for c in df.columns if c not in ("error", "parse")]
-    return staged.withColumn("_error", F.coalesce(F.when(prior != "", prior), error)).select(
-        *kept, F.when(F.col("_error").isNull(), F.col("parse")).alias("parse"), F.col("_error").alias("error"))
+    return staged.select(*kept, "parse", error.alias("error")).withColumn(
+        "parse", F.when(F.col("error").isNull(), F.col("parse")))
+
+
+def _once(value: Column, name: str) -> Column:
+    """A generator column: filters on it later cannot be pushed below, where the costly
+    expression would be evaluated again for each mention."""
+    return F.stack(F.lit(1), value).alias(name)
 
 
 def is_valid(parse: Column, error: Column) -> Column:
@@ -193,8 +198,8 @@ def prediction_status(preds: DataFrame) -> DataFrame:
 def recover_raw_text(preds: DataFrame, entity: Entity) -> DataFrame:
     """Count a failed record whose raw text is itself a valid answer (no repair)."""
     strict = F.when(F.try_parse_json("raw_text").isNotNull() & F.ltrim("raw_text").startswith("{"), F.col("raw_text"))
-    read = read_record(strict, entity)
-    staged = preds.withColumn("_r", F.when(~is_valid(F.col("parse"), F.col("error")), read))
+    read = F.when(~is_valid(F.col("parse"), F.col("error")), read_record(strict, entity))
+    staged = preds.select("*", _once(read, "_r"))
     good = F.col("_r.rec").isNotNull() & (F.size("_r.errs") == 0)
     return staged.withColumn("parse", F.when(good, F.col("_r.rec")).otherwise(F.col("parse"))).withColumn(
         "error", F.when(~good | good.isNull(), F.col("error"))).drop("_r")

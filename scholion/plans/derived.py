@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scholion.session import spread
+
 RUN_ID = "run"
 
 TITLES = ("Abstract|1 Introduction|2. Experimental|2.1 Materials and Methods|Synthesis of samples.|"
@@ -22,7 +24,7 @@ PHRASES = ("FT-IR|tensile strength|was prepared|thermal conductivity|SEM||higher
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def pick(text: str, index: str) -> str:

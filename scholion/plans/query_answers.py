@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scholion.functions.arrays import let
 from scholion.operators import answers, entities, final, merge, normalize, pairing, predict, stats, validate
 from scholion.plans import derived, query_routing, query_sections
+from scholion.session import cut_lineage
 from scholion.plans.query_sections import SECTION_CTES, ROLE_FLAGS, TAGGED, WS, sections, sql_list
 
 QUERIES: dict = {}
@@ -29,6 +30,11 @@ def parsed(spark: SparkSession, sf: str, route: str) -> DataFrame:
     return answers.parse_responses(make(spark, sf), entities.ROUTE_RESULT[route])
 
 
+def stored(spark: SparkSession, sf: str, route: str) -> DataFrame:
+    """Parsed answers as the model step leaves them: written once, read by later steps."""
+    return cut_lineage(parsed(spark, sf, route))
+
+
 def main_tasks(spark: SparkSession, sf: str) -> DataFrame:
     from scholion.operators.context import build_main_signal_tasks
 
@@ -99,7 +105,7 @@ def _(spark, sf):
 @query("predict_stats", f"""WITH {TASKS_CTE}, p AS (SELECT contains(text, '[RESULTS]') AS failed, cast(substr(doc_id, 2) AS bigint) AS d FROM tagged)
 SELECT 'total_task_count' AS metric, count(*) AS value FROM p UNION ALL SELECT 'existing_done_count', count(*) FILTER (d % 4 = 1 AND d % 7 <> 3) FROM p
 UNION ALL SELECT 'todo_count', count(*) FILTER (NOT (d % 4 = 1 AND d % 7 <> 3)) FROM p UNION ALL SELECT 'success_count', count(*) FILTER (NOT failed) FROM p
-UNION ALL SELECT 'parse_error_count', count(*) FILTER (failed) FROM p UNION ALL SELECT 'invoke_error_count', 0 FROM p GROUP BY ALL""")
+UNION ALL SELECT 'parse_error_count', count(*) FILTER (failed) FROM p UNION ALL SELECT 'invoke_error_count', 0""")
 def _(spark, sf):
     return stats.predict_stats(main_tasks(spark, sf), earlier_answers(spark, sf), predicted(spark, sf))
 
@@ -315,12 +321,12 @@ def _property_rows(df: DataFrame, *keys: str) -> DataFrame:
 
 @query("merge_properties", f"""WITH {MERGED_PROPS.strip()} SELECT task_id, row_number() OVER (PARTITION BY task_id ORDER BY first_ord) - 1 AS pos, category, name, single, note, method, humidity FROM weak WHERE NOT drop""")
 def _(spark, sf):
-    return _property_rows(merge.merge_predictions(parsed(spark, sf, "prop"), "prop"), "task_id")
+    return _property_rows(merge.merge_predictions(stored(spark, sf, "prop"), "prop"), "task_id")
 
 
 @query("drop_weak_properties", f"""WITH {MERGED_PROPS.strip()} SELECT task_id, count(*) AS n_merged, count(*) FILTER (NOT drop) AS n_kept FROM weak GROUP BY task_id""")
 def _(spark, sf):
-    rows = merge.valid_predictions(parsed(spark, sf, "prop"))
+    rows = merge.valid_predictions(stored(spark, sf, "prop"))
     entry = F.struct(*[F.col(f"p.{n}").alias(n) for n in ("category", "name", "value")])
     keyed = rows.select("task_id", F.explode("parse.properties").alias("p")).groupBy(
         "task_id", F.lower("p.category").alias("c"), F.lower("p.name").alias("n")).agg(
@@ -338,15 +344,15 @@ C = derived.char_rule("event_id", "varchar")
 CHAR_ROWS = f"""
 crows AS (SELECT user_id, concat('run__u', user_id, '__characterization') AS task_id, event_id % 3 AS file_order, event_id AS seq, 0 AS j, {C['peak_a']} AS a, {C['peak_b']} AS b,
   {C['mn']} AS mn, {C['mn_text']} AS mn_text, trim({C['sem']}) AS sem FROM events WHERE {derived.VALID_EVENT}),
-peaks AS (SELECT task_id, p, min((file_order, seq, k)) AS at FROM (SELECT task_id, file_order, seq, 0 AS k, a AS p FROM crows UNION ALL SELECT task_id, file_order, seq, 1, b FROM crows) GROUP BY ALL),
-peak_lists AS (SELECT task_id, string_agg(p, '|' ORDER BY at) AS peaks FROM peaks GROUP BY task_id),
+peaks AS (SELECT task_id, p, min((file_order, seq, k)) AS ao FROM (SELECT task_id, file_order, seq, 0 AS k, a AS p FROM crows UNION ALL SELECT task_id, file_order, seq, 1, b FROM crows) GROUP BY ALL),
+peak_lists AS (SELECT task_id, string_agg(p, '|' ORDER BY ao) AS peaks FROM peaks GROUP BY task_id),
 scalars AS (SELECT task_id, CASE WHEN arg_min(mn IS NOT NULL, (file_order, seq)) FILTER (coalesce(mn, mn_text) IS NOT NULL) THEN arg_min(mn, (file_order, seq)) FILTER (mn IS NOT NULL) ELSE {longest('mn_text')} END AS mn,
   {longest('sem')} AS sem FROM crows GROUP BY task_id)"""
 
 
 @query("merge_characterizations", f"WITH {CHAR_ROWS.strip()} SELECT task_id, peaks, mn, sem FROM peak_lists JOIN scalars USING (task_id)")
 def _(spark, sf):
-    return merge.merge_predictions(parsed(spark, sf, "char"), "char").select(
+    return merge.merge_predictions(stored(spark, sf, "char"), "char").select(
         "task_id", F.array_join("payload.ftir.peaks_cm_1", "|").alias("peaks"), F.col("payload.gpc_sec.mn_kda.text").alias("mn"),
         F.col("payload.morphology.sem").alias("sem"))
 
@@ -356,21 +362,21 @@ STEP_ROWS = f"""
 srows AS (SELECT concat('run__u', user_id, '__process') AS task_id, event_id % 3 AS file_order, event_id AS seq, 0 AS j, {ST['product']} AS product, {ST['mass']} AS mass, {ST['material']} AS material,
   {ST['amount']} AS amount, {ST['source']} AS source, {ST['procedure']} AS proc, {ST['atmosphere']} AS atmosphere, {ST['post_a']} AS post_a, {ST['post_b']} AS post_b FROM events WHERE {derived.VALID_EVENT}),
 steps AS (SELECT task_id, lower(product) AS k, min((file_order, seq)) AS first_ord, arg_min(product, (file_order, seq)) AS product, cast(arg_min(mass, (file_order, seq)) FILTER (mass IS NOT NULL) AS double) AS mass FROM srows GROUP BY ALL),
-mats AS (SELECT task_id, lower(product) AS k, lower(material) AS m, arg_min(material, (file_order, seq)) AS material, arg_min(amount, (file_order, seq)) AS amount, {longest('source')} AS source, min((file_order, seq)) AS at FROM srows GROUP BY ALL),
-mat_lists AS (SELECT task_id, k, string_agg(concat_ws(':', material, amount, source), '|' ORDER BY at) AS materials FROM mats GROUP BY ALL),
-conds AS (SELECT task_id, lower(product) AS k, proc, {longest('atmosphere')} AS atmosphere, min((file_order, seq)) AS at FROM srows GROUP BY ALL),
-cond_lists AS (SELECT task_id, k, string_agg(concat_ws(':', proc, atmosphere), '|' ORDER BY at) AS conditions FROM conds GROUP BY ALL),
+mats AS (SELECT task_id, lower(product) AS k, lower(material) AS m, arg_min(material, (file_order, seq)) AS material, arg_min(amount, (file_order, seq)) AS amount, {longest('source')} AS source, min((file_order, seq)) AS ao FROM srows GROUP BY ALL),
+mat_lists AS (SELECT task_id, k, string_agg(concat_ws(':', material, amount, source), '|' ORDER BY ao) AS materials FROM mats GROUP BY ALL),
+conds AS (SELECT task_id, lower(product) AS k, proc, {longest('atmosphere')} AS atmosphere, min((file_order, seq)) AS ao FROM srows GROUP BY ALL),
+cond_lists AS (SELECT task_id, k, string_agg(concat_ws(':', proc, atmosphere), '|' ORDER BY ao) AS conditions FROM conds GROUP BY ALL),
 posts AS (SELECT *, (file_order, seq) = max((file_order, seq)) OVER (PARTITION BY task_id, k) AS is_last FROM
   (SELECT task_id, lower(product) AS k, file_order, seq, 0 AS i, post_a AS v FROM srows UNION ALL SELECT task_id, lower(product), file_order, seq, 1, post_b FROM srows)),
-post_first AS (SELECT task_id, k, is_last, lower(v) AS lv, arg_min(v, (file_order, seq, i)) AS v, min((file_order, seq, i)) AS at FROM posts GROUP BY ALL),
-post_lists AS (SELECT task_id, k, string_agg(v, '|' ORDER BY at) AS post_processing FROM (SELECT task_id, k, v, min(at) AS at FROM post_first GROUP BY ALL) GROUP BY ALL)"""
+post_first AS (SELECT task_id, k, is_last, lower(v) AS lv, arg_min(v, (file_order, seq, i)) AS v, min((file_order, seq, i)) AS ao FROM posts GROUP BY ALL),
+post_lists AS (SELECT task_id, k, string_agg(v, '|' ORDER BY ao) AS post_processing FROM (SELECT task_id, k, v, min(ao) AS ao FROM post_first GROUP BY ALL) GROUP BY ALL)"""
 
 
 @query("merge_process_steps", f"""WITH {STEP_ROWS.strip()} SELECT task_id, row_number() OVER (PARTITION BY task_id ORDER BY first_ord) - 1 AS pos, product, mass, materials, conditions, post_processing
 FROM steps JOIN mat_lists USING (task_id, k) JOIN cond_lists USING (task_id, k) JOIN post_lists USING (task_id, k)""")
 def _(spark, sf):
     s = F.col("s")
-    return merge.merge_predictions(parsed(spark, sf, "proc"), "proc").select("task_id", F.posexplode("payload").alias("pos", "s")).select(
+    return merge.merge_predictions(stored(spark, sf, "proc"), "proc").select("task_id", F.posexplode("payload").alias("pos", "s")).select(
         "task_id", "pos", s["product_name"].alias("product"), s["product_mass"].alias("mass"),
         F.array_join(F.transform(s["materials"], lambda m: F.concat_ws(":", m["name"], m["mass"]["single"]["text"], m["source"])), "|").alias("materials"),
         F.array_join(F.transform(s["conditions"], lambda c: F.concat_ws(":", c["procedure"], c["atmosphere"])), "|").alias("conditions"),
@@ -381,7 +387,7 @@ def _(spark, sf):
 SELECT 'total_task_count' AS metric, count(*) AS value FROM t UNION ALL SELECT 'good_predict_record_count', sum(n) FROM good UNION ALL SELECT 'matched_task_count', count(*) FROM t JOIN good USING (user_id)
 UNION ALL SELECT 'merged_duplicate_count', sum(n - 1) FROM good UNION ALL SELECT 'missing_predict_count', count(*) FROM t WHERE user_id NOT IN (SELECT user_id FROM good)""")
 def _(spark, sf):
-    preds = parsed(spark, sf, "char")
+    preds = stored(spark, sf, "char")
     users = derived.table(spark, sf, "events").select(F.explode(F.array("user_id", F.lit(-1))).alias("u")).distinct()
     tasks = users.select(F.format_string("run__u%d__characterization", "u").alias("task_id"))
     return merge.after_counts(tasks, preds)
@@ -392,7 +398,7 @@ SELECT seq, array_to_string(list_filter([a1, b1, CASE WHEN a2 NOT IN (a1, b1) TH
   CASE WHEN n1 IS NOT NULL THEN n1 WHEN t1 IS NULL THEN coalesce(n2, t2) WHEN t2 IS NOT NULL AND len(t2) > len(t1) THEN t2 ELSE t1 END AS mn,
   CASE WHEN s1 IS NULL THEN s2 WHEN s2 IS NULL OR len(s1) >= len(s2) THEN s1 ELSE s2 END AS sem FROM p""")
 def _(spark, sf):
-    rows = merge.valid_predictions(parsed(spark, sf, "char")).select("seq", F.col("parse.characterization").alias("c"))
+    rows = merge.valid_predictions(stored(spark, sf, "char")).select("seq", F.col("parse.characterization").alias("c"))
     pairs = rows.join(rows.select((F.col("seq") - 1).alias("seq"), F.col("c").alias("d")), "seq")
     merged = pairs.withColumn("m", merge.prune_empty(merge.deep_merge(F.col("c"), F.col("d"), entities.CHARACTERIZATION), entities.CHARACTERIZATION))
     return merged.select("seq", F.array_join("m.ftir.peaks_cm_1", "|").alias("peaks"), F.col("m.gpc_sec.mn_kda.text").alias("mn"), F.col("m.morphology.sem").alias("sem"))
@@ -401,7 +407,7 @@ def _(spark, sf):
 @query("prune_empty", f"""WITH {CHAR_ROWS.strip()} SELECT seq, concat('{{"ftir":{{"peaks_cm_1":["', a, '","', b, '"]}}', coalesce(concat(',"gpc_sec":{{"mn_kda":{{"text":"', coalesce(mn, mn_text), '","is_number":', CASE WHEN mn IS NULL THEN 'false' ELSE 'true' END, '}}}}'), ''),
   coalesce(concat(',"morphology":{{"sem":"', sem, '"}}'), ''), '}}') AS pruned FROM crows""")
 def _(spark, sf):
-    rows = merge.valid_predictions(parsed(spark, sf, "char"))
+    rows = merge.valid_predictions(stored(spark, sf, "char"))
     return rows.select("seq", F.to_json(merge.prune_empty(F.col("parse.characterization"), entities.CHARACTERIZATION)).alias("pruned"))
 
 
@@ -466,7 +472,7 @@ def _(spark, sf):
 def after_rows(spark, sf, route: str) -> DataFrame:
     """Answers as after-stage rows: several payloads per (doc_id, sample_id)."""
     field = merge.PAYLOAD_FIELD[route]
-    return merge.valid_predictions(parsed(spark, sf, route)).select(
+    return merge.valid_predictions(stored(spark, sf, route)).select(
         F.concat(F.lit(" d"), F.regexp_extract("task_id", r"u(\d+)", 1)).alias("doc_id"), F.lit("s1").alias("sample_id"),
         F.struct("file_order", "seq").alias("ord"), F.col(f"parse.{field}").alias("payload"))
 
@@ -502,7 +508,7 @@ def _(spark, sf):
 @query("merge_coverage", f"""WITH u AS (SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 0), g AS (SELECT DISTINCT user_id FROM events WHERE {derived.VALID_EVENT})
 SELECT 'doc_count' AS metric, count(*) AS value FROM u UNION ALL SELECT 'sample_count', 2 * count(*) FROM u UNION ALL SELECT 'characterization_record_count', count(*) FROM g
 UNION ALL SELECT 'properties_record_count', count(*) FROM g UNION ALL SELECT 'matched_characterization_count', count(*) FROM u JOIN g USING (user_id)
-UNION ALL SELECT 'matched_properties_count', count(*) FROM u JOIN g USING (user_id) UNION ALL SELECT 'matched_process_count', 0 FROM u GROUP BY ALL""")
+UNION ALL SELECT 'matched_properties_count', count(*) FROM u JOIN g USING (user_id) UNION ALL SELECT 'matched_process_count', 0""")
 def _(spark, sf):
     return final.merge_coverage(user_documents(spark, sf), payload_tables(spark, sf))
 

@@ -47,3 +47,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that losing an executor does not lose the result."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on inputs that come in fewer pieces than there are cores.
+
+    Large inputs have many splits and pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
