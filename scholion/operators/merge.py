@@ -80,6 +80,10 @@ def deep_merge(left: Column, right: Column, entity: Entity) -> Column:
 
 def prune_empty(rec: Column, entity: Entity) -> Column:
     """Blank texts, empty lists and objects without content become null, at every depth."""
+    return let(rec, lambda r: _pruned(r, entity))
+
+
+def _pruned(rec: Column, entity: Entity) -> Column:
     def one(name: str, kind) -> Column:
         v = rec[name]
         if isinstance(kind, Entity):

@@ -404,8 +404,9 @@ def _(spark, sf):
     return merged.select("seq", F.array_join("m.ftir.peaks_cm_1", "|").alias("peaks"), F.col("m.gpc_sec.mn_kda.text").alias("mn"), F.col("m.morphology.sem").alias("sem"))
 
 
-@query("prune_empty", f"""WITH {CHAR_ROWS.strip()} SELECT seq, concat('{{"ftir":{{"peaks_cm_1":["', a, '","', b, '"]}}', coalesce(concat(',"gpc_sec":{{"mn_kda":{{"text":"', coalesce(mn, mn_text), '","is_number":', CASE WHEN mn IS NULL THEN 'false' ELSE 'true' END, '}}}}'), ''),
-  coalesce(concat(',"morphology":{{"sem":"', sem, '"}}'), ''), '}}') AS pruned FROM crows""")
+@query("prune_empty", f"""WITH {CHAR_ROWS.strip()} SELECT seq, concat('{{"ftir":{{"peaks_cm_1":["', a, '","', b, '"]}}',
+  coalesce(',"gpc_sec":{{"mn_kda":{{"text":"' || coalesce(mn, mn_text) || '","is_number":' || CASE WHEN mn IS NULL THEN 'false' ELSE 'true' END || '}}}}', ''),
+  coalesce(',"morphology":{{"sem":"' || sem || '"}}', ''), '}}') AS pruned FROM crows""")
 def _(spark, sf):
     rows = merge.valid_predictions(stored(spark, sf, "char"))
     return rows.select("seq", F.to_json(merge.prune_empty(F.col("parse.characterization"), entities.CHARACTERIZATION)).alias("pruned"))
