@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from scholion.functions.arrays import dedup_ignore_case, let
 from scholion.functions.text import has_text, strip
-from scholion.operators.entities import EXTRA, NUMBER, TEXT, TEXTS, UNION, UNION_TYPE, Entity, table_schema
+from scholion.operators.entities import EXTRA, NUMBER, TEXT, TEXTS, UNION, Entity, table_schema
 
 # The three kinds of error text.
 NO_JSON, BAD_JSON, BAD_MODEL = "未找到有效的JSON内容", "JSON解析错误: ", "模型验证错误: "

@@ -19,7 +19,7 @@ from scholion.functions.arrays import let, sort_by
 from scholion.functions.text import any_pattern, has_text, strip
 from scholion.operators.answers import is_valid
 from scholion.operators.entities import (
-    CHARACTERIZATION, CONDITION, EXTRA, LOCATION, MATERIAL, NUMBER, PROPERTY, STEP, TEXT, TEXTS, UNION, Entity,
+    CHARACTERIZATION, CONDITION, EXTRA, MATERIAL, NUMBER, PROPERTY, STEP, TEXT, TEXTS, UNION, Entity,
     table_schema,
 )
 

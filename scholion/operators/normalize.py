@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholion.functions.arrays import dedup_by, let, overlaps
+from scholion.functions.arrays import dedup_by, let
 from scholion.functions.text import any_phrase, clean, strip
 from scholion.operators.answers import is_valid
 from scholion.operators.entities import leaf_text

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholion.functions import vocab
 from scholion.functions.arrays import let, overlaps, sorted_set, span
 from scholion.functions.text import any_pattern, strip
 from scholion.operators.anchors import (

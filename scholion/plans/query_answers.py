@@ -9,7 +9,7 @@ from scholion.functions.arrays import let
 from scholion.operators import answers, entities, final, merge, normalize, pairing, predict, stats, validate
 from scholion.plans import derived, query_routing, query_sections
 from scholion.session import cut_lineage
-from scholion.plans.query_sections import SECTION_CTES, ROLE_FLAGS, TAGGED, WS, sections, sql_list
+from scholion.plans.query_sections import SECTION_CTES, ROLE_FLAGS, TAGGED, sections, sql_list
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
