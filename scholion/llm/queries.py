@@ -4,12 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scholion.llm import quality_rules, sharding
+from scholion.llm import bpe, language_id, quality_rules, sharding, token_counts, toxicity
 from scholion.llm.common import table
 
 SHARDS = 8
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def sample_edits(text: str = "text"):
+    """Three edits of a document, drawn from its own text: a cut, an insertion, a replacement."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    n = F.char_length(body).cast("long")
+    part = lambda share, size: F.substring(body, F.floor(n / share).cast("int") + 1, size)
+    step = lambda at, removed, inserted: F.struct(F.floor(at).cast("long").alias("at"), removed.cast("long").alias("removed"), inserted.alias("inserted"))
+    return F.array(step(n / 3, 5 + n % 7, F.lit("")), step(n / 2, F.lit(0), part(4, 12)), step(2 * n / 3, F.lit(4), F.upper(part(5, 6))))
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count(docs.withColumn("edits", sample_edits()), RANKS, PATTERN)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +42,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), SHARDS)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_sharding)}
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN), RANKS, PATTERN)
+    return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_language_id, op3_quality_rules, op6_sharding, op8_byte_bpe, op9_toxicity)}
 ORACLES: dict[str, str] = {}
 
 
