@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.llm import bpe, language_id, quality_rules, sharding, token_counts, toxicity
+from scholion.llm import bpe, decontamination, language_id, near_dedup, quality_rules, sharding, token_counts, toxicity
 from scholion.llm.common import table
 
 SHARDS = 8
@@ -52,8 +52,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_language_id, op3_quality_rules, op6_sharding, op8_byte_bpe, op9_toxicity)}
+    op1_token_counts, op2_language_id, op3_quality_rules, op6_sharding, op7_order_minhash,
+    op8_byte_bpe, op9_toxicity, op10_decontamination)}
 ORACLES: dict[str, str] = {}
 
 
