@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.llm import bpe, decontamination, language_id, near_dedup, quality_rules, sharding, token_counts, toxicity
+from scholion.llm import bpe, decontamination, html_extract, language_id, lm_scoring, near_dedup, quality_rules, sharding, token_counts, toxicity
 from scholion.llm.common import table
 
 SHARDS = 8
@@ -38,6 +38,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extract.extract(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -61,7 +70,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_language_id, op3_quality_rules, op6_sharding, op7_order_minhash,
+    op1_token_counts, op2_language_id, op3_quality_rules, op4_html_extraction, op5_lm_scoring, op6_sharding, op7_order_minhash,
     op8_byte_bpe, op9_toxicity, op10_decontamination)}
 ORACLES: dict[str, str] = {}
 
