@@ -51,11 +51,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), SHARDS)
 
 
-def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN), RANKS, PATTERN)
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens and the checksums of the ids and of the bytes that they decode to."""
+    back = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS, PATTERN)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -69,9 +74,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_language_id, op3_quality_rules, op4_html_extraction, op5_lm_scoring, op6_sharding, op7_order_minhash,
-    op8_byte_bpe, op9_toxicity, op10_decontamination)}
+    op8_byte_bpe, op9_toxicity, op10_decontamination, pipeline)}
 ORACLES: dict[str, str] = {}
 
 
