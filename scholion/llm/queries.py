@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholion.llm import bpe, decontamination, html_extract, language_id, lm_scoring, near_dedup, quality_rules, sharding, token_counts, toxicity
+from scholion.llm import oracles as oracles_sql
 from scholion.llm.common import table
 
 SHARDS = 8
@@ -83,7 +84,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_language_id, op3_quality_rules, op4_html_extraction, op5_lm_scoring, op6_sharding, op7_order_minhash,
     op8_byte_bpe, op9_toxicity, op10_decontamination, pipeline)}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op3_quality_rules": oracles_sql.QUALITY, "op6_sharding": oracles_sql.sharded(SHARDS),
+           "op10_decontamination": oracles_sql.DECONTAMINATION}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
