@@ -18,18 +18,20 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scholion.llm.common import text_key
 
 #: Characters of a chunk and of the overlap with its neighbours.
 CHUNK, OVERLAP = 32_768, 256
 #: Pre-tokens whose ids a worker remembers; bytes of ids in one batch that it returns.
-REMEMBERED, BATCH_BYTES = 400_000, 8_000_000
+REMEMBERED, BATCH_BYTES = 100_000, 4_000_000
+#: Rows that are decoded at once.
+DECODED_ROWS = 200
 
 
 class Vocabulary:
@@ -179,11 +181,15 @@ def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text:
 
 def decode(encoded: DataFrame, ranks: str, pattern: str, ids: str = "ids") -> DataFrame:
     """The rows with ``decoded``, the bytes that their ids stand for; null ids stay null."""
+    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
 
-    @F.pandas_udf("binary")
-    def bytes_of(column: pd.Series) -> pd.Series:
+    def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(ranks, pattern)
-        return column.map(words.decode, na_action="ignore")
-
-    return encoded.withColumn("decoded", bytes_of(F.col(ids)))
-
+        for whole in batches:
+            for low in range(0, whole.num_rows, DECODED_ROWS):
+                batch = whole.slice(low, DECODED_ROWS)
+                column = batch.column(batch.schema.get_field_index(ids))
+                decoded = [words.decode(x.as_py()) if x.is_valid else None for x in column]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"])
+
+    return encoded.mapInArrow(bytes_of, schema)
