@@ -14,32 +14,63 @@ from scholion.operators.entities import EXTRA, NUMBER, TEXT, TEXTS, UNION, Entit
 
 # The three kinds of error text.
 NO_JSON, BAD_JSON, BAD_MODEL = "未找到有效的JSON内容", "JSON解析错误: ", "模型验证错误: "
-MAX_NESTING = 64
+STRING = r'"(?:\\.|[^"\\])*"'
+#: What a text that was cut off may end with after its last complete member.
+CUT_MEMBER = r'(?s)(?:,\s*|(?<=[{\[])\s*)(?:"(?:\\.|[^"\\])*"?\s*:?\s*)?[^\s"{}\[\],:]*\s*\z'
+
+
+def _unclosed(body: Column) -> Column:
+    """The marks that close what the text leaves open, innermost first.
+
+    One pass over the marks with a stack of those that are open, however deep.
+    """
+    marks = F.regexp_replace(F.regexp_replace(body, STRING, ""), r'[^\[\]{}"]', "")
+
+    def step(stack: Column, mark: Column) -> Column:
+        paired = (stack.endswith("{") & (mark == "}")) | (stack.endswith("[") & (mark == "]"))
+        return F.when(paired, F.left(stack, F.length(stack) - 1)).otherwise(F.concat(stack, mark))
+
+    left = F.aggregate(F.split(marks, ""), F.lit(""), step)
+    return F.translate(F.reverse(F.regexp_replace(left, r"[\]}]", "")), '{["', '}]"')
+
+
+def _first_object(body: Column) -> Column:
+    """The text up to the bracket that closes its first one; null if none does."""
+    pieces = F.regexp_extract_all(body, F.lit(rf'{STRING}|[{{}}\[\]]|[^"{{}}\[\]]+|"'), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("length"), F.lit(False).alias("closed"))
+
+    def step(at: Column, piece: Column) -> Column:
+        depth = at["depth"] + F.when(piece.isin("{", "["), 1).when(piece.isin("}", "]"), -1).otherwise(0)
+        return F.when(at["closed"], at).otherwise(F.struct(
+            depth.alias("depth"), (at["length"] + F.length(piece)).alias("length"), (depth <= 0).alias("closed")))
+
+    return let(F.aggregate(pieces, start, step), lambda at: F.when(at["closed"], F.left(body, at["length"])))
 
 
 def repair_json(text: Column) -> Column:
     """The JSON object inside a text with the common breakages mended; null without one.
 
-    Text around the object (prose, code fences) is cut off, trailing commas are dropped,
-    an open string and open brackets at the end are closed.
+    Text around the first complete object (prose, code fences) is cut off and trailing commas
+    are dropped. Where the object is cut off, an open string and open brackets are closed, at
+    the end or else after the last complete member.
     """
-    string = r'"(?:\\.|[^"\\])*"'
-
-    def unclosed(body: Column) -> Column:
-        marks = F.regexp_replace(F.regexp_replace(body, string, ""), r'[^\[\]{}"]', "")
-        pairs = F.aggregate(F.sequence(F.lit(1), F.lit(MAX_NESTING)), marks, lambda m, _: F.when(
-            m.contains("{}") | m.contains("[]"), F.regexp_replace(m, r"\{\}|\[\]", "")).otherwise(m))
-        return F.translate(F.reverse(F.regexp_replace(pairs, r"[\]}]", "")), '{["', '}]"')
+    def tidy(body: Column) -> Column:
+        return F.regexp_replace(body, rf"({STRING})|,(?=\s*[}}\]])", "$1")
 
     def closed(body: Column) -> Column:
-        return F.concat(body, unclosed(body))
+        return F.concat(body, _unclosed(body))
+
+    def open_ended(body: Column) -> Column:
+        return F.regexp_replace(body, r"(?s)\s*```\s*\z", "")
+
+    def mended(body: Column) -> Column:
+        cut_off = let(open_ended(body), lambda rest: let(tidy(closed(rest)), lambda whole: F.when(
+            F.try_parse_json(whole).isNotNull(), whole).otherwise(
+            tidy(closed(F.regexp_replace(rest, CUT_MEMBER, ""))))))
+        return F.coalesce(tidy(_first_object(body)), cut_off)
 
     start = F.instr(text, "{")
-    mended = let(F.substr(text, start), lambda body: let(
-        F.regexp_extract(body, r"(?s)\A.*\}", 0),
-        lambda cut: F.when((cut != "") & (unclosed(cut) == ""), cut).otherwise(
-            closed(F.regexp_replace(body, r"(?s)\s*```\s*\z", "")))))
-    return F.when(start > 0, F.regexp_replace(mended, rf"({string})|,(?=\s*[}}\]])", "$1"))
+    return F.when(start > 0, let(F.substr(text, start), mended))
 
 
 def _shallow(entity: Entity) -> T.StructType:
@@ -103,7 +134,7 @@ def read_record(text: Column, entity: Entity, path: str = "") -> Column:
         for n, k, v in nested:
             if n in entity.required and isinstance(k, Entity):
                 errs.append(F.when(v.isNull(), F.array(F.lit(f"{path}{n}: missing"))))
-        if not entity.open:
+        if entity.strict:
             extra = F.array_except(keys, F.array(*[F.lit(key) for _, key, _ in entity.fields]))
             errs.append(F.transform(extra, lambda k: F.concat(F.lit(f"{path}"), k, F.lit(": unknown key"))))
 
@@ -167,7 +198,7 @@ def parse_responses(df: DataFrame, entity: Entity, rules: list[tuple[str, Column
     error = (
         F.when(F.col("_prior") != "", F.col("_prior"))
         .when(F.col("_json").isNull(), F.lit(NO_JSON))
-        .when(F.col("_read").isNull(), F.concat(F.lit(BAD_JSON), F.substring("_json", 1, 80)))
+        .when(F.col("_read").isNull(), F.concat(F.lit(BAD_JSON), F.col("_json")))
         .when(F.size(errs) > 0, F.concat(F.lit(BAD_MODEL), F.array_join(errs, "; ")))
     )
     return staged.select(*kept, "parse", error.alias("error")).withColumn(

@@ -7,7 +7,7 @@ so a cast renames.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +18,29 @@ TEXT, UNION, NUMBER, TEXTS = "text", "union", "number", "texts"
 
 @dataclass(frozen=True)
 class Entity:
-    """Fields as (name, answer key, kind); kind is a scalar kind, an Entity or [Entity]."""
+    """Fields as (name, answer key, kind); kind is a scalar kind, an Entity or [Entity].
+
+    Keys that are no field are ignored; ``strict`` reports them, ``open`` keeps them.
+    """
 
     fields: tuple
     required: tuple[str, ...] = ()
     open: bool = False
+    strict: bool = False
     renames: dict[str, str] = field(default_factory=dict)
 
     def __hash__(self) -> int:
         return hash(self.fields)
 
 
+def strict(entity: Entity) -> Entity:
+    """The entity and all within it, reporting unknown keys where they aren't kept."""
+    def one(kind):
+        return strict(kind) if isinstance(kind, Entity) else [strict(kind[0])] if isinstance(kind, list) else kind
+
+    return replace(entity, fields=tuple((n, k, one(kind)) for n, k, kind in entity.fields), strict=not entity.open)
+
+
 def _text_fields(*pairs: tuple[str, str]) -> tuple:
     return tuple((name, key, TEXT) for name, key in pairs)
 
@@ -67,7 +79,7 @@ CHARACTERIZATION = Entity((
     ("contact_angle", "接触角", Entity(_METHOD + (("angles_deg", "接触角_deg", TEXTS),))),
     ("elemental", "元素分析", Entity(_METHOD + (("composition", "元素组成", TEXTS),))),
 ))
-CHAR_RESULT = Entity((("characterization", "表征", CHARACTERIZATION), ("why", "why", TEXT)))
+CHAR_RESULT = strict(Entity((("characterization", "表征", CHARACTERIZATION), ("why", "why", TEXT))))
 
 SCALAR_VALUE = Entity((
     ("single", "单值", UNION), ("minimum", "最小", UNION), ("maximum", "最大", UNION), ("unit", "单位", TEXT),
@@ -85,7 +97,7 @@ PROPERTY = Entity((
     ("category", "类别", TEXT), ("name", "名称", TEXT), ("abbreviation", "缩写", TEXT), ("value", "值", SCALAR_VALUE),
     ("conditions", "测试条件", TEST_CONDITIONS),
 ), required=("category", "name", "value", "conditions"))
-PROP_RESULT = Entity((("properties", "性质", [PROPERTY]), ("why", "why", TEXT)))
+PROP_RESULT = strict(Entity((("properties", "性质", [PROPERTY]), ("why", "why", TEXT))))
 
 PROCESS_VALUE = Entity((("single", "单值", UNION), ("unit", "单位", TEXT)))
 MATERIAL = Entity(_text_fields(
@@ -105,7 +117,7 @@ STEP = Entity((
     ("yield_percent", "产物收率百分比", NUMBER), ("materials", "原料", [MATERIAL]), ("conditions", "反应条件", [CONDITION]),
     ("post_processing", "后处理步骤", TEXTS), ("location", "位置索引", LOCATION),
 ), required=("product_name",))
-PROC_RESULT = Entity((("steps", "工艺流程", [STEP]), ("why", "why", TEXT)))
+PROC_RESULT = strict(Entity((("steps", "工艺流程", [STEP]), ("why", "why", TEXT))))
 
 ROUTE_RESULT = {"main": MAIN_SIGNAL, "char": CHAR_RESULT, "prop": PROP_RESULT, "proc": PROC_RESULT}
 

@@ -175,7 +175,7 @@ def rebuild(entity: Entity, scalars: Column, lists: Column, prefix: str = "") ->
         mark = f"{prefix}{EXTRA}."
         own = F.map_filter(scalars, lambda k, v: k.startswith(mark))
         fields.append(F.transform_values(
-            F.transform_keys(own, lambda k, v: F.substring(k, len(mark) + 1, 10_000)),
+            F.transform_keys(own, lambda k, v: F.substr(k, F.lit(len(mark) + 1))),
             lambda k, v: v["text"]).alias(EXTRA))
     return F.struct(*fields)
 

@@ -30,7 +30,7 @@ def normalize_raw(raw: DataFrame, order_by: str = "file_name", strict: bool = Fa
         )
     content = F.coalesce(F.col("content").cast("string"), F.lit(""))
     fallback = is_blank(F.col("md5"))
-    numbered = dense_index(raw, order_by, "doc_index", tie=F.xxhash64("file_name", "md5"))
+    numbered = dense_index(raw, order_by, "doc_index", tie=[c for c in ("file_name", "md5") if c != order_by])
     return numbered.select(
         "doc_index",
         F.when(fallback, F.md5(content.cast("binary"))).otherwise(F.lower(strip(F.col("md5")))).alias("doc_id"),

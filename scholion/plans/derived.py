@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.session import spread
+from scholion.session import dealt
 
 RUN_ID = "run"
 
@@ -24,7 +24,7 @@ PHRASES = ("FT-IR|tensile strength|was prepared|thermal conductivity|SEM||higher
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def pick(text: str, index: str) -> str:

@@ -450,24 +450,55 @@ def _(spark, sf):
     return derived.table(spark, sf, "events").select("event_id", F.array_join(answers.read_record(text, entities.PROP_RESULT)["errs"], "; ").alias("errors"))
 
 
-@query("validate_samples", """SELECT doc_id, 'A|B' AS names, 'x' AS aliases FROM documents""")
+@query("validate_samples", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source ELSE source || '|' || lang END AS names, lang AS aliases FROM documents""")
 def _(spark, sf):
-    text = F.expr("concat('{\"文献信息\":{},\"why\":\"w\",\"聚合物\":[{\"名称\":\"A\",\"别名\":[\"x\",\" X \",\"a\"]},{\"名称\":\" a \",\"样本形态\":null},{\"名称\":\"B\",\"别名\":[]}],\"n\":', doc_id, '}')")
+    text = F.expr("concat('{\"文献信息\":{},\"why\":\"w\",\"聚合物\":[{\"名称\":\"', source, '\",\"别名\":[\"', lang, '\",\" ', upper(lang), ' \",\"', upper(source), '\"]},{\"名称\":\" ', "
+                  "CASE WHEN doc_id % 2 = 0 THEN upper(source) ELSE lang END, ' \",\"样本形态\":null}],\"n\":', n_chars, '}')")
     rows = derived.table(spark, sf, "documents").select("doc_id", validate.clean_main_signal(
         answers.read_record(text, entities.MAIN_SIGNAL)["rec"]).alias("m"))
     return rows.select("doc_id", F.array_join(F.transform("m.samples", lambda s: s["name"]), "|").alias("names"),
                        F.array_join(F.get("m.samples", F.lit(0))["aliases"], "|").alias("aliases"))
 
 
-@query("validate_material_ids", """SELECT doc_id, 'Z1|Z2' AS ids, 'a' AS aliases FROM documents""")
+@query("validate_material_ids", """SELECT doc_id, CASE WHEN n_chars % 3 = 0 THEN source ELSE source || '|' || lang END AS ids, lang AS aliases FROM documents""")
 def _(spark, sf):
-    text = F.expr("concat('{\"why\":\"', doc_id, '\",\"material_ids\":[{\"id\":\"Z1\",\"aliases\":[\"a\",\"A \"],\"why\":\"w\"},{\"id\":\" z1\",\"why\":\"w\"},{\"id\":\"Z2\",\"why\":\"w\"}]}')")
+    text = F.expr("concat('{\"why\":\"', n_chars, '\",\"material_ids\":[{\"id\":\"', source, '\",\"aliases\":[\"', lang, '\",\"', upper(lang), ' \"],\"why\":\"w\"},{\"id\":\" ', "
+                  "CASE WHEN n_chars % 3 = 0 THEN upper(source) ELSE lang END, '\",\"why\":\"w\"}]}')")
     rows = derived.table(spark, sf, "documents").select("doc_id", validate.clean_material_ids(
         answers.read_record(text, entities.MATERIAL_IDS)["rec"]).alias("m"))
     return rows.select("doc_id", F.array_join(F.transform("m.material_ids", lambda s: s["id"]), "|").alias("ids"),
                        F.array_join(F.get("m.material_ids", F.lit(0))["aliases"], "|").alias("aliases"))
 
 
+@query("unknown_key_modes", """SELECT event_id, '' AS main_errors, event_type AS main_name, 'characterization.morphology.' || event_type || ': unknown key' AS char_errors,
+  event_type AS char_sem, '' AS proc_errors, event_type || '=' || user_id AS proc_extra, '' AS v1_errors, event_type AS v1_type FROM events""")
+def _(spark, sf):
+    read = lambda text, entity: answers.read_record(F.expr(f"concat({text})"), entity)
+    told = lambda column: F.array_join(column["errs"], "; ")
+    rows = derived.table(spark, sf, "events").select(
+        "event_id",
+        read("""'{"文献信息":{"odd":', props, '},"why":"w","', event_type, '":1,"聚合物":[{"名称":"', event_type, '","free":2}]}'""", entities.MAIN_SIGNAL).alias("main"),
+        read("""'{"表征":{"形貌":{"SEM":"', event_type, '","', event_type, '":', props, '}},"why":"w"}'""", entities.CHAR_RESULT).alias("char"),
+        read("""'{"工艺流程":[{"产物名称":"p","原料":[{"原料名称":"m","', event_type, '":"', user_id, '"}]}],"why":"w"}'""", entities.PROC_RESULT).alias("proc"),
+        read("""'{"material_id":"m","synthesis":{"zeolite_type":"', event_type, '","free":', props, '},"more":[1]}'""", entities.SYNTHESIS_RESULT).alias("v1"))
+    kept = F.get(F.get("proc.rec.steps", F.lit(0))["materials"], F.lit(0))["extra"]
+    return rows.select(
+        "event_id", told(F.col("main")).alias("main_errors"), F.get("main.rec.samples", F.lit(0))["name"].alias("main_name"),
+        told(F.col("char")).alias("char_errors"), F.col("char.rec.characterization.morphology.sem").alias("char_sem"),
+        told(F.col("proc")).alias("proc_errors"), F.array_join(F.transform(F.map_entries(kept), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("proc_extra"),
+        told(F.col("v1")).alias("v1_errors"), F.col("v1.rec.synthesis.zeolite_type").alias("v1_type"))
+
+
+@query("repair_deep_answers", """WITH a AS (SELECT event_id, '{"p":' || props || ',"deep":' || repeat('[', 40 + (user_id % 60)::INT) AS t, repeat(']', 40 + (user_id % 60)::INT) AS z, event_type FROM events)
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN t || '1' || z || '}' WHEN 1 THEN t || '"' || event_type || '"' || z || '}' WHEN 2 THEN t || '1' || z || '}' ELSE t || '2' || z || '}' END AS repaired FROM a""")
+def _(spark, sf):
+    # cut off within a number, a string, a literal, and whole with another object behind it
+    deep = F.expr("concat('{\"p\":', props, ',\"deep\":', repeat('[', 40 + cast(user_id % 60 AS int)), CASE event_id % 4 WHEN 0 THEN '1' "
+                  "WHEN 1 THEN concat('\"', event_type) WHEN 2 THEN '1,tru' ELSE concat('2', repeat(']', 40 + cast(user_id % 60 AS int)), '} and {\"b\":2}') END)")
+    return derived.table(spark, sf, "events").select("event_id", answers.repair_json(deep).alias("repaired"))
+
+
+
 # --- final merge: users stand in for samples of one document each
 
 def after_rows(spark, sf, route: str) -> DataFrame:

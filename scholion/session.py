@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,18 +27,14 @@ def build_session(app_name: str, master: str | None = None, shuffle_partitions:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``; fall back to a fresh
-    temporary folder only for local runs, where driver and executors share a disk."""
+    """Use the shared folder named in ``spark.checkpoint.dir``; it must be set."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="scholion-checkpoint-"))
-    else:
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    context.setCheckpointDir(shared)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -49,10 +43,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on inputs that come in fewer pieces than there are cores.
+INPUT_PARTITIONS = "scholion.input.partitions"
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows over as many partitions as the session names in ``scholion.input.partitions``.
 
-    Large inputs have many splits and pass through unchanged.
+    For inputs whose files cannot be split; without the setting the splits of the files stay.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MAX_SPLIT_POINTS = 256
+from scholion.session import cut_lineage
 
 
 def build_raw_corpus(spark: SparkSession, directory: str) -> DataFrame:
@@ -38,35 +40,23 @@ def flatten_corpus(files: DataFrame) -> DataFrame:
     return named.join(first, "path", "left_semi").select("path", "stem", "file_name", "content")
 
 
-def split_points(df: DataFrame, key: str, wanted: int = MAX_SPLIT_POINTS) -> list:
-    """At most ``wanted`` sorted sample keys; they only balance work, never change results."""
-    total = df.count()
-    if total <= 100_000:
-        return []
-    fraction = min(1.0, 20.0 * wanted / total)
-    picked = [r[0] for r in df.select(key).where(F.col(key).isNotNull()).sample(fraction, seed=7).distinct()
-              .orderBy(F.xxhash64(key)).limit(wanted).collect()]
-    return sorted(picked)
-
+def dense_index(df: DataFrame, key: str, output: str, start: int = 1, tie: list[str] | None = None) -> DataFrame:
+    """Consecutive numbers in order of ``key`` and the ``tie`` columns, nulls first.
 
-def dense_index(df: DataFrame, key: str, output: str, start: int = 1, tie: Column | None = None) -> DataFrame:
-    """Consecutive numbers in key order without sorting everything in one task.
-
-    Rows fall into key ranges; each range is numbered on its own and shifted by the
-    size of the ranges before it. The range sizes (at most 257 rows) are broadcast.
+    Only the ordering columns are dealt into ranges and numbered there; a range's numbers are
+    shifted by the sizes of the ranges before it, and the number is joined back. Rows equal in
+    all ordering columns share a range's place and are told apart last. The checkpoint fixes
+    the ranges, so that all readers see the same ones.
     """
-    bounds = split_points(df, key)
-    literal = F.array(*[F.lit(b) for b in bounds])
-    bucket = F.size(F.filter(literal, lambda b: b <= F.col(key))) if bounds else F.lit(0)
-    ranged = df.withColumn("_range", bucket)
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    order = [key, *(tie or [])]
+    counted = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = cut_lineage(counted.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("_range").agg(F.sum("_n").alias("_rows"))  # as many rows as there are partitions
     before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    order = [F.col(key)] + ([tie] if tie is not None else [])
-    inside = Window.partitionBy("_range").orderBy(*order)
-    return (
-        ranged.withColumn("_rn", F.row_number().over(inside))
-        .join(F.broadcast(shifts), "_range")
-        .withColumn(output, F.col("_shift") + F.col("_rn") + F.lit(start - 1))
-        .drop("_range", "_rn", "_shift")
-    )
+    shifts = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(shifts), "_range").select(
+        *[F.col(c).alias(f"_k_{i}") for i, c in enumerate(order)], (F.col("_shift") + F.col("_before")).alias("_first"))
+    joined = df.join(placed, reduce(lambda x, y: x & y, [df[c].eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(order)]))
+    copy = F.row_number().over(Window.partitionBy("_first").orderBy("_first"))
+    return joined.withColumn(output, F.col("_first") + copy + F.lit(start - 1)).select(*df.columns, output)

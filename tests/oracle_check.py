@@ -50,11 +50,12 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> tuple[bool, str
 
 if __name__ == "__main__":
     import __spark_entry__ as entry
-    from scholion.session import build_session
+    from scholion.session import INPUT_PARTITIONS, build_session
 
     sf_dir = f"/root/testdata/sf{sys.argv[1]}"
     spark = build_session("oracle-check", "local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set(INPUT_PARTITIONS, "8")
     con = connect(sf_dir)
     oracles = entry.oracle_sql()
     wanted = sys.argv[2:]
