@@ -21,10 +21,9 @@ CODE_TOKEN = r"(?U)\b[A-Z][A-Z0-9/+-]{1,}\b"
 def explode_samples(main: DataFrame, route: str) -> DataFrame:
     """One row per sample of (run_id, doc_id, file_name, samples) documents, counted from 1."""
     missing = F.raise_error(F.concat(F.lit("document without samples array: "), F.col("doc_id")))
-    one = main.select(
-        "run_id", "doc_id", *[c for c in ("file_name",) if c in main.columns],
-        F.posexplode(F.when(F.col("samples").isNull(), missing).otherwise(F.col("samples"))).alias("i", "s"),
-    )
+    # a filter stays where a column that nobody reads would be pruned
+    one = main.where(F.when(F.col("samples").isNull(), missing.cast("boolean")).otherwise(True)).select(
+        "run_id", "doc_id", *[c for c in ("file_name",) if c in main.columns], F.posexplode("samples").alias("i", "s"))
     aliases = F.col("s.aliases") if "aliases" in main.schema["samples"].dataType.elementType.names else F.lit(None)
     return anchor_rows(one.select(
         "run_id", "doc_id", *[c for c in ("file_name",) if c in main.columns],
@@ -63,9 +62,8 @@ def anchor_rows(samples: DataFrame, route: str) -> DataFrame:
 def require_sections(samples: DataFrame, sections: DataFrame) -> DataFrame:
     """Samples with a flag for documents that have no section rows; they raise when read."""
     present = sections.select("run_id", "doc_id").distinct().withColumn("_has", F.lit(True))
-    return samples.join(present, ["run_id", "doc_id"], "left").withColumn(
-        "task_id", F.when(F.col("_has"), F.col("task_id")).otherwise(F.raise_error(
-            F.concat(F.lit("no sections for document "), F.col("doc_id"))))).drop("_has")
+    absent = F.raise_error(F.concat(F.lit("no sections for document "), F.col("doc_id"))).cast("boolean")
+    return samples.join(present, ["run_id", "doc_id"], "left").where(F.when(F.col("_has"), True).otherwise(absent)).drop("_has")
 
 
 # --- terms

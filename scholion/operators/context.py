@@ -71,6 +71,11 @@ def classify_sections(sections: DataFrame, route: str) -> DataFrame:
 DOC_KEYS = ["run_id", "doc_id"]
 
 
+def file_keys(df: DataFrame) -> list[str]:
+    """Columns that tell files apart; files of equal content share ``doc_id``."""
+    return [*DOC_KEYS, *[c for c in ("doc_index",) if c in df.columns]]
+
+
 def document_parts(sections: DataFrame) -> DataFrame:
     """Per document: the sections its first task needs, as arrays ordered by position.
 
@@ -80,7 +85,8 @@ def document_parts(sections: DataFrame) -> DataFrame:
     """
     flagged = classify_sections(sections, "main")
     at = F.col("chunk_index")
-    firsts = flagged.groupBy(*DOC_KEYS).agg(
+    keys = file_keys(sections)
+    firsts = flagged.groupBy(*keys).agg(
         F.min(at).alias("first_at"),
         F.min("file_name").alias("file_name"),
         F.min(F.when(F.col("is_experiment"), at)).alias("experiment_at"),
@@ -88,7 +94,7 @@ def document_parts(sections: DataFrame) -> DataFrame:
         F.min(F.when(F.col("is_body") & (at > 0), at)).alias("body_at"),
     )
     stop = F.coalesce(F.col("body_at"), F.col("first_at") + 1)
-    joined = flagged.drop("file_name").join(firsts, DOC_KEYS)
+    joined = flagged.drop("file_name").join(firsts, keys)
     roles = F.array_compact(F.array(
         F.when(at == F.col("first_at"), F.lit("title")),
         F.when(at < stop, F.lit("front_matter")),
@@ -97,7 +103,7 @@ def document_parts(sections: DataFrame) -> DataFrame:
     ))
     return (
         joined.withColumn("roles", roles).where(F.size("roles") > 0)
-        .groupBy(*DOC_KEYS, "file_name")
+        .groupBy(*keys, "file_name")
         .agg(F.array_sort(F.collect_list(F.struct(
             "chunk_index", "block_id", "section_title", "line_span", "roles", "content"))).alias("parts"))
     )

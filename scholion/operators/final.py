@@ -33,9 +33,14 @@ def empty_payloads(spark, route: str) -> DataFrame:
     return spark.createDataFrame([], kind)
 
 
+def _file_keys(main: DataFrame) -> list[str]:
+    """Columns that tell the documents apart; files of equal content share ``doc_id``."""
+    return [c for c in ("doc_id", "run_id", "doc_index", "file_name") if c in main.columns]
+
+
 def matched_samples(main: DataFrame, payloads: dict[str, DataFrame]) -> DataFrame:
     """One row per sample with the payloads found for it."""
-    rows = main.select("doc_id", F.posexplode_outer("samples").alias("pos", "s")).withColumn(
+    rows = main.select(*_file_keys(main), F.posexplode_outer("samples").alias("pos", "s")).withColumn(
         "sample_id", strip(F.col("s.sample_id")))
     for route in ROUTES:
         table = payloads.get(route)
@@ -58,10 +63,11 @@ def final_documents(main: DataFrame, payloads: dict[str, DataFrame]) -> DataFram
         F.col("char").alias("characterization"),
         *[F.coalesce(F.col(r), F.array().cast(PAYLOAD_TYPE[r])).alias(COLUMN[r]) for r in ("prop", "proc")],
         F.col("s.sample_id").alias("sample_id"))
-    samples = rows.groupBy("doc_id").agg(F.transform(
+    keys = _file_keys(main)
+    samples = rows.groupBy(*keys).agg(F.transform(
         sort_by(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", sample.alias("s")))), "pos"),
         lambda x: x["s"]).alias("samples"))
-    return main.drop("samples").join(samples, "doc_id")
+    return main.drop("samples").join(samples, keys)
 
 
 def merge_coverage(main: DataFrame, payloads: dict[str, DataFrame]) -> DataFrame:

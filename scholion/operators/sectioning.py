@@ -21,13 +21,8 @@ def normalize_raw(raw: DataFrame, order_by: str = "file_name", strict: bool = Fa
     """(doc_index, doc_id, file_name, content, md5_fallback) with the missing parts filled in."""
     if strict:
         complete = F.col("file_name").isNotNull() & F.col("content").isNotNull() & F.col("md5").isNotNull()
-        raw = raw.withColumn(
-            "content",
-            F.when(complete, F.col("content")).otherwise(
-                F.raise_error(F.concat(F.lit("missing file_name, md5 or content near "),
-                                       F.coalesce(F.col(order_by).cast("string"), F.lit("?"))))
-            ),
-        )
+        lacking = F.raise_error(F.concat(F.lit("missing file_name, md5 or content near "), F.coalesce(F.col(order_by).cast("string"), F.lit("?"))))
+        raw = raw.where(F.when(complete, True).otherwise(lacking.cast("boolean")))
     content = F.coalesce(F.col("content").cast("string"), F.lit(""))
     fallback = is_blank(F.col("md5"))
     numbered = dense_index(raw, order_by, "doc_index", tie=[c for c in ("file_name", "md5") if c != order_by])

@@ -398,3 +398,12 @@ FROM (SELECT doc_id, {DOI_TEXT.format(s='varchar')} AS t FROM documents)""")
 def _(spark, sf):
     return derived.table(spark, sf, "documents").select(
         "doc_id", context.extract_doi(F.expr(DOI_TEXT.format(s="string"))).alias("doi"))
+
+
+@query("equal_files", """SELECT concat('f', doc_id, '.md') AS file_name, concat('[FRONT_MATTER]', chr(10), '# Abstract', chr(10), trim(text, chr(10) || ' ')) AS text FROM documents""")
+def _(spark, sf):
+    # documents has exact copies, so files of equal content and equal doc_id
+    files = derived.table(spark, sf, "documents").select(
+        F.concat(F.lit("f"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), F.concat(F.lit("# Abstract\n"), F.col("text")).alias("content"))
+    numbered = sectioning.normalize_raw(corpus.raw_rows(files))
+    return context.build_main_signal_tasks(sectioning.split_sections(numbered, derived.RUN_ID)).select("file_name", "text")
