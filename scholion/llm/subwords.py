@@ -47,7 +47,10 @@ def grams(data: np.ndarray, shape: Shape) -> list[tuple[np.ndarray, np.ndarray]]
         for j in range(n):
             code *= np.uint32(0x01000193)
             code ^= wide[j:j + count]
-        within = crossed[n - 1:n - 1 + count] == crossed[1:1 + count] if n > 1 else ~inner[:count]
+        if n <= 2:
+            within = ~(inner[:count] & inner[n - 1:])
+        else:
+            within = crossed[n - 1:n - 1 + count] == crossed[1:1 + count]
         at = np.flatnonzero(within)
         code = code[at] * np.uint32(0x9E3779B1)
         found.append((at, (code >> np.uint32(32 - shape.buckets.bit_length() + 1)).astype(np.int32)))
@@ -94,7 +97,7 @@ class Model:
         data = np.frombuffer(b"".join(held), dtype=np.uint8)
         ends = np.cumsum([len(x) for x in held])
         for at, buckets in grams(data, self.shape):
-            # two texts meet in two separators, and no n-gram has both
+            # two texts meet in two separators, and no n-gram has both of them
             edges = np.concatenate([[0], np.searchsorted(at, ends)])
             number = np.diff(edges)
             total[owners] += number
