@@ -77,20 +77,24 @@ def missing_inputs(tasks: DataFrame, required: list[str], inputs: str = "inputs"
     return tasks.withColumn("missing_inputs", missing).where(F.size("missing_inputs") > 0)
 
 
-def predict(tasks: DataFrame, fn: Callable[[str], str], batch_size: int = 20, prompt_name: str = "",
+def predict(tasks: DataFrame, fn: Callable[..., str], batch_size: int = 20, prompt_name: str = "",
             model_name: str = "", partitions: int | None = None) -> DataFrame:
-    """Call ``fn`` on each task text; a failed call yields an error row, never a failed job.
+    """Call ``fn`` on each task; a failed call yields an error row, never a failed job.
+
+    Tasks with ``messages`` (see ``render_prompts``) pass them as a list of role and content;
+    others pass their text.
 
     Calls of one batch run side by side, tasks spread over ``partitions``. Write the result
     to a table before using it twice, so that no call is repeated.
     """
+    given = "messages" if "messages" in tasks.columns else "text"
     keep = [c for c in tasks.columns if c not in ("text", "messages", "route_stats")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tasks.select(*keep).schema)
     schema += ", prompt_name string, model_name string, raw_text string, error string"
 
-    def call(text: str) -> tuple[str, str | None]:
+    def call(task) -> tuple[str, str | None]:
         try:
-            return fn(text), None
+            return fn(task if given == "text" else [dict(m) for m in task]), None
         except Exception as exc:  # the error is the row's result
             return "", f"{type(exc).__name__}: {exc}"
 
@@ -99,13 +103,13 @@ def predict(tasks: DataFrame, fn: Callable[[str], str], batch_size: int = 20, pr
             for frame in batches:
                 for at in range(0, len(frame), batch_size):
                     part = frame.iloc[at:at + batch_size]
-                    answers = list(pool.map(call, part["text"]))
+                    answers = list(pool.map(call, part[given]))
                     yield part[keep].assign(
                         prompt_name=prompt_name, model_name=model_name,
                         raw_text=[a for a, _ in answers], error=[e for _, e in answers])
 
     spread = tasks.repartition(partitions, "task_id") if partitions else tasks
-    return spread.select(*keep, "text").mapInPandas(run, schema)
+    return spread.select(*keep, given).mapInPandas(run, schema)
 
 
 def result_column(df: DataFrame) -> str:

@@ -1,41 +1,76 @@
-"""Whole runs: each stage writes its table under the run and later stages read it."""
+"""Whole runs: each stage writes its table under the run and later stages read it.
+
+A run can be started again: sections and first tasks that are there are read, and the model is
+asked only for tasks without a valid answer. Answers are appended, each start under its own number.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.operators import answers, context, entities, final, merge, normalize, predict, sectioning, tasks
+from scholion.operators import answers, context, entities, final, merge, normalize, predict, sectioning, tasks, validate
 from scholion.operators.anchors import explode_samples, require_sections
+from scholion.sources.jsonl import stage_path
 
-Model = Callable[[str], str]
+Model = Callable[..., str]
 BUILD = {"char": tasks.build_char_tasks, "prop": tasks.build_prop_tasks, "proc": tasks.build_proc_tasks}
 
 
-def stage(df: DataFrame, base: str, run_id: str, name: str) -> DataFrame:
-    """Write a stage table once and read it back, so that no later step repeats its work."""
-    path = f"{base.rstrip('/')}/stage={name}/run_id={run_id}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def written(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, or None if there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
 
 
 def run(spark: SparkSession, raw: DataFrame, base: str, run_id: str, main_model: Model, route_models: dict[str, Model],
-        order_by: str = "file_name", batch_size: int = 20) -> DataFrame:
-    """From (file_name, md5, content) rows to one record per document."""
-    def done(df: DataFrame, name: str) -> DataFrame:
-        return stage(df, base, run_id, name)
+        order_by: str = "file_name", batch_size: int = 20, templates: dict[str, str] | None = None, limit: int = 0) -> DataFrame:
+    """From (file_name, md5, content) rows to one record per document.
+
+    ``templates`` has prompt templates by ``main_signal`` or route; a model with one is called
+    with messages, the others with the task text. ``limit`` bounds the calls of each model.
+    Row counts of all stages go to the ``manifest`` stage.
+    """
+    counts: dict[str, int] = {}
+
+    def done(df: DataFrame, name: str, again: bool = True) -> DataFrame:
+        """Write a stage table and read it back; without ``again`` one that is there stays."""
+        path = stage_path(base, run_id, name)
+        kept = None if again else written(spark, path)
+        if kept is None:
+            df.write.mode("overwrite").parquet(path)
+            kept = spark.read.parquet(path)
+        counts[name] = kept.count()
+        return kept
 
     def asked(todo: DataFrame, model: Model, name: str, entity: entities.Entity) -> DataFrame:
-        called = done(predict.predict(todo.select("task_id", "text"), model, batch_size), f"{name}_calls")
-        return answers.parse_responses(called, entity).withColumn("file_order", F.lit(0)).withColumn("seq", F.lit(0))
+        path = stage_path(base, run_id, f"{name}_calls")
+        earlier = written(spark, path)
+        attempt = 0
+        open_tasks = todo
+        if earlier is not None:
+            attempt = (earlier.agg(F.max("attempt")).first()[0] or 0) + 1
+            open_tasks = predict.pending_tasks(todo, answers.parse_responses(earlier, entity))
+        open_tasks = predict.limit_pending(open_tasks, limit)
+        if templates and name in templates:
+            open_tasks = predict.render_prompts(open_tasks, templates[name]).select("task_id", "messages")
+        else:
+            open_tasks = open_tasks.select("task_id", "text")
+        predict.predict(open_tasks, model, batch_size).withColumn("attempt", F.lit(attempt)).write.mode("append").parquet(path)
+        parsed = answers.parse_responses(spark.read.parquet(path), entity).withColumn("file_order", F.col("attempt")).withColumn("seq", F.lit(0))
+        return done(parsed, f"{name}_parsed")
 
-    sections = done(sectioning.split_sections(sectioning.normalize_raw(raw, order_by), run_id), "doc_split")
-    main_tasks = done(context.build_main_signal_tasks(sections), "main_signal_before")
+    sections = done(sectioning.split_sections(sectioning.normalize_raw(raw, order_by), run_id), "doc_split", again=False)
+    main_tasks = done(context.build_main_signal_tasks(sections), "main_signal_before", again=False)
     first = normalize.first_good_prediction(asked(main_tasks, main_model, "main_signal", entities.MAIN_SIGNAL))
     keys = main_tasks.select("run_id", "doc_id", "task_id", "file_name")
-    documents = done(normalize.normalize_documents(first.join(keys, "task_id")), "main_signal_after")
+    cleaned = first.withColumn("parse", validate.clean_main_signal(F.col("parse")))
+    documents = done(normalize.normalize_documents(cleaned.join(keys, "task_id")), "main_signal_after")
 
     payloads = {}
     for route, model in route_models.items():
@@ -46,6 +81,7 @@ def run(spark: SparkSession, raw: DataFrame, base: str, run_id: str, main_model:
             preds = answers.recover_raw_text(preds, entities.PROC_RESULT)
         after = done(merge.after_stage(route_tasks, preds, route), f"{route}_after")
         payloads[route] = final.payloads_by_sample(after.withColumn("ord", F.col("task_id")), route)
-    return done(final.final_documents(documents, payloads), "final_merge")
-
-
+    result = done(final.final_documents(documents, payloads), "final_merge")
+    manifest = spark.createDataFrame(list(counts.items()), "stage string, row_count long")
+    manifest.write.mode("overwrite").parquet(stage_path(base, run_id, "manifest"))
+    return result

@@ -36,6 +36,29 @@ def test_whole_run_with_a_stand_in_model(spark, tmp_path):
     assert [p.value.single.text for p in sample.properties] == ["5"] and sample.process == []
 
 
+def test_a_second_run_asks_only_open_tasks(spark, tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+    base = str(tmp_path / "out")
+
+    def model(first):
+        def answer(messages):
+            (asked / f"{first}-{abs(hash(messages[1]['content']))}").touch()
+            assert messages[0] == {"role": "system", "content": "Read."} and "[FRONT_MATTER]" in messages[1]["content"]
+            if first and "more" in messages[1]["content"]:
+                raise TimeoutError("no answer")
+            return json.dumps({"文献信息": {}, "聚合物": [{"名称": "PI", "odd": 1}], "why": "w"}, ensure_ascii=False)
+        return answer
+
+    template = {"main_signal": "<system>Read.</system><user>{text}</user>"}
+    raw = spark.createDataFrame([("a.md", None, PAPER), ("b.md", None, PAPER.replace("Abstract", "more"))], "file_name string, md5 string, content string")
+    assert literature.run(spark, raw, base, "r1", model(True), {}, templates=template).count() == 1
+    assert literature.run(spark, raw, base, "r1", model(False), {}, templates=template).count() == 2
+    assert sum(p.name.startswith("False") for p in asked.iterdir()) == 1
+    counts = {r["stage"]: r["row_count"] for r in spark.read.parquet(f"{base}/stage=manifest/run_id=r1").collect()}
+    assert counts["main_signal_parsed"] == 3 and counts["final_merge"] == 2
+
+
 def test_streamed_chunks_give_complete_prefixes(spark, tmp_path):
     rows = [("a", 0, '{"x":'), ("a", 2, "}"), ("a", 1, "1"), ("a", 3, " end"), ("b", 0, "none")]
     spark.createDataFrame(rows, "response_id string, seq long, chunk string").coalesce(1).write.parquet(str(tmp_path / "in"))
