@@ -240,11 +240,16 @@ def render_human_chunks(sections: DataFrame) -> DataFrame:
                            text.alias("chunk_text"))
 
 
-def write_human_chunks(chunks: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One folder per document, one text record per block."""
-    (chunks.repartition("doc_id").sortWithinPartitions("doc_id", "chunk_index")
-     .select("doc_id", F.col("chunk_text").alias("value"))
-     .write.mode(mode).option("lineSep", "\n\f\n").partitionBy("doc_id").text(path))
+def write_human_chunks(chunks: DataFrame, path: str, mode: str = "errorifexists", folders: int = 256) -> None:
+    """Text records of the blocks, a document's in order, in ``folders`` folders by the hash of its id.
+
+    A record says itself which document it is of; a folder for each document would be
+    millions of them.
+    """
+    folder = F.pmod(F.xxhash64("doc_id"), F.lit(folders))
+    (chunks.withColumn("folder", folder).repartition(folders, "folder").sortWithinPartitions("folder", "doc_id", "chunk_index")
+     .select("folder", F.col("chunk_text").alias("value"))
+     .write.mode(mode).option("lineSep", "\n\f\n").partitionBy("folder").text(path))
 
 
 # --- first-generation split: four heading levels, blocks named by their outermost heading

@@ -67,3 +67,15 @@ def test_process_segments_drop_what_precedes_the_first_title(spark):
     row = spark.createDataFrame([("r", "d", 0, "Methods", text)], "run_id string, doc_id string, chunk_index int, section_title string, content string")
     found = lines.pseudo_heading_segments(row).orderBy("segment").collect()
     assert [(f.segment_title, f.start, f.stop) for f in found] == [("Film casting", 1, 3), ("Drying", 3, 5)]
+
+
+def test_human_chunks_are_written_in_order(spark, tmp_path):
+    rows = [("r", f"d{i}", k, f"{i}-{k}") for i in range(6) for k in (2, 0, 1)]
+    chunks = spark.createDataFrame(rows, "run_id string, doc_id string, chunk_index int, chunk_text string")
+    sectioning.write_human_chunks(chunks, str(tmp_path / "out"), folders=2)
+    files = [p.read_text() for p in (tmp_path / "out").rglob("part-*.txt")]
+    assert 1 <= len(files) <= 2
+    records = [r for text in files for r in text.split("\n\f\n") if r]
+    assert sorted(records) == sorted(r[3] for r in rows)
+    for i in range(6):
+        assert [r for r in records if r.startswith(f"{i}-")] == [f"{i}-{k}" for k in range(3)]
