@@ -22,7 +22,7 @@ from scholion.llm.common import fold
 
 SHAPE = subwords.Shape(lengths=(3, 4, 5), buckets=1 << 18, size=8)
 #: Labelled documents that the model is fitted on, about and at most.
-SAMPLE, MOST = 8_000, 10_000
+SAMPLE, MOST = 6_000, 7_500
 VISITS, RATE = 60_000, 5.0
 TOXIC = 0.5
 
