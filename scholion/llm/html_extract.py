@@ -34,7 +34,7 @@ MIN_PAGES, MIN_SHARE, LOW = 8, 0.1, 0.15
 #: Lists and blocks outside an article whose text lies in links to this share are menus.
 LINK_SHARE = 0.6
 #: Counts that a task holds before it passes them on.
-HELD = 200_000
+HELD = 50_000
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
