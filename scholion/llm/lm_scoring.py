@@ -4,8 +4,8 @@ A token is predicted in two steps: its class from the history, then the token wi
 The most frequent tokens ("head") are dealt to classes by their counts and are predicted from the
 history within them too; all other tokens have the class of their spelling and the smoothed share
 of their count in it, a token that training never saw included. History features are the previous
-token, the one before it (a skip), both together, and the classes of the last three tokens; tokens
-and pairs are hashed into rows of weights.
+token, the one before it (a skip), both together, and the classes of both; tokens and pairs are
+hashed into rows of weights.
 
 Training sees every training document once, in ``ROUNDS`` slices. In each round the tasks make
 gradient updates on their part of a slice, starting from the common weights, and what they changed
@@ -33,14 +33,14 @@ from scholion.llm.common import fold, stored
 
 END = "\n"
 #: Head tokens, their classes, and classes of spelling.
-HEAD, HEAD_CLASSES, TAIL_CLASSES = 256, 16, 32
+HEAD, HEAD_CLASSES, TAIL_CLASSES = 256, 8, 24
 MEMBERS = HEAD // HEAD_CLASSES
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 #: Rows of weights that tokens and pairs are hashed into; rows for tokens within head classes.
-ROWS, INNER_ROWS = 1 << 14, 1 << 10
+ROWS, INNER_ROWS = 1 << 13, 1 << 10
 #: Share of all tokens from which a token counts as frequent.
-SHARE = 1 / (1 << 17)
-ROUNDS, RATE, STEP = 3, 0.15, 8192
+SHARE = 1 / (1 << 19)
+ROUNDS, RATE, STEP = 3, 0.15, 16_384
 HELD_TOKENS, FAN_IN = 300_000, 16
 SLICE = 65_536
 LOG10 = np.log(10.0)
@@ -137,7 +137,7 @@ def untrained(vocabulary: DataFrame) -> Model:
     for r in vocabulary.where(~F.col("token").isin(head)).groupBy(spelling_class(F.col("token")).alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():
         tail_total[r["k"]], tail_distinct[r["k"]] = r["n"], r["v"]
     counts = np.array([r["c"] for r in rows], dtype=np.float64)
-    outer = np.zeros((ROWS + 3 * (CLASSES + 1) + 1, CLASSES), np.float32)
+    outer = np.zeros((ROWS + (CLASSES + 1) ** 2 + 1, CLASSES), np.float32)
     inner = np.zeros((INNER_ROWS + 1, HEAD_CLASSES, MEMBERS), np.float32)
     members = np.full(HEAD, 0.0)
     members[:len(head)] = counts[:HEAD]
@@ -177,7 +177,7 @@ def features(row: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     one, two = code[at - 1], code[at - 2]
     spread = lambda x, salt: (((x * 0x9E3779B1 + salt) & 0xFFFFFFFF) * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - ROWS.bit_length() + 1)
     hashed = [spread(one, 1), spread(two, 2), spread(one * 31 + two * 0x01000193, 3)]
-    return hashed + [ROWS + k * (CLASSES + 1) + group[at - 1 - k] for k in range(3)]
+    return hashed + [ROWS + group[at - 1] * (CLASSES + 1) + group[at - 2]]
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -191,15 +191,19 @@ def _inner_row(row: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (((row[at - 1] & 0x3FFFFFF) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - INNER_ROWS.bit_length() + 1)).astype(np.int64)
 
 
-def probabilities(model: Model, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of the class, and of the member within a head class (1 elsewhere); the features."""
+def class_probabilities(model: Model, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of each class at these places, and the rows of their features."""
     rows = features(row, at)
     logits = model.outer[rows[0]]
     for f in rows[1:]:
         logits += model.outer[f]
     logits += model.outer[-1]
-    return _softmax(logits), _softmax(model.inner[_inner_row(row, at), np.minimum((row[at] >> 26) & 127, HEAD_CLASSES - 1)] + model.inner[-1][
-        np.minimum((row[at] >> 26) & 127, HEAD_CLASSES - 1)]), rows
+    return _softmax(logits), rows
+
+
+def member_probabilities(model: Model, row: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Of each member of the head classes that the tokens at these places have."""
+    return _softmax(model.inner[_inner_row(row, at), group] + model.inner[-1][group])
 
 
 def _scattered(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
@@ -223,13 +227,13 @@ def learn(model: Model, texts: Iterator[list[str | None]], codes: Codes) -> tupl
             for low in range(0, len(places), STEP):
                 at = places[low:low + STEP]
                 group, member = (row[at] >> 26) & 127, (row[at] >> 33) & 31
-                outer, inner, rows = probabilities(model, row, at)
+                outer, rows = class_probabilities(model, row, at)
                 outer[np.arange(len(at)), group] -= 1
                 head = np.flatnonzero(group < HEAD_CLASSES)
                 for f in rows:
                     _scattered(model.outer, squares_outer, f, outer)
                 if len(head):
-                    inner = inner[head]
+                    inner = member_probabilities(model, row, at[head], group[head])
                     inner[np.arange(len(head)), member[head]] -= 1
                     _scattered(flat, squares_inner, _inner_row(row, at[head]) * HEAD_CLASSES + group[head], inner)
                 seen += len(at)
@@ -290,6 +294,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         codes, base, tail = Codes(own.frequent), own.base, own.tail()
+        scale = np.log10(own.tail_total + 0.5 * (own.tail_distinct + 1))
+        whole_scale = np.log10(own.total + 0.5 * (own.distinct + 1))
         for whole in batches:
             for low in range(0, whole.num_rows, 1000):
                 batch = whole.slice(low, 1000)
@@ -302,16 +308,18 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
                     fine = np.empty(len(at))
                     for k in range(0, len(at), STEP):
                         part = at[k:k + STEP]
-                        outer, inner, _ = probabilities(own, row, part)
+                        outer, _ = class_probabilities(own, row, part)
                         g = group[k:k + STEP]
                         fine[k:k + STEP] = np.log10(outer[np.arange(len(part)), g])
                         head = np.flatnonzero(g < HEAD_CLASSES)
-                        fine[k + head] += np.log10(inner[head, member[k + head]])
+                        inner = member_probabilities(own, row, part[head], g[head])
+                        fine[k + head] += np.log10(inner[np.arange(len(head)), member[k + head]])
                     known = place >= 0
                     rest = np.flatnonzero(known & (group >= HEAD_CLASSES))
                     fine[rest] += tail[place[rest]]
+                    fine[~known] -= scale[group[~known] - HEAD_CLASSES]
                     of = owners[np.searchsorted(starts, at, side="right") - 1]
-                    plain = np.zeros(len(at))
+                    plain = np.full(len(at), -whole_scale)
                     plain[known] = base[place[known]]
                     size += np.bincount(of, minlength=n)
                     common += np.bincount(of, weights=known, minlength=n).astype(np.int64)
@@ -329,14 +337,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
     found = stored(rows.mapInArrow(scored, f"row bigint, key {kind}, held_out boolean, n_tokens bigint, n_frequent bigint, base double, model double, "
                                            "rare array<struct<token:string,n:int>>"))
     counted = found.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n").join(vocabulary, "token", "left")
-    count, group = F.coalesce("c", F.lit(0)), spelling_class(F.col("token"))
-    scale = F.array(*[F.lit(float(x)) for x in model.tail_total + 0.5 * (model.tail_distinct + 1)])[group]
+    # the tasks have taken off what a rare token's count is divided by
+    count = F.coalesce("c", F.lit(0))
     rare = counted.groupBy("row").agg(
-        F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("known"),
-        F.sum(F.col("n") * F.log10((count + 0.5) / (model.total + 0.5 * (model.distinct + 1)))).alias("base_rare"),
-        F.sum(F.col("n") * F.log10((count + 0.5) / scale)).alias("model_rare"))
+        F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * F.log10(count + 0.5)).alias("rare"))
     zero = F.lit(0)
     return found.drop("rare").join(rare, "row", "left").select(
         F.col("key").alias(key), "held_out", "n_tokens", (F.col("n_frequent") + F.coalesce("known", zero)).cast("long").alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("base_rare", zero)).alias("base_score"),
-        (F.col("model") + F.coalesce("model_rare", zero)).alias("score"))
+        F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("rare", zero)).alias("base_score"),
+        (F.col("model") + F.coalesce("rare", zero)).alias("score"))

@@ -119,7 +119,9 @@ def test_probabilities_of_the_next_token_sum_to_one(spark):
     row = np.array([lm_scoring._START] * 3 + [lm_scoring.Codes(model.frequent)[t] for t in (b"the", b"of", b"zz")])
     head = model.frequent[:lm_scoring.HEAD]
     for at in (3, 4, 5):
-        outer = lm_scoring.probabilities(model, row, np.array([at]))[0][0].astype(float)
+        outer = lm_scoring.class_probabilities(model, row, np.array([at]))[0][0].astype(float)
+        inner = lm_scoring.member_probabilities(model, row, np.array([at] * 8), np.arange(8))
+        assert np.allclose(inner.sum(axis=1), 1, atol=1e-5)
         rest = np.zeros(lm_scoring.TAIL_CLASSES)
         for t, c in counts.items():
             if t.encode() not in head:
