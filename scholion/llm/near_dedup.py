@@ -3,8 +3,8 @@
 A text's k-mers are its shingles of five words; a k-mer that comes again is told apart by its
 number. Each of ``SKETCHES`` hash functions picks the ``PICKS`` smallest labelled k-mers, and they
 are joined in the order of the text: texts with the same k-mers in another order differ. Texts that
-share a sketch are candidates. A pair is verified by aligning the two rows of labelled k-mers, in
-the band outside of which no alignment of the wanted similarity can run; the similarity is
+share a sketch are candidates. A pair is verified by aligning the two rows of k-mers, in the band
+outside of which no alignment of the wanted similarity can run; the similarity is
 aligned / (all - aligned) and must reach 0.8.
 
 In a group that shares a sketch every member is paired with the group's first one and with its
@@ -74,19 +74,29 @@ def kmers(text: str) -> tuple[np.ndarray, np.ndarray]:
     for j in range(size):
         codes += words[j:j + len(codes)] * _ROLL[j]
     codes = _mixed(codes + np.uint64(size))
+    return codes, _labelled(codes)
+
+
+def _labelled(codes: np.ndarray) -> np.ndarray:
+    """The codes told apart by their occurrence; the same array where none comes again."""
+    if not len(codes):
+        return codes
     order = np.argsort(codes, kind="stable")
     new = np.concatenate([[True], np.diff(codes[order]) != 0])
     if new.all():
-        return codes, codes
+        return codes
     starts = np.maximum.accumulate(np.where(new, np.arange(len(codes)), 0))
     labels = np.empty(len(codes), dtype=np.uint64)
     labels[order] = (np.arange(len(codes)) - starts).astype(np.uint64)
-    return codes, np.where(labels > 0, _mixed(codes + labels * np.uint64(0xA24BAED4963EE407)), codes)
+    return np.where(labels > 0, _mixed(codes + labels * np.uint64(0xA24BAED4963EE407)), codes)
 
 
 def sketches(text: str) -> np.ndarray:
     """One 64-bit code for each hash function; none for a text without words."""
-    codes, labelled = kmers(text)
+    return _sketches(*kmers(text))
+
+
+def _sketches(codes: np.ndarray, labelled: np.ndarray) -> np.ndarray:
     if not len(codes):
         return codes
     ranks = (labelled[None, :] ^ _SALT[0][:, None]) * _ODD[0][:, None]
@@ -103,7 +113,7 @@ def sketches(text: str) -> np.ndarray:
 
 def similarity(a: str, b: str) -> float:
     """Aligned k-mers of two texts over all their k-mers, 0 where it is below the threshold."""
-    return _aligned(kmers(a)[1], kmers(b)[1])
+    return _aligned(kmers(a)[0], kmers(b)[0])
 
 
 def _aligned(a: np.ndarray, b: np.ndarray) -> float:
@@ -111,13 +121,14 @@ def _aligned(a: np.ndarray, b: np.ndarray) -> float:
     needed = SIMILARITY / (1 + SIMILARITY) * total
     if not total or min(len(a), len(b)) < needed - 1e-9:
         return 0.0
-    common, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    labelled_a, labelled_b = _labelled(a), _labelled(b)
+    common, at_a, at_b = np.intersect1d(labelled_a, labelled_b, assume_unique=True, return_indices=True)
+    if len(common) < needed - 1e-9:
+        return 0.0
     band = max(len(a), len(b)) - int(np.ceil(needed - 1e-9))
     inside = np.abs(at_a - at_b) <= band
     order = np.argsort(at_a[inside])
     path = at_b[inside][order]
-    if len(path) < needed - 1e-9:
-        return 0.0
     length = len(path)
     if length > 1 and not (np.diff(path) > 0).all():
         tails: list[int] = []
@@ -125,10 +136,70 @@ def _aligned(a: np.ndarray, b: np.ndarray) -> float:
             k = bisect_left(tails, p)
             tails[k:k + 1] = [p]
         length = len(tails)
+    # the k-mers in common bound any alignment; occurrences pair off otherwise only where k-mers repeat
+    if length < len(common) and (labelled_a is not a or labelled_b is not b):
+        length = _longest(a, b, band)
     found = length / (total - length)
     return found if found >= SIMILARITY - 1e-9 else 0.0
 
 
+def _longest(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Length of the longest common subsequence of pairs at most ``band`` apart.
+
+    One row of the table is an integer with a bit for each place of b, 0 where the length grows;
+    it holds the places of the band only.
+    """
+    least = min(len(a), len(b))
+    differ = np.flatnonzero(a[:least] != b[:least])
+    before = int(differ[0]) if len(differ) else least
+    a, b = a[before:], b[before:]
+    least -= before
+    differ = np.flatnonzero(a[len(a) - least:][::-1] != b[len(b) - least:][::-1])
+    after = int(differ[0]) if len(differ) else least
+    a, b = a[:len(a) - after], b[:len(b) - after]
+    found = before + after
+    if not len(a) or not len(b):
+        return found
+    codes, inverse, counts = np.unique(b, return_inverse=True, return_counts=True)
+    places = np.split(np.argsort(inverse, kind="stable"), np.cumsum(counts)[:-1])
+    at = np.minimum(np.searchsorted(codes, a), len(codes) - 1)
+    whole: dict[int, int] = {}
+    lists: dict[int, list[int]] = {}
+    row, base, width, step = 0, 0, 0, band + 256
+    for i in np.flatnonzero(codes[at] == a).tolist():
+        low, high = max(0, i - band), min(len(b), i + band + 1)
+        if low >= high:
+            break
+        if low - base > step:
+            if low - base > width:
+                row |= ((1 << (low - base - width)) - 1) << width
+                width = low - base
+            drop = low - base
+            found += drop - (row & ((1 << drop) - 1)).bit_count()
+            row, base, width = row >> drop, low, width - drop
+        if high - base > width:
+            row |= ((1 << (high - base + step - width)) - 1) << width
+            width = high - base + step
+        code = int(at[i])
+        if counts[code] > 256:
+            if code not in whole:
+                bits = np.zeros(len(b), np.uint8)
+                bits[places[code]] = 1
+                whole[code] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            match = (whole[code] >> low & ((1 << (high - low)) - 1)) << (low - base)
+        else:
+            if code not in lists:
+                lists[code] = places[code].tolist()
+            match = 0
+            for j in lists[code]:
+                if low <= j < high:
+                    match |= 1 << (j - base)
+        if match:
+            both = row & match
+            row = (row + both | row & ~match) & ((1 << width) - 1)
+    return found + width - row.bit_count()
+
+
 def uid_of(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
@@ -142,8 +213,8 @@ def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
         for whole in batches:
             for low in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(low, BATCH_ROWS)
-                codes = [sketches(x.as_py()) for x in batch.column(2)]
-                sizes = [max(1, len(x.as_py().split())) - SHINGLE + 1 for x in batch.column(2)]
+                rows_of = [kmers(x.as_py()) for x in batch.column(2)]
+                codes, sizes = [_sketches(*r) for r in rows_of], [len(r[0]) for r in rows_of]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(np.maximum(sizes, 1).astype(np.int64)),
                      pa.array([c.view(np.int64) for c in codes], pa.list_(pa.int64()))], ["key", "uid", "n", "sketches"])
@@ -191,8 +262,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     if t not in held:
                         if len(held) > 64:
                             held.clear()
-                        held[t] = kmers(t)[1]
-                kept.append(_aligned(held[x] if x in held else kmers(x)[1], held[y]) > 0)
+                        held[t] = kmers(t)[0]
+                kept.append(_aligned(held[x] if x in held else kmers(x)[0], held[y]) > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(kept))
 
     left, right = texts.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("uid").alias("b"), F.col("text").alias("text_b"))

@@ -70,6 +70,24 @@ def test_alignment_is_that_of_the_full_table():
         assert near_dedup.similarity(" ".join(a), " ".join(b)) == (pytest.approx(want) if want >= 0.8 else 0)
 
 
+def test_repeated_lines_are_aligned_by_content():
+    rng = np.random.default_rng(3)
+    line = [f"again{i}" for i in range(30)]
+    parts = [[f"p{k}w{i}" for i in range(60)] for k in range(10)]
+    whole = [w for p in parts for w in p + line]
+    cases = [(whole, parts[0] + whole[90:]), (["a"] * 3000, ["a"] * 2900), (whole, line + whole[:-20])]
+    for _ in range(40):
+        few = [f"r{i}" for i in range(9)]
+        a = [w for k in range(12) for w in ([f"u{k}x{i}" for i in range(int(rng.integers(0, 25)))] + few)]
+        cases.append((a, edited(a, rng, int(rng.integers(0, 4)))))
+    for a, b in cases:
+        ka, kb = (near_dedup.kmers(" ".join(x))[0].tolist() for x in (a, b))
+        n = lcs(ka, kb)
+        want = n / (len(ka) + len(kb) - n)
+        assert near_dedup.similarity(" ".join(a), " ".join(b)) == (pytest.approx(want) if want >= 0.8 else 0)
+    assert near_dedup.similarity(" ".join(whole), " ".join(cases[0][1])) > 0.95
+
+
 def test_classes_match_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
     rows = queries.op7_order_minhash(spark, SF).collect()
