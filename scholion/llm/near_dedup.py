@@ -9,8 +9,12 @@ aligned / (all - aligned) and must reach 0.8.
 
 In a group that shares a sketch every member is paired with the group's first one and with its
 next neighbours in an order of the sketch's own, not with all others: linear in the group. Groups
-are compared in two rounds; the second leaves out pairs that are connected already. A pair at the
-threshold is missed by all sketches with probability (1 - 0.8^4)^24, about 3 in a million.
+are compared in two rounds; the second leaves out pairs that are connected already. Where a group is
+still not connected and not all of its pairs were compared (templates, license passages), its texts
+meet by a prefix filter on their labelled k-mers instead: no alignment is longer than what two texts
+have in common, so a pair that reaches the threshold shares one of the rarest k-mers of both. All such
+pairs between different components are verified. A pair at the threshold without repeated or moved
+parts is missed by all sketches with probability (1 - 0.8^4)^24, about 3 in a million.
 
 Defined cases: equal texts are one class from the start, empty ones too; null texts are classes of
 their own; texts of fewer than five words are one k-mer; case of A-Z and white space don't count;
@@ -250,6 +254,49 @@ def neighbour_pairs(grouped: DataFrame) -> DataFrame:
     return _pairs(beside.select("uid", "n", F.explode(F.array(*[f"ahead_{k}" for k in range(1, NEIGHBOURS + 1)])).alias("other")))
 
 
+def open_texts(grouped: DataFrame, roots: DataFrame) -> DataFrame:
+    """(uid, root) of the texts in groups that are not connected and had pairs that never met."""
+    large = grouped.where(F.col("size") > NEIGHBOURS + 1).select("sketch", "uid")
+    rooted = stored(large.join(roots, "uid", "left").select("sketch", "uid", F.coalesce("root", "uid").alias("root")))
+    apart = rooted.groupBy("sketch").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
+    return rooted.join(apart, "sketch", "left_semi").select("uid", "root").distinct()
+
+
+def prefix_pairs(rooted: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different roots that can reach the similarity, and few others.
+
+    K-mers are ordered by their number of texts, those of one root first: they make no pairs. Of two
+    texts that have ``both`` k-mers in common, each has one of these among its first n - both + 1.
+    """
+
+    def labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(low, BATCH_ROWS)
+                codes = [kmers(x.as_py())[1] for x in batch.column(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array([len(c) for c in codes], pa.int64()),
+                     pa.array([c.view(np.int64) for c in codes], pa.list_(pa.int64()))], ["uid", "root", "n", "codes"])
+
+    rows = texts.join(rooted, "uid").select("uid", "root", "text").mapInArrow(labels, "uid binary, root binary, n bigint, codes array<bigint>")
+    each = stored(rows).select("uid", "root", "n", F.explode("codes").alias("code"))
+    shared = stored(each.groupBy("code").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("low"), F.max("root").alias("high")).where(
+        F.col("low") != F.col("high")).select("code", "texts"))
+    least = lambda a, b: F.ceil(SIMILARITY / (1 + SIMILARITY) * (a + b) - 1e-9)
+    n = F.col("n")
+    ordered = each.join(shared, "code").groupBy("uid", "root", "n").agg(F.sort_array(F.collect_list(F.struct("texts", "code"))).alias("codes"))
+    # the k-mers of one root come before; the prefix is the longest that any partner asks for
+    left = n - F.ceil(SIMILARITY * n - 1e-9) + 1 - (n - F.size("codes"))
+    prefix = ordered.where(left > 0).select("uid", "root", "n", F.posexplode(F.slice("codes", F.lit(1), left.cast("int"))).alias("k", "c"), F.size("codes").alias("m"))
+    prefix = stored(prefix.select("uid", "root", "n", (n - F.col("m") + F.col("k")).alias("at"), F.col("c.code").alias("code")))
+    short = prefix.where(F.col("at") <= n - least(n, n)).alias("x")
+    at = lambda name: (F.col(f"x.{name}"), F.col(f"y.{name}"))
+    (nx, ny), (ux, uy), (ax, ay), (rx, ry) = at("n"), at("uid"), at("at"), at("root")
+    fits = ((nx < ny) | (nx == ny) & (ux < uy)) & (nx >= SIMILARITY * ny - 1e-9) & (ax <= nx - least(nx, ny)) & (ay <= ny - least(nx, ny)) & (rx != ry)
+    met = short.join(prefix.alias("y"), (F.col("x.code") == F.col("y.code")) & fits)
+    return met.select(F.least(ux, uy).alias("a"), F.greatest(ux, uy).alias("b")).distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose texts align; ``texts`` has one row (uid, text) for each of them."""
 
@@ -305,8 +352,12 @@ def roots_of(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
     at = lambda name: roots.select(F.col("uid").alias(name), F.col("root").alias(f"{name}_root"))
     rest = neighbour_pairs(grouped).join(at("a"), "a", "left").join(at("b"), "b", "left").where(
         F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-    more = verified(stored(rest), texts)
-    return components(links.unionByName(more))
+    links = links.unionByName(verified(stored(rest), texts))
+    roots = components(links)
+    unmet = stored(open_texts(grouped, roots))
+    if unmet.isEmpty():
+        return roots
+    return components(links.unionByName(verified(stored(prefix_pairs(unmet, texts)), texts)))
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -103,6 +103,22 @@ def test_large_groups_of_near_copies(spark):
     assert near_dedup.keep_one(df).count() == len(brute_classes(texts))
 
 
+def test_near_copies_on_one_template(spark):
+    rng = np.random.default_rng(5)
+    template = [f"t{i}" for i in range(304)]
+    own = lambda k, n: [f"own{k}x{i}" for i in range(n)]
+    texts = {k: " ".join(template + own(k, 50)) for k in range(600)}
+    for k in range(40):
+        # of 50 words that follow the template 14 stay: above the threshold for this page, below it for all others
+        texts[1000 + k] = " ".join(template + own(k, 14) + own(1000 + k, 36))
+    pairs = sorted([[k] for k in range(40, 600)] + [[k, 1000 + k] for k in range(40)])
+    similar = lambda a, b: near_dedup.similarity(texts[a], texts[b])
+    assert all(similar(k, 1000 + k) >= 0.8 for k in range(40))
+    assert not any(similar(*rng.choice(list(range(40, 600)), 2, replace=False)) for _ in range(200)) and not similar(0, 1001)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    assert partition((r["doc_id"], r["class_id"]) for r in near_dedup.classes(df).collect()) == pairs
+
+
 def test_order_counts():
     words = [f"w{i}" for i in range(200)]
     moved = words[100:] + words[:100]
