@@ -4,7 +4,8 @@ The element trees of a host's pages are merged: elements of the same path of tag
 one node. A node's importance is the mean of two entropies over the host's pages, each on a scale
 from 0 to 1: that of its content (the text below it) and that of its presentation (the tags of its
 children). What is the same on all pages of a site has low importance. Elements that by their tag,
-role or class are page furniture have importance 0 from the start. Each page loses its branches of
+role or class are page furniture have importance 0 from the start: a class or id counts if all of
+its words are names of furniture, and not where it wraps the page's article or most of its text. Each page loses its branches of
 low importance; what is left of its article (or of its body) is split into blocks.
 
 Node counts are summed by content before they are shuffled, so the host that has a third of all
@@ -31,8 +32,6 @@ from scholion.llm.common import stored
 
 #: A node is low if it is on so many pages of its host, and so large a share of them, at this importance or less.
 MIN_PAGES, MIN_SHARE, LOW = 8, 0.1, 0.15
-#: Lists and blocks outside an article whose text lies in links to this share are menus.
-LINK_SHARE = 0.6
 #: Counts that a task holds before it passes them on.
 HELD = 50_000
 
@@ -61,6 +60,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tags, self.parents, self.paths, self.furniture, self.within = ["#"], [0], [0], [False], [""]
+        self.named = [False]
         #: (element, text), or (element, None) where a block begins or ends
         self.items: list[tuple[int, str | None]] = []
         self._read(source)
@@ -84,7 +84,8 @@ class Page:
         self.within.append(within)
         self.paths.append(crc32(f"{tag} {re.sub('[0-9]+', '0', names)}".encode("utf-8", "replace"), self.paths[parent]))
         self.furniture.append(hidden or tag in FURNITURE or role in ROLES or tag == "header" and not within
-                              or bool(names) and self._named(tag, names, within))
+                              or bool(names) and tag in WHOLE and self._named(tag, names, within))
+        self.named.append(bool(names) and tag not in WHOLE and self._named(tag, names, within))
         return len(self.tags) - 1
 
     @staticmethod
@@ -92,8 +93,8 @@ class Page:
         whole = names.split()
         if tag in WHOLE:
             return any(n in ("comment", "comments") for n in whole)
-        parts = {p for n in whole for p in re.split(r"[^a-z0-9]+", n)}
-        return not parts.isdisjoint(NAMES) or not within and not parts.isdisjoint(PAGE_NAMES)
+        known = NAMES if within else NAMES | PAGE_NAMES
+        return any(known.issuperset(parts) for parts in ([p for p in re.split(r"[^a-z0-9]+", n) if p] for n in whole) if parts)
 
     def _read(self, source: str) -> None:
         stack, at, n, items = [0], 0, len(source), self.items
@@ -172,20 +173,43 @@ class Page:
                 of[self.paths[node]] = (crc32(content[node].to_bytes(4, "little"), a), crc32(children[node].to_bytes(4, "little"), b))
         return of
 
-    def text(self, low: frozenset[int]) -> str:
+    def _below(self, cut: list[bool]) -> list[bool]:
         gone = [False] * len(self.tags)
         for node in range(1, len(self.tags)):
-            gone[node] = gone[self.parents[node]] or self.furniture[node] or (self.paths[node] in low and self.tags[node] not in WHOLE)
+            gone[node] = gone[self.parents[node]] or cut[node]
+        return gone
+
+    def _apart(self, cut: list[bool], gone: list[bool], rank: dict[str, int]) -> list[bool]:
+        """The elements with a name of furniture, but for those that wrap the article or most of the distinct text."""
+        reach, letters, inner, seen = 0, [0] * len(self.tags), [0] * len(self.tags), set()
+        for node, text in self.items:
+            if text is not None and not cut[node] and (plain := text.strip()):
+                if not gone[node]:
+                    reach = max(reach, rank[self.within[node]])
+                letters[node] += len(plain) * (plain not in seen)
+                seen.add(plain)
+        for node in range(len(self.tags) - 1, 0, -1):
+            parent = self.parents[node]
+            letters[parent] += letters[node]
+            inner[parent] = max(inner[parent], inner[node], 0 if cut[node] else rank.get(self.tags[node], 0))
+        most = [2 * n > letters[0] for n in letters]
+        return [named and not ((inner[k] or most[k]) if not reach else inner[k] > reach and most[k] and rank[self.within[k]]) for k, named in enumerate(self.named)]
+
+    def text(self, low: frozenset[int]) -> str:
+        cut = [self.furniture[node] or (self.paths[node] in low and self.tags[node] not in WHOLE) for node in range(len(self.tags))]
+        rank = {"article": 2, "main": 1, "": 0}
+        gone = self._below([c or n for c, n in zip(cut, self.named)])
+        if any(self.named):
+            gone = self._below([c or n for c, n in zip(cut, self._apart(self._below(cut), gone, rank))])
         linked = [False] * len(self.tags)
         for node in range(1, len(self.tags)):
             linked[node] = linked[self.parents[node]] or self.tags[node] == "a"
-        rank = {"article": 2, "main": 1, "": 0}
         best = max((rank[self.within[n]] for n, t in self.items if t is not None and not gone[n] and t.strip()), default=0)
         blocks, held, links, size = [], [], 0, 0
 
         def flush() -> None:
             nonlocal held, links, size
-            if size and (best or links < LINK_SHARE * size):
+            if size and (best or links < size):
                 blocks.append(" ".join("".join(held).split()))
             held, links, size = [], 0, 0
 

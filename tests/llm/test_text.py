@@ -114,6 +114,20 @@ def test_furniture_goes_without_an_article(spark):
     assert text == "Title\n\nOne & two\n\nThree bold x\n\nfour\n\nfive\n\nsix\n\nSame line on every page of the site"
 
 
+@pytest.mark.parametrize("names", ['class="content has-sidebar"', 'class="no-sidebar"', 'id="page-with-navigation"', 'class="widget-area main-text"',
+                                   'class="login-required article-body"', 'class="widget"'])
+def test_wrappers_with_names_of_furniture_stay(names):
+    text = lambda body: html_extract.Page(f"<body>{body}<div class='sidebar'>side</div><div class='cookie-notice'>we use</div></body>").text(frozenset())
+    assert text(f"<div {names}><article><p>The text of the page</p></article></div>") == "The text of the page"
+    assert text(f"<div {names}><p>The text of a page without an article</p></div>") == "The text of a page without an article"
+    assert text("<main><p>Text</p></main><div class=related><article>Other, much longer than this page</article></div>") == "Text"
+
+
+def test_references_that_are_mostly_links_stay():
+    page = "<body><p>Text</p><ul><li>[1] <a href=x>A long title of a paper</a></li></ul></body>"
+    assert html_extract.Page(page).text(frozenset()) == "Text\n\n[1] A long title of a paper"
+
+
 def test_what_a_site_repeats_goes(spark):
     made = [(i, f"https://one.example/p{i}", f"<body><div><p>Own text number {i} {i * 7}</p><section><b>Read our house rules</b></section></div></body>") for i in range(30)]
     made.append((99, "https://two.example/", "<body><div><p>Alone</p><section><b>Read our house rules</b></section></div></body>"))
