@@ -130,6 +130,14 @@ def test_probabilities_of_the_next_token_sum_to_one(spark):
         assert np.allclose(shares, 1) and abs(outer.sum() - 1) < 1e-5
 
 
+def test_the_class_of_the_third_token_back_is_a_feature():
+    row = np.array([lm_scoring._START] * 3 + [3 << 26, 1 << 26, 2 << 26, 0])
+    other = row.copy()
+    other[3] = 4 << 26
+    one, two = (np.array(lm_scoring.features(r, np.array([6]))).ravel() for r in (row, other))
+    assert (one != two).sum() == 1 and max(one.max(), two.max()) < lm_scoring.ROWS + 3 * (lm_scoring.CLASSES + 1)
+
+
 def test_no_training_documents(spark):
     held = next(i for i in range(100) if fold(i) == 1)
     docs = spark.createDataFrame([(held, "only this")], "doc_id bigint, text string")
