@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.llm import bpe, decontamination, html_extract, language_id, lm_scoring, near_dedup, quality_rules, sharding, token_counts, toxicity
+from scholion.llm import bpe, decontamination, html_extract, language_id, lm_scoring, near_dedup, quality_rules, sharding, token_counts, toxicity, word_bpe
 from scholion.llm import oracles as oracles_sql
 from scholion.llm.common import table
 
 SHARDS = 8
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def sample_edits(text: str = "text"):
@@ -75,6 +76,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = word_bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE)
+    return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +89,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_language_id, op3_quality_rules, op4_html_extraction, op5_lm_scoring, op6_sharding, op7_order_minhash,
-    op8_byte_bpe, op9_toxicity, op10_decontamination, pipeline)}
+    op8_byte_bpe, op9_toxicity, op10_decontamination, op11_word_bpe, pipeline)}
 ORACLES = {"op3_quality_rules": oracles_sql.QUALITY, "op6_sharding": oracles_sql.sharded(SHARDS),
            "op10_decontamination": oracles_sql.DECONTAMINATION}
 
