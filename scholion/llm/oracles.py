@@ -78,3 +78,29 @@ SELECT doc_id, len(ws) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(owners
   coalesce(hits.n, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hits USING (rid) LEFT JOIN owners USING (rid)
 """
+
+COLLOCATIONS = r"""
+WITH plain AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM plain),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM words GROUP BY lang),
+places AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM words, (VALUES (1), (2), (3), (4), (5)) AS lengths(k)),
+known AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*)::HUGEINT AS f
+  FROM (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM places) GROUP BY lang, k, phrase HAVING count(*) >= 100),
+cuts AS (SELECT lang, phrase, ws, k, f, unnest(range(1, k)) AS cut FROM known WHERE k > 1),
+scores AS (
+  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, t.n, c.cut, (1000 * c.f * t.n) // (x.f * y.f) AS score
+  FROM cuts AS c JOIN totals AS t ON t.lang = c.lang
+  JOIN known AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.cut], ' ')
+  JOIN known AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1:], ' ')),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (
+  SELECT * FROM best AS b WHERE NOT EXISTS (
+    SELECT 1 FROM known AS o WHERE o.lang = b.lang AND o.k > len(string_split(b.phrase, ' ')) AND o.f >= b.a
+    AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
