@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.llm import bpe, decontamination, html_extract, language_id, lm_scoring, near_dedup, quality_rules, sharding, token_counts, toxicity, word_bpe
+from scholion.llm import alignment, bpe, collocations, decontamination, html_extract, language_id, lm_scoring, near_dedup, quality_rules, sharding, token_counts, toxicity, word_bpe
 from scholion.llm import oracles as oracles_sql
 from scholion.llm.common import table
 
 SHARDS = 8
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE, PIECE_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def sample_edits(text: str = "text"):
@@ -81,6 +82,15 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+    return found.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))).drop("groups")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,9 +99,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_language_id, op3_quality_rules, op4_html_extraction, op5_lm_scoring, op6_sharding, op7_order_minhash,
-    op8_byte_bpe, op9_toxicity, op10_decontamination, op11_word_bpe, pipeline)}
+    op8_byte_bpe, op9_toxicity, op10_decontamination, op11_word_bpe, op12_collocations, op13_alignment, pipeline)}
 ORACLES = {"op3_quality_rules": oracles_sql.QUALITY, "op6_sharding": oracles_sql.sharded(SHARDS),
-           "op10_decontamination": oracles_sql.DECONTAMINATION}
+           "op10_decontamination": oracles_sql.DECONTAMINATION, "op12_collocations": oracles_sql.COLLOCATIONS}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
