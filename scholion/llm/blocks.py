@@ -7,6 +7,7 @@ large share of the rows. Documents name entries by their place in the dictionary
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholion.llm.common import shared_folder
+
 
 def pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
@@ -69,6 +72,19 @@ def in_blocks(batches: Iterator[pa.RecordBatch], size: int, text: int = 1) -> It
         yield first + block, held
 
 
+def stored_by_block(cuts: DataFrame) -> DataFrame:
+    """The blocks written to the shared folder in buckets of their number and read again, so that
+    they need not be shuffled when values come back to them."""
+    spark, name = cuts.sparkSession, f"llm_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{shared_folder(spark)}/{name}"
+    cuts.write.bucketBy(buckets, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
+    held = spark.table(name)
+    held.schema  # resolved: from here on only the files count
+    spark.sql(f"DROP TABLE {name}")
+    return held
+
+
 def entries(blocks: DataFrame, name: str, *others: str) -> DataFrame:
     """One row per entry of each block: block, at, the entry and the columns that run along with it."""
     along = F.arrays_zip(name, *others) if others else F.transform(name, lambda x: F.struct(x.alias(name)))

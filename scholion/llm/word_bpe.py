@@ -1,10 +1,11 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Texts are split at white space into words, which a tokenizer that drops white space never crosses:
-normal forms, lower case, special strings and pre-tokens all stay within a word. Every distinct word
-of the corpus is encoded once, a join of its ids with the pieces of the vocabulary decodes it, and
-both come back to the documents by position. Words travel as the dictionaries of blocks of
-documents, so a frequent word has one row per block.
+Texts are split at white space, which a tokenizer that drops white space never crosses: normal
+forms, special strings and pre-tokens all stay within. Plain Latin words are also split into
+pre-tokens and made small, so that marks and capitals don't multiply the distinct words. The words of
+a block of documents meet in the partition of the word, sorted, so that each distinct word of the
+corpus is encoded once; its ids come back to the documents by position. Decoding joins the ids with
+the table of pieces.
 
 Defined cases: null texts count as empty, have no ids and decode to the empty text; repeated rows
 each get their result; columns other than key and text are ignored; an id without a piece decodes
@@ -15,24 +16,31 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scholion.llm import blocks
-from scholion.llm.common import stored
 
 #: Characters of the texts in a block, and of a part of a long text that is split at once.
 BLOCK, PART = 16_000_000, 1_000_000
+#: Words of these signs alone are split further: no normal form, no case and no class of theirs is in doubt.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ‐-‧]*")
+_PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~‐-‧]+")
 #: White space of ``str.split`` that the tokenizer takes for signs.
 SIGNS = "\x1c\x1d\x1e\x1f"
-#: Words that are encoded at once.
-BATCH = 5_000
+#: Words that leave a block at once.
+ROWS = 50_000
+#: Documents that are decoded at once.
+DECODED = 100
 
 
 @lru_cache(maxsize=4)
@@ -59,6 +67,13 @@ def words(text: str) -> Iterator[str]:
             yield from part.split()
 
 
+def parts(word: str) -> list[str]:
+    """A word cut where its pre-tokens begin, if it is plain; the parts encode like the word."""
+    if "<|" in word or not _PLAIN.fullmatch(word):
+        return [word]
+    return _PRE_TOKENS.findall(word.lower())
+
+
 class _Codes(dict):
     def __missing__(self, word: str) -> int:
         self[word] = code = len(self)
@@ -72,15 +87,38 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = BL
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, held in blocks.in_blocks(batches, size):
-            codes = _Codes()
-            of = [np.fromiter(map(codes.__getitem__, words(x)), np.uint32) for _, x in held]
+            whole, codes = _Codes(), _Codes()
+            of = [np.fromiter(map(whole.__getitem__, words(x)), np.uint32) for _, x in held]
+            cuts = [[codes[p] for p in parts(w)] for w in whole]
+            n = np.array(list(map(len, cuts)), np.int64)
+            flat = np.fromiter((c for x in cuts for c in x), np.int64)
+            sizes = [int(n[x].sum()) for x in of]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([[k for k, _ in held]], pa.list_(kinds[0])), pa.array([[len(c) for c in of]], pa.list_(pa.int64())),
-                 pa.array([blocks.pack(np.concatenate(of))], pa.binary()), pa.array([list(codes)], pa.list_(pa.string()))],
+                [pa.array([block]), pa.array([[k for k, _ in held]], pa.list_(kind)), pa.array([sizes], pa.list_(pa.int64())),
+                 pa.array([blocks.pack(blocks.gather(flat, n, np.concatenate(of)))], pa.binary()), pa.array([_packed(list(codes))], pa.binary())],
                 ["block", "keys", "sizes", "codes", "words"])
 
-    kinds = [arrow_type(rows, "key")]
-    return rows.mapInArrow(pieces, f"block long, keys array<{key_type}>, sizes array<long>, codes binary, words array<string>")
+    kind = arrow_type(rows, "key")
+    return rows.mapInArrow(pieces, f"block long, keys array<{key_type}>, sizes array<long>, codes binary, words binary")
+
+
+def _packed(words: list[str]) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress("\n".join(words).encode("utf-8", "surrogatepass"))
+
+
+def entries(cuts: DataFrame) -> DataFrame:
+    """block, at, word: the words of the blocks' dictionaries."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, packed in zip(*batch.columns):
+                text = zstandard.ZstdDecompressor().decompress(packed.as_py()).decode("utf-8", "surrogatepass")
+                held = text.split("\n") if text else []
+                for low in range(0, len(held), ROWS):
+                    some = held[low:low + ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(some), pa.int64()), pa.array(range(low, low + len(some)), pa.int32()),
+                                                      pa.array(some, pa.string())], ["block", "at", "word"])
+
+    return cuts.select("block", "words").mapInArrow(each, "block long, at int, word string")
 
 
 def arrow_type(df: DataFrame, name: str) -> pa.DataType:
@@ -98,50 +136,75 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows)
 
 
-def encode_words(distinct: DataFrame, path: str, word: str = "word") -> DataFrame:
-    """The rows with ``ids``, the token ids of the word."""
-    @F.pandas_udf("array<int>")
-    def ids(column: pd.Series) -> pd.Series:
-        batch = getattr(tokenizer(path), "encode_batch_fast", tokenizer(path).encode_batch)
-        return pd.Series([e.ids for low in range(0, len(column), BATCH) for e in batch(column.iloc[low:low + BATCH].tolist(), add_special_tokens=False)], dtype=object)
-
-    return distinct.withColumn("ids", ids(word))
+def encode_words(found: DataFrame, path: str) -> DataFrame:
+    """block, at, ids for rows of block, at, word: all rows of a word lie side by side, and the word is
+    encoded once."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch_of = getattr(tokenizer(path), "encode_batch_fast", tokenizer(path).encode_batch)
+        last, last_ids = None, b""
+        for batch in batches:
+            column = batch.column(2).dictionary_encode()
+            distinct = column.dictionary.to_pylist()
+            fresh = [w for w in distinct if w != last]
+            ids = dict(zip(fresh, (np.array(e.ids, "<u4").tobytes() for e in batch_of(fresh, add_special_tokens=False))))
+            of = [last_ids if w == last else ids[w] for w in distinct]
+            if of:
+                last = batch.column(2)[-1].as_py()
+                last_ids = ids.get(last, last_ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(of, pa.binary()).take(column.indices)], ["block", "at", "ids"])
 
-
-def decode(rows: DataFrame, path: str, key: str, ids: str = "ids") -> DataFrame:
-    """key, ids and ``decoded`` of the rows, whose keys are distinct: the ids join the pieces of the
-    vocabulary, which a tokenizer without a decoder joins by spaces. Rows without ids are left out."""
-    each = rows.select(key, F.posexplode(ids).alias("place", "id"))
-    with_pieces = each.join(F.broadcast(pieces(rows.sparkSession, path)), "id")
-    ordered = with_pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("place", "id", "piece"))).alias("of"))
-    return ordered.select(key, F.transform("of", lambda x: x["id"]).alias(ids),
-                          F.array_join(F.transform("of", lambda x: x["piece"]), " ").alias("decoded"))
+    together = found.repartition("word").sortWithinPartitions("word").select("block", "at", "word")
+    return together.mapInArrow(each, "block long, at int, ids binary")
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:
-    """One row per document: key, n_tokens, ids (little-endian 32-bit numbers), decoded (text)."""
-    cuts = stored(cut(docs, key, text, size))
-    found = blocks.entries(cuts, "words").withColumnRenamed("words", "word")
-    encoded = stored(encode_words(found.select("word").distinct(), path))
-    values = found.join(decode(encoded, path, "word"), "word", "left").select(
-        "block", "at", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"), "decoded")
+    """One row per document: key, n_tokens, ids (little-endian 32-bit numbers)."""
+    cuts = blocks.stored_by_block(cut(docs, key, text, size))
     kind = arrow_type(docs, key)
 
     def whole(block: dict, of: pa.Table) -> pa.Table:
         codes, sizes = blocks.unpack(block["codes"]), np.array(block["sizes"], dtype=np.int64)
-        lists = of["ids"].combine_chunks()
-        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-        lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-        flat = lists.flatten().to_numpy().astype("<u4")
-        ids, of_word = blocks.gather(flat, lengths, codes), lengths[codes]
-        word_at, id_at = blocks.starts(sizes), blocks.starts(of_word)
-        decoded = of["decoded"].to_pylist()
-        full = of_word > 0
-        n = [int(id_at[high] - id_at[low]) for low, high in zip(word_at, word_at[1:])]
-        texts = [" ".join(map(decoded.__getitem__, codes[low:high][full[low:high]].tolist())) for low, high in zip(word_at, word_at[1:])]
-        return pa.table({"key": pa.array(block["keys"], kind), "n_tokens": pa.array(n, pa.int64()),
-                         "ids": pa.array([ids[id_at[low]:id_at[high]].tobytes() for low, high in zip(word_at, word_at[1:])], pa.binary()),
-                         "decoded": pa.array(texts, pa.string())})
+        held = of["ids"].to_pylist()
+        lengths = np.array(list(map(len, held)), np.int64) // 4
+        ids = blocks.gather(np.frombuffer(b"".join(held), "<u4"), lengths, codes)
+        n = np.diff(blocks.starts(lengths[codes])[blocks.starts(sizes)])
+        ends = blocks.starts(n)
+        return pa.table({"key": pa.array(block["keys"], kind), "n_tokens": pa.array(n),
+                         "ids": pa.array([ids[low:high].tobytes() for low, high in zip(ends, ends[1:])], pa.binary())})
 
     key_type = docs.schema[key].dataType.simpleString()
-    return blocks.rebuilt(cuts.drop("words"), values, whole, f"key {key_type}, n_tokens long, ids binary, decoded string").withColumnRenamed("key", key)
+    found = encode_words(entries(cuts), path)
+    return blocks.rebuilt(cuts.drop("words"), found, whole, f"key {key_type}, n_tokens long, ids binary").withColumnRenamed("key", key)
+
+
+def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+    """The rows with ``decoded``: the ids joined with the vocabulary's table of pieces, whose texts a
+    tokenizer without a decoder puts between spaces. Null ids stay null.
+
+    The table is as large as the vocabulary at any size of the corpus, so each task holds it and
+    joins by the place of the id; a row per id would be shuffled twice to come back in order.
+    """
+    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pieces(path)
+        known = table.is_valid().to_numpy(zero_copy_only=False)
+        for batch in (whole.slice(low, DECODED) for whole in batches for low in range(0, whole.num_rows, DECODED)):
+            column = batch.column(batch.schema.get_field_index(ids))
+            numbers = [np.frombuffer(x.as_py() or b"", "<u4").astype(np.int64) for x in column]
+            numbers = [x[known[np.minimum(x, len(known) - 1)] & (x < len(known))] for x in numbers]
+            joined = table.take(pa.array(np.concatenate(numbers) if numbers else np.zeros(0, np.int64)))
+            starts = blocks.starts(np.array(list(map(len, numbers)), np.int64))
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), joined), " ")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pc.if_else(column.is_valid(), texts, None)], [*batch.schema.names, "decoded"])
+
+    return encoded.mapInArrow(each, schema)
+
+
+@lru_cache(maxsize=4)
+def pieces(path: str) -> pa.Array:
+    """The pieces of the vocabulary at the places of their ids; ids between that have none are empty."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    found = {i: piece for piece, i in file["model"]["vocab"].items()} | {t["id"]: t["content"] for t in file["added_tokens"]}
+    return pa.array([found.get(i) for i in range(max(found) + 1)], pa.string())

@@ -1,16 +1,23 @@
 """Encoding through a table of distinct words, against the library on whole texts."""
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from scholion.llm import queries, word_bpe
 from scholion.llm.common import table
 
 SF = "/root/testdata/sf0.001"
-HARD = ["", " \t\n ", "a\x1cb\x1fc d\u0085e f᠎g", "<|endoftext|>x <|startoftext|> y<|endoftext|>", "ΣΑΣ İstanbul é ́x Ω K ﬁ",
+def both(docs, **options):
+    return word_bpe.decode(word_bpe.encode(docs, queries.WORD_BPE, **options), queries.WORD_BPE)
+
+
+HARD = ["It's HE'LL 'sabc '' ''s l’été—Œuvre ÀÉ×÷ßſ “x”…y a<|b","", " \t\n ", "a\x1cb\x1fc d\u0085e f᠎g", "<|endoftext|>x <|startoftext|> y<|endoftext|>", "ΣΑΣ İstanbul é ́x Ω K ﬁ",
         "日本語 テキスト🙂 '’s I'LL don'T 1234 ３４", "x" * 3000, " a b　c​d﻿e", "\x00 \x01 ﷽ ￿ ", "a" * 40 + " " * 90 + "b"]
 
 
@@ -30,7 +37,7 @@ def library():
 def test_encoding_and_decoding_are_those_of_the_library(spark, odd, library, size):
     hard = spark.createDataFrame([(i, x) for i, x in enumerate(HARD)] + [(1, HARD[3])], "doc_id bigint, text string")
     for docs in (odd, hard, table(spark, SF, "documents")):
-        got = [(r["doc_id"], r["n_tokens"], bytes(r["ids"]), r["decoded"]) for r in word_bpe.encode(docs, queries.WORD_BPE, size=size).collect()]
+        got = [(r["doc_id"], r["n_tokens"], bytes(r["ids"]), r["decoded"]) for r in both(docs, size=size).collect()]
         assert sorted(got, key=repr) == sorted(((r["doc_id"], *library(r["text"])) for r in docs.collect()), key=repr)
 
 
@@ -52,9 +59,18 @@ def test_registered_digests(spark, library):
 
 def test_no_documents_and_no_words(spark, nothing, odd):
     assert word_bpe.encode(nothing, queries.WORD_BPE).collect() == []
-    assert [(r["n_tokens"], r["decoded"]) for r in word_bpe.encode(odd.where("doc_id IN (2, 3, 4)"), queries.WORD_BPE).collect()] == [(0, "")] * 3
+    assert [(r["n_tokens"], r["decoded"]) for r in both(odd.where("doc_id IN (2, 3, 4)")).collect()] == [(0, "")] * 3
 
 
 def test_ids_join_their_pieces(spark):
-    rows = spark.createDataFrame([("a", [320, 49407, 320]), ("b", [])], "key string, ids array<int>")
-    assert [tuple(r) for r in word_bpe.decode(rows, queries.WORD_BPE, "key").collect()] == [("a", [320, 49407, 320], "a</w> <|endoftext|> a</w>")]
+    number = lambda *ids: np.array(ids, "<u4").tobytes()
+    rows = spark.createDataFrame([(number(320, 49407, 320),), (number(),), (None,), (number(320, 4_000_000_000),)], "ids binary")
+    assert [r["decoded"] for r in word_bpe.decode(rows, queries.WORD_BPE).collect()] == ["a</w> <|endoftext|> a</w>", "", None, "a</w>"]
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.text(st.sampled_from("aA'stdreSM09.-’“…éÉßø_<|> \n^`{~/:@["), max_size=12))
+def test_parts_encode_like_the_whole(text):
+    whole = word_bpe.tokenizer(queries.WORD_BPE)
+    ids = lambda x: whole.encode(x, add_special_tokens=False).ids
+    assert [i for w in word_bpe.words(text) for p in word_bpe.parts(w) for i in ids(p)] == ids(text)
