@@ -30,9 +30,9 @@ from scholion.llm.common import stored
 
 LONGEST, MIN_COUNT, TOP, SCALE, SHARE = 5, 100, 2000, 1000, 100
 #: Characters of the texts in a block, and bytes of a long text that is split at once.
-BLOCK, PART = 8_000_000, 1 << 20
+BLOCK, PART = 4_000_000, 1 << 20
 #: Entries of a container before it bursts, of a trie before it spills; words that a task numbers at most.
-BURST, HELD, NAMED = 4_096, 700_000, 400_000
+BURST, HELD, NAMED = 4_096, 300_000, 200_000
 #: Rows of runs that leave a task at once.
 SENT = 50_000
 #: Bits of the map of frequent phrases: 8 MB at any size of the corpus.
@@ -114,6 +114,12 @@ def bits(hashes: np.ndarray) -> np.ndarray:
         return (mixed * _ODD) >> np.uint64(64 - FILTER_BITS)
 
 
+def in_map(held: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each row of word hashes is set in a map."""
+    at = bits(hashes)
+    return (held[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & np.uint8(1) == 1
+
+
 def bitmap(frequent: DataFrame, length: int) -> bytes:
     """The map of the phrases of a table (lang, phrase): 2 ** FILTER_BITS bits, whatever their number."""
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,21 +237,24 @@ def runs(cuts: DataFrame, length: int, before: bytes | None = None, held: int =
             yield batch(rows, words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool) if shared else None
+        frequent = np.frombuffer(shared.value, np.uint8) if shared else None
         trie, ids, words = HatTrie(length, burst), {}, []
         for rows in batches:
             for langs, of, own, codes in zip(*(rows.column(c) for c in ("langs", "of", "words", "codes"))):
                 langs = langs.as_py()
                 named_words = [(langs[i], w) for i, w in zip(of.as_py(), own.as_py())]
-                if len(ids) + len(named_words) > named and ids:
+                found, counts = _counted(blocks.unpack(codes.as_py()), named_words, length, frequent)
+                used = np.unique(found)
+                if len(ids) + len(used) > named and ids:
                     yield from batches_of(trie.spill(), words)
                     ids, words = {}, []
-                for w in named_words:
+                to_id = np.zeros(len(named_words), np.int64)
+                for i in used.tolist():
+                    w = named_words[i]
                     if w not in ids:
                         ids[w] = len(words)
                         words.append(w)
-                found, counts = _counted(blocks.unpack(codes.as_py()), named_words, length, frequent)
-                to_id = np.fromiter(map(ids.__getitem__, named_words), np.int64, len(named_words))
+                    to_id[i] = ids[w]
                 wide = np.ascontiguousarray(to_id[found].astype(">u4"))
                 for row, n in zip(wide.view(f"V{4 * length}").ravel().tolist(), counts.tolist()):
                     trie.add(row, n)
@@ -269,7 +278,7 @@ def _counted(codes: np.ndarray, words: list[tuple[str, str]], length: int, frequ
         at = np.flatnonzero(good)
         for shift in (0, 1):
             rows = hashes[np.stack([codes[at + shift + i] for i in range(length - 1)], axis=1) - 1]
-            at = at[frequent[bits(rows)]]
+            at = at[in_map(frequent, rows)]
     else:
         at = np.flatnonzero(good)
     ranks = codes[at] - 1
