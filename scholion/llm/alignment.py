@@ -28,10 +28,19 @@ from scholion.llm import blocks
 from scholion.llm.common import stored
 from scholion.llm.word_bpe import arrow_type
 
-#: Characters of the texts in a block, and of those that are tokenised at once.
-BLOCK, BATCH = 6_000_000, 500_000
+#: Characters of the texts in a block.
+BLOCK = 2_500_000
+#: Parts of texts that are tokenised at once.
+BATCH = 20_000
 #: Links of a group beyond which its distinct ids are counted instead of listing its links.
 LISTED = 4_096
+_SINGLE = re.compile(r"(?<=\S) (?=\S)")
+
+
+class _Codes(dict):
+    def __missing__(self, part: str) -> int:
+        self[part] = code = len(self)
+        return code
 
 
 class Pair:
@@ -52,18 +61,32 @@ class Pair:
         self.sizes = tuple(map(len, self.pieces))
         self.lengths = tuple(np.array(list(map(len, p)), np.int64) for p in self.pieces)
 
-    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both for each text; none where one doesn't give the text's bytes back."""
-        none = np.zeros(0, np.int64)
-        full = [x for x in texts if x]
-        found = zip((e.ids for e in self._encode([" " + x for x in full], add_special_tokens=False)), self.b.encode(full, num_threads=1))
-        for text in texts:
-            if not text:
-                yield none, none
-                continue
-            ids, whole = next(found), (" " + text).encode("utf-8", "surrogatepass")
-            same = all(b"".join(map(p.__getitem__, x)) == whole for p, x in zip(self.pieces, ids))
-            yield tuple(np.array(x, np.int64) for x in ids) if same else (none, none)
+    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both, one text after the other, and their numbers for each text; none where one
+        tokenizer doesn't give the text's bytes back.
+
+        No token of either crosses a single space between signs, so each distinct part between such
+        spaces is encoded once.
+        """
+        codes = _Codes()
+        of = [np.fromiter(map(codes.__getitem__, _SINGLE.split(x) if x else ()), np.int64) for x in texts]
+        parts, ids, good = list(codes), ([], []), []
+        for low in range(0, len(parts), BATCH):
+            some = parts[low:low + BATCH]
+            for x, *both in zip(some, (e.ids for e in self._encode([" " + x for x in some], add_special_tokens=False)), self.b.encode(some, num_threads=1)):
+                whole = (" " + x).encode("utf-8", "surrogatepass")
+                good.append(all(b"".join(map(p.__getitem__, i)) == whole for p, i in zip(self.pieces, both)))
+                for held, own in zip(ids, both):
+                    held.append(np.array(own, np.int32))
+        good = np.array(good, bool)
+        of = [x if good[x].all() else x[:0] for x in of]
+        each, counts = np.concatenate(of), [len(x) for x in of]
+        flat, numbers = [], []
+        for held in ids:
+            sizes = np.array(list(map(len, held)), np.int64)
+            flat.append(blocks.gather(np.concatenate(held).astype(np.int64) if held else np.zeros(0, np.int64), sizes, each))
+            numbers.append(sums(sizes[each], np.array(counts)))
+        return flat, numbers
 
 
 def byte_level_pieces(path: str) -> list[bytes]:
@@ -185,9 +208,7 @@ def cut(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: str
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizers(first, second)
         for block, held in blocks.in_blocks(batches, size):
-            ids = [x for part in _batches([t for _, t in held]) for x in own.tokens(part)]
-            n_a, n_b = (np.array([len(x[i]) for x in ids], np.int64) for i in (0, 1))
-            a, b = (np.concatenate([x[i] for x in ids]) for i in (0, 1))
+            (a, b), (n_a, n_b) = own.tokens([t for _, t in held])
             a_of, b_of = blocks.starts(n_a), blocks.starts(n_b)
             to_a, to_b = divide(np.cumsum(own.lengths[0][a]), np.cumsum(own.lengths[1][b]), a_of, b_of)
             in_a, in_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
@@ -207,18 +228,6 @@ def cut(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: str
                                    f"{', '.join(f'{n} binary' for n in packed)}, pairs array<long>, docs array<long>")
 
 
-def _batches(texts: list[str]) -> Iterator[list[str]]:
-    held, chars = [], 0
-    for text in texts:
-        held.append(text)
-        chars += len(text)
-        if chars >= BATCH:
-            yield held
-            held, chars = [], 0
-    if held:
-        yield held
-
-
 def pair_counts(cuts: DataFrame, second_size: int) -> DataFrame:
     """pair, a, b, docs (documents that hold them linked), best (no id of b has more with this a)."""
     counts = stored(blocks.entries(cuts, "pairs", "docs").groupBy(F.col("pairs").alias("pair")).agg(F.sum("docs").alias("docs")).select(
