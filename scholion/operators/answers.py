@@ -215,11 +215,14 @@ def is_valid(parse: Column, error: Column) -> Column:
     return parse.isNotNull() & ~has_text(F.coalesce(error, F.lit("")))
 
 
+def status_of(parse: Column, error: Column) -> Column:
+    """ok, parse_error (an error is recorded) or invoke_error."""
+    return F.when(is_valid(parse, error), "ok").when(F.coalesce(error, F.lit("")) != "", "parse_error").otherwise("invoke_error")
+
+
 def with_status(preds: DataFrame) -> DataFrame:
-    """Add ``status``: ok, parse_error (an error is recorded) or invoke_error."""
-    return preds.withColumn("status", F.when(is_valid(F.col("parse"), F.col("error")), "ok")
-                            .when(F.coalesce(F.col("error"), F.lit("")) != "", "parse_error")
-                            .otherwise("invoke_error"))
+    """Add ``status``."""
+    return preds.withColumn("status", status_of(F.col("parse"), F.col("error")))
 
 
 def prediction_status(preds: DataFrame) -> DataFrame:

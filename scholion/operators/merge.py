@@ -22,6 +22,7 @@ from scholion.operators.entities import (
     CHARACTERIZATION, CONDITION, EXTRA, MATERIAL, NUMBER, PROPERTY, STEP, TEXT, TEXTS, UNION, Entity,
     table_schema,
 )
+from scholion.operators.folds import Merge, ordered_fold
 
 # Names of properties that only sum up, and notes of failed measurements.
 BROAD_NAMES = (
@@ -331,11 +332,15 @@ PAYLOAD_FIELD = {"char": "characterization", "prop": "properties", "proc": "step
 MERGE = {"char": merge_characterizations, "prop": merge_properties, "proc": merge_process_steps}
 
 
-def merge_predictions(preds: DataFrame, route: str, **options) -> DataFrame:
-    """All valid records of a task merged in (file, line) order: (task_id, payload)."""
-    rows = valid_predictions(preds).select(
-        "task_id", F.struct("file_order", "seq").alias("ord"), F.col(f"parse.{PAYLOAD_FIELD[route]}").alias("payload"))
-    return MERGE[route](rows, ["task_id"], **options)
+def merge_predictions(preds: DataFrame, route: str | Merge, **options) -> DataFrame:
+    """All valid records of a task merged in (file, line) order: (task_id, payload).
+
+    ``route`` names one of the routes, or is a function that merges two whole records given as dicts.
+    """
+    whole = callable(route)
+    rows = valid_predictions(preds).select("task_id", F.struct("file_order", "seq").alias("ord"), (
+        F.col("parse") if whole else F.col(f"parse.{PAYLOAD_FIELD[route]}")).alias("payload"))
+    return ordered_fold(rows, ["task_id"], "ord", "payload", route, **options) if whole else MERGE[route](rows, ["task_id"], **options)
 
 
 def after_stage(tasks: DataFrame, preds: DataFrame, route: str, **options) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholion.operators.answers import with_status
@@ -24,16 +24,19 @@ def main_signal_before_stats(tasks: DataFrame) -> DataFrame:
         F.count_if(no_experiment).alias("empty_experiment_count")))
 
 
-def route_before_stats(tasks: DataFrame, route: str) -> DataFrame:
+def route_counters(route: str) -> dict[str, Column]:
     """Tasks without methods, without results (or support), without both, and on fallback."""
     names = (("method_excerpt_count", "support_excerpt_count", "used_method_fallback") if route == "proc"
              else ("method_window_count", "result_window_count", "used_result_fallback"))
     method, result, fallback = (F.col(f"route_stats.{n}") for n in names)
     second = "empty_support_count" if route == "proc" else "empty_result_count"
-    return as_metrics(tasks.agg(
-        F.count(F.lit(1)).alias("task_count"), F.count_if(method == 0).alias("empty_method_count"),
-        F.count_if(result == 0).alias(second), F.count_if((method == 0) & (result == 0)).alias("empty_context_count"),
-        F.count_if(fallback).alias("fallback_count")))
+    return {"empty_method_count": F.count_if(method == 0), second: F.count_if(result == 0),
+            "empty_context_count": F.count_if((method == 0) & (result == 0)), "fallback_count": F.count_if(fallback)}
+
+
+def route_before_stats(tasks: DataFrame, route: str) -> DataFrame:
+    """The number of tasks and the counters of a route."""
+    return as_metrics(tasks.agg(F.count(F.lit(1)).alias("task_count"), *[c.alias(n) for n, c in route_counters(route).items()]))
 
 
 def predict_stats(tasks: DataFrame, earlier: DataFrame, produced: DataFrame) -> DataFrame:

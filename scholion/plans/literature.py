@@ -1,18 +1,18 @@
 """Whole runs: each stage writes its table under the run and later stages read it.
 
 A run can be started again: sections and first tasks that are there are read, and the model is
-asked only for tasks without a valid answer. Answers are appended, each start under its own number.
+asked only for tasks without a valid answer. Answers are committed slice by slice, each start under
+its own number (see ``operators.calls``); stage tables count only when their write came to its end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.operators import answers, context, entities, final, merge, normalize, predict, sectioning, tasks, validate
+from scholion.operators import answers, calls, context, entities, final, merge, normalize, predict, sectioning, stats, tasks, validate
 from scholion.operators.anchors import explode_samples, require_sections
 from scholion.sources.jsonl import stage_path
 
@@ -20,53 +20,60 @@ Model = Callable[..., str]
 BUILD = {"char": tasks.build_char_tasks, "prop": tasks.build_prop_tasks, "proc": tasks.build_proc_tasks}
 
 
-def written(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None if there is none yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def identity(raw: DataFrame) -> tuple[int, int]:
+    """Number of rows and a checksum of names and contents, in one pass."""
+    rows, check = raw.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64(*[c for c in ("file_name", "md5", "content") if c in raw.columns])), F.lit(0))).first()
+    return rows, check
 
 
 def run(spark: SparkSession, raw: DataFrame, base: str, run_id: str, main_model: Model, route_models: dict[str, Model],
-        order_by: str = "file_name", batch_size: int = 20, templates: dict[str, str] | None = None, limit: int = 0) -> DataFrame:
+        order_by: str = "file_name", batch_size: int = 20, templates: dict[str, str] | None = None, limit: int = 0,
+        per_commit: int = calls.PER_COMMIT) -> DataFrame:
     """From (file_name, md5, content) rows to one record per document.
 
     ``templates`` has prompt templates by ``main_signal`` or route; a model with one is called
-    with messages, the others with the task text. ``limit`` bounds the calls of each model.
-    Row counts of all stages go to the ``manifest`` stage.
+    with messages, the others with the task text. ``limit`` bounds the calls of each model,
+    ``per_commit`` the calls that a crash can cost. The counters of all stages, taken while they
+    are written, go to the ``manifest`` stage. A run id belongs to one input: another one is refused.
     """
-    counts: dict[str, int] = {}
+    counts: dict[str, dict[str, int]] = {}
 
-    def done(df: DataFrame, name: str, again: bool = True) -> DataFrame:
-        """Write a stage table and read it back; without ``again`` one that is there stays."""
+    def done(df: DataFrame, name: str, again: bool = True, **counters: Column) -> DataFrame:
+        """Write a stage table and read it back; without ``again`` one that is whole stays."""
         path = stage_path(base, run_id, name)
-        kept = None if again else written(spark, path)
-        if kept is None:
-            df.write.mode("overwrite").parquet(path)
-            kept = spark.read.parquet(path)
-        counts[name] = kept.count()
+        metrics = [F.count(F.lit(1)).alias("row_count"), *[c.alias(n) for n, c in counters.items()]]
+        if again or not calls.is_complete(spark, path):
+            seen = Observation(name)
+            df.observe(seen, *metrics).write.mode("overwrite").parquet(path)
+            counts[name] = seen.get
+            return spark.read.parquet(path)
+        kept = spark.read.parquet(path)
+        counts[name] = kept.agg(*metrics).first().asDict()
         return kept
 
     def asked(todo: DataFrame, model: Model, name: str, entity: entities.Entity) -> DataFrame:
-        path = stage_path(base, run_id, f"{name}_calls")
-        earlier = written(spark, path)
-        attempt = 0
-        open_tasks = todo
-        if earlier is not None:
-            attempt = (earlier.agg(F.max("attempt")).first()[0] or 0) + 1
-            open_tasks = predict.pending_tasks(todo, answers.parse_responses(earlier, entity))
-        open_tasks = predict.limit_pending(open_tasks, limit)
-        if templates and name in templates:
-            open_tasks = predict.render_prompts(open_tasks, templates[name]).select("task_id", "messages")
-        else:
-            open_tasks = open_tasks.select("task_id", "text")
-        predict.predict(open_tasks, model, batch_size).withColumn("attempt", F.lit(attempt)).write.mode("append").parquet(path)
-        parsed = answers.parse_responses(spark.read.parquet(path), entity).withColumn("file_order", F.col("attempt")).withColumn("seq", F.lit(0))
-        return done(parsed, f"{name}_parsed")
+        log = calls.CallLog(spark, stage_path(base, run_id, f"{name}_calls"))
+        given = predict.render_prompts(todo, templates[name]).select("task_id", "messages") if templates and name in templates else todo.select("task_id", "text")
+        settled = lambda earlier: predict.done_task_ids(answers.parse_responses(earlier, entity))
+        replies = log.ask(given, model, settled, per_commit, limit, batch_size=batch_size)
+        if replies is None:
+            replies = predict.predict(given.limit(0), model).withColumns({"attempt": F.lit(0), "slice": F.lit(0)})
+        parsed = answers.parse_responses(replies, entity).withColumn("file_order", F.col("attempt")).withColumn("seq", F.lit(0))
+        status = answers.status_of(F.col("parse"), F.col("error"))
+        return done(parsed, f"{name}_parsed", **{f"{x}_count": F.count_if(status == y) for x, y in (
+            ("success", "ok"), ("parse_error", "parse_error"), ("invoke_error", "invoke_error"))})
 
-    sections = done(sectioning.split_sections(sectioning.normalize_raw(raw, order_by), run_id), "doc_split", again=False)
-    main_tasks = done(context.build_main_signal_tasks(sections), "main_signal_before", again=False)
+    mark = stage_path(base, run_id, "input")
+    given = identity(raw)
+    if calls.is_complete(spark, mark):
+        if tuple(spark.read.parquet(mark).first()) != given:
+            raise ValueError(f"run {run_id} was started with another input")
+    else:
+        spark.createDataFrame([given], "row_count long, checksum long").write.mode("overwrite").parquet(mark)
+    sections = done(sectioning.split_sections(sectioning.normalize_raw(raw, order_by), run_id), "doc_split", again=False,
+                    doc_count=F.count_if(F.col("section_index") == 1))
+    main_tasks = done(context.build_main_signal_tasks(sections), "main_signal_before", again=False,
+                      empty_experiment_count=F.count_if(~F.exists("source_refs", lambda r: F.array_contains(r["roles"], "experimental"))))
     first = normalize.first_good_prediction(asked(main_tasks, main_model, "main_signal", entities.MAIN_SIGNAL))
     keys = main_tasks.select("run_id", "doc_id", "task_id", "file_name")
     cleaned = first.withColumn("parse", validate.clean_main_signal(F.col("parse")))
@@ -75,13 +82,14 @@ def run(spark: SparkSession, raw: DataFrame, base: str, run_id: str, main_model:
     payloads = {}
     for route, model in route_models.items():
         samples = require_sections(explode_samples(documents, route), sections)
-        route_tasks = done(BUILD[route](sections, samples), f"{route}_before")
+        route_tasks = done(BUILD[route](sections, samples), f"{route}_before", **stats.route_counters(route))
         preds = asked(route_tasks, model, route, entities.ROUTE_RESULT[route])
         if route == "proc":
             preds = answers.recover_raw_text(preds, entities.PROC_RESULT)
         after = done(merge.after_stage(route_tasks, preds, route), f"{route}_after")
         payloads[route] = final.payloads_by_sample(after.withColumn("ord", F.col("task_id")), route)
-    result = done(final.final_documents(documents, payloads), "final_merge")
-    manifest = spark.createDataFrame(list(counts.items()), "stage string, row_count long")
+    result = done(final.final_documents(documents, payloads), "final_merge", sample_count=F.coalesce(F.sum(F.size("samples")), F.lit(0)))
+    manifest = spark.createDataFrame([(stage, of["row_count"], {k: v for k, v in of.items() if k != "row_count"}) for stage, of in counts.items()],
+                                     "stage string, row_count long, counters map<string,long>")
     manifest.write.mode("overwrite").parquet(stage_path(base, run_id, "manifest"))
     return result

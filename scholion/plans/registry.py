@@ -8,9 +8,9 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholion.plans import query_answers, query_routing, query_sections
+from scholion.plans import query_answers, query_routing, query_runs, query_sections
 
-MODULES = (query_sections, query_routing, query_answers)
+MODULES = (query_sections, query_routing, query_answers, query_runs)
 
 
 def _with_shared_folder(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -6,31 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scholion.sources.lines import read_lines
+
 CORRUPT = "_corrupt_record"
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType, on_bad: str = "fail") -> DataFrame:
-    """Rows of a JSON-lines file; blank lines never count.
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType, on_bad: str = "fail",
+               positions: bool = False) -> DataFrame:
+    """Rows of JSON-lines files; blank lines never count.
 
-    ``fail`` stops at a malformed line and names it; ``skip`` leaves such lines out.
-    Lines are parsed from text, so dropping columns later cannot hide a bad line.
+    ``fail`` stops at a malformed line and names its file and number; ``skip`` leaves such lines
+    out. ``positions`` adds ``file`` and ``line``, the order of the rows. Lines are parsed from
+    text, so dropping columns later cannot hide a bad line.
     """
     if on_bad not in ("fail", "skip"):
         raise ValueError("on_bad must be 'fail' or 'skip'")
-    lines = spark.read.text(path).where(F.trim("value") != "").select(
-        "value", F.col("_metadata.file_path").alias("_file")
-    )
+    if positions or on_bad == "fail":
+        lines = read_lines(spark, path)
+    else:
+        lines = spark.read.text(path).select(F.lit("").alias("file"), F.lit(0).alias("line"), "value")
     wide = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    parsed = lines.withColumn(
+    parsed = lines.where(F.trim("value") != "").withColumn(
         "row", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     )
     bad = F.col(f"row.{CORRUPT}").isNotNull() | ~F.coalesce(F.ltrim("value").startswith("{"), F.lit(False))
+    columns = [F.col(f"row.{f.name}").alias(f.name) for f in schema.fields]
+    if positions:
+        columns = ["file", "line", *columns]
     if on_bad == "skip":
-        kept = parsed.where(~bad)
-        return kept.select(*[F.col(f"row.{f.name}").alias(f.name) for f in schema.fields])
-    message = F.concat(F.lit("malformed JSON line in "), F.col("_file"), F.lit(": "), F.substring("value", 1, 200))
-    checked = parsed.withColumn("row", F.when(bad, F.raise_error(message)).otherwise(F.col("row")))
-    return checked.select(*[F.col(f"row.{f.name}").alias(f.name) for f in schema.fields])
+        return parsed.where(~bad).select(*columns)
+    message = F.concat(F.lit("malformed JSON in "), F.col("file"), F.lit(", line "), F.col("line").cast("string"), F.lit(": "), F.substring("value", 1, 200))
+    return parsed.withColumn("row", F.when(bad, F.raise_error(message)).otherwise(F.col("row"))).select(*columns)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
