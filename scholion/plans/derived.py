@@ -130,20 +130,24 @@ def property_rule(x: str, t: str) -> dict[str, str]:
 
 
 def _json_text(value: str) -> str:
-    return f"coalesce(concat('\"', {value}, '\"'), 'null')"
+    return f"coalesce('\"' || {value} || '\"', 'null')"  # null in both dialects where the value is
 
 
-def property_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(task_id, file_order, seq, raw_text, error): one answer per event, tasks are users."""
+def property_body(t: str) -> str:
+    """SQL for a whole property answer, of one or two entries."""
     def entry(x: str) -> str:
-        r = property_rule(x, "string")
+        r = property_rule(x, t)
         return (f"concat('{{\"类别\":\"', {r['category']}, '\",\"名称\":\"', {r['name']}, '\",\"缩写\":null,\"值\":{{\"单值\":', "
                 f"coalesce({r['single_number']}, {_json_text(r['single_text'])}), ',\"说明\":', {_json_text(r['note'])}, "
-                f"'}},\"测试条件\":{{\"方法\":\"', {r['method']}, '\"', coalesce(concat(',\"湿度\":\"', {r['humidity']}, '\"'), ''), '}}}}')")
+                f"'}},\"测试条件\":{{\"方法\":\"', {r['method']}, '\"', coalesce(',\"湿度\":\"' || {r['humidity']} || '\"', ''), '}}}}')")
 
-    body = (f"concat('{{\"性质\":[', {entry('event_id')}, CASE WHEN event_id % 2 = 0 THEN concat(',', {entry('(event_id + 7)')}) "
+    return (f"concat('{{\"性质\":[', {entry('event_id')}, CASE WHEN event_id % 2 = 0 THEN concat(',', {entry('(event_id + 7)')}) "
             "ELSE '' END, ']}')")
-    return _answers(spark, sf_dir, "property", body)
+
+
+def property_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(task_id, file_order, seq, raw_text, error): one answer per event, tasks are users."""
+    return _answers(spark, sf_dir, "property", property_body("string"))
 
 
 def _answers(spark: SparkSession, sf_dir: str, stage: str, body: str) -> DataFrame:
@@ -239,6 +243,16 @@ def response_chunks(spark: SparkSession, sf_dir: str, size: int = 24) -> DataFra
     return answers.select(F.col("seq").alias("response_id"), F.posexplode(F.expr(cut)).alias("seq", "chunk"))
 
 
+def conversation_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as property answers that arrive turn by turn; some notes hold a stray bracket."""
+    turns = table(spark, sf_dir, "conversations")
+    last = turns.groupBy("conv_id").agg(F.min("turn").alias("first"), F.max("turn").alias("last"))
+    entry = F.expr("concat('{\"类别\":\"', role, '\",\"名称\":\"', md5(text), '\",\"值\":{\"单值\":', cast(length(text) AS string), ',\"说明\":', "
+                   "CASE WHEN (conv_id + turn) % 3 = 1 THEN '\"a]\"' ELSE 'null' END, '},\"测试条件\":{}}')")
+    chunk = F.concat(F.when(F.col("turn") == F.col("first"), '{"性质":[').otherwise(","), entry, F.when(F.col("turn") == F.col("last"), "]}").otherwise(""))
+    return turns.join(last, "conv_id").select(F.col("conv_id").alias("response_id"), F.col("turn").alias("seq"), chunk.alias("chunk"))
+
+
 # --- name lists
 
 def pair_names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -138,12 +138,29 @@ def _(spark, sf):
     return answers.prediction_status(parsed(spark, sf, "proc"))
 
 
-@query("assemble_chunks", f"""SELECT event_id AS response_id, {derived.VALID_EVENT} AS is_read FROM events WHERE event_id % 11 <> 5""")
+def _emissions(made: DataFrame) -> DataFrame:
+    """All emitted readings, their entries in one text."""
+    entry = lambda p: F.concat_ws("|", p["category"], p["name"], p["value"]["single"]["text"], p["value"]["note"], p["conditions"]["method"],
+                                  F.try_element_at(p["conditions"]["extra"], F.lit("湿度")))
+    return made.select("response_id", "seq", "is_final", F.array_join(F.transform("parse.properties", entry), ";").alias("entries"))
+
+
+# an answer can be read from the chunk with its closing bracket on; a cut one, or one without JSON, at its end
+@query("assemble_chunks", f"""WITH {ENTRIES.strip()},
+texts AS (SELECT event_id, {derived._answer_sql('body', 'event_id')} AS t FROM (SELECT event_id, {derived.property_body('varchar')} AS body FROM events) WHERE event_id % 11 <> 5),
+read AS (SELECT seq, string_agg(concat_ws('|', category, name, coalesce(num, txt), trim(note), method, humidity), ';' ORDER BY j) AS entries FROM entries GROUP BY seq),
+placed AS (SELECT event_id, (len(t) - 1) // 24 AS last, CASE WHEN strpos(t, ']') > 0 THEN (strpos(t, ']') - 1) // 24 ELSE (len(t) - 1) // 24 END AS place FROM texts)
+SELECT event_id AS response_id, place AS seq, place = last AS is_final, entries FROM placed LEFT JOIN read ON read.seq = event_id""")
 def _(spark, sf):
-    made = answers.assemble_chunks(derived.response_chunks(spark, sf), entities.PROP_RESULT)
-    # the last reading of a response is the one that stays
-    last = made.groupBy("response_id").agg(F.max_by("answer", "seq").alias("answer"))
-    return last.select("response_id", F.col("answer").isNotNull().alias("is_read"))
+    return _emissions(answers.assemble_chunks(derived.response_chunks(spark, sf), entities.PROP_RESULT))
+
+
+@query("assemble_conversations", """WITH t AS (SELECT conv_id, turn, (conv_id + turn) % 3 = 1 AS stray, turn = max(turn) OVER (PARTITION BY conv_id) AS is_final,
+    concat_ws('|', role, md5(text), cast(len(text) AS varchar), CASE WHEN (conv_id + turn) % 3 = 1 THEN 'a]' END) AS entry FROM conversations),
+r AS (SELECT *, bool_or(stray) OVER w AS balanced, string_agg(entry, ';') OVER w AS entries FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+SELECT conv_id AS response_id, turn AS seq, is_final, entries FROM r WHERE balanced OR is_final""")
+def _(spark, sf):
+    return _emissions(answers.assemble_chunks(derived.conversation_chunks(spark, sf), entities.PROP_RESULT))
 
 
 @query("running_bracket_counts", """
@@ -510,15 +527,15 @@ def after_rows(spark, sf, route: str) -> DataFrame:
 
 
 def user_documents(spark, sf) -> DataFrame:
-    """Every second user as a document with two samples, of which the first can have payloads."""
-    users = derived.table(spark, sf, "events").select("user_id").distinct().where("user_id % 2 = 0")
+    """Users, and their events' types, as documents with two samples, of which the first of a user can have payloads."""
+    users = derived.table(spark, sf, "events").select(F.explode(F.array(F.col("user_id").cast("string"), "event_type")).alias("u")).distinct()
     sample = lambda k: F.struct(*[F.lit(None).cast("string").alias(n) for n in ("category_name", "category_code")], F.lit(f"sample {k}").alias("name"),
                                 *[F.lit(None).cast("string").alias(n) for n in ("sample_form", "structure_l1", "structure_l2")], F.lit(f"s{k}").alias("sample_id"))
-    return users.select(F.lit("run").alias("run_id"), F.concat(F.lit("d"), "user_id").alias("doc_id"), F.array(sample(1), sample(2)).alias("samples"))
+    return users.select(F.lit("run").alias("run_id"), F.concat(F.lit("d"), "u").alias("doc_id"), F.array(sample(1), sample(2)).alias("samples"))
 
 
 def payload_tables(spark, sf) -> dict[str, DataFrame]:
-    return {"char": final.payloads_by_sample(after_rows(spark, sf, "char"), "char"), "prop": final.payloads_by_sample(after_rows(spark, sf, "prop"), "prop")}
+    return {route: final.payloads_by_sample(after_rows(spark, sf, route), route) for route in final.ROUTES}
 
 
 @query("payloads_by_sample", f"""WITH {CHAR_ROWS.strip()} SELECT concat('d', regexp_extract(task_id, 'u(\\d+)', 1)) AS doc_id, 's1' AS sample_id, peaks, mn, sem FROM peak_lists JOIN scalars USING (task_id)""")
@@ -527,20 +544,26 @@ def _(spark, sf):
         "doc_id", "sample_id", F.array_join("payload.ftir.peaks_cm_1", "|").alias("peaks"), F.col("payload.gpc_sec.mn_kda.text").alias("mn"), F.col("payload.morphology.sem").alias("sem"))
 
 
-@query("final_documents", f"""WITH {MERGED_PROPS.strip()}, {CHAR_ROWS.strip()}, u AS (SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 0),
-props AS (SELECT task_id, count(*) AS n FROM weak WHERE NOT drop GROUP BY task_id)
-SELECT concat('d', user_id) AS doc_id, k AS pos, concat('sample ', k + 1) AS name, CASE WHEN k = 0 THEN sem END AS sem, CASE WHEN k = 0 THEN coalesce(n, 0) ELSE 0 END AS n_properties, 0 AS n_steps
-FROM u, (VALUES (0), (1)) v(k) LEFT JOIN scalars s ON s.task_id = concat('run__u', user_id, '__characterization') LEFT JOIN props p ON p.task_id = concat('run__u', user_id, '__property')""")
+USERS = "u AS (SELECT DISTINCT unnest([user_id::varchar, event_type]) AS u FROM events)"
+
+
+@query("final_documents", f"""WITH {MERGED_PROPS.strip()}, {CHAR_ROWS.strip()}, {STEP_ROWS.strip()}, {USERS},
+props AS (SELECT task_id, count(*) AS n FROM weak WHERE NOT drop GROUP BY task_id),
+made AS (SELECT task_id, count(*) AS n, arg_min(product, first_ord) AS first_product FROM steps GROUP BY task_id)
+SELECT concat('d', u) AS doc_id, k AS pos, concat('sample ', k + 1) AS name, CASE WHEN k = 0 THEN sem END AS sem, CASE WHEN k = 0 THEN peaks END AS peaks, CASE WHEN k = 0 THEN coalesce(p.n, 0) ELSE 0 END AS n_properties,
+  CASE WHEN k = 0 THEN coalesce(m.n, 0) ELSE 0 END AS n_steps, CASE WHEN k = 0 THEN first_product END AS first_product
+FROM u, (VALUES (0), (1)) v(k) LEFT JOIN scalars s ON s.task_id = concat('run__u', u, '__characterization') LEFT JOIN peak_lists l ON l.task_id = s.task_id
+LEFT JOIN props p ON p.task_id = concat('run__u', u, '__property') LEFT JOIN made m ON m.task_id = concat('run__u', u, '__process')""")
 def _(spark, sf):
     docs = final.final_documents(user_documents(spark, sf), payload_tables(spark, sf))
     return docs.select("doc_id", F.posexplode("samples").alias("pos", "s")).select(
-        "doc_id", "pos", "s.name", F.col("s.characterization.morphology.sem").alias("sem"), F.size("s.properties").alias("n_properties"), F.size("s.process").alias("n_steps"))
+        "doc_id", "pos", "s.name", F.col("s.characterization.morphology.sem").alias("sem"), F.array_join("s.characterization.ftir.peaks_cm_1", "|").alias("peaks"),
+        F.size("s.properties").alias("n_properties"), F.size("s.process").alias("n_steps"), F.get("s.process", F.lit(0))["product_name"].alias("first_product"))
 
 
-@query("merge_coverage", f"""WITH u AS (SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 0), g AS (SELECT DISTINCT user_id FROM events WHERE {derived.VALID_EVENT})
-SELECT 'doc_count' AS metric, count(*) AS value FROM u UNION ALL SELECT 'sample_count', 2 * count(*) FROM u UNION ALL SELECT 'characterization_record_count', count(*) FROM g
-UNION ALL SELECT 'properties_record_count', count(*) FROM g UNION ALL SELECT 'matched_characterization_count', count(*) FROM u JOIN g USING (user_id)
-UNION ALL SELECT 'matched_properties_count', count(*) FROM u JOIN g USING (user_id) UNION ALL SELECT 'matched_process_count', 0""")
+@query("merge_coverage", f"""WITH {USERS}, g AS (SELECT DISTINCT user_id FROM events WHERE {derived.VALID_EVENT}), c AS (SELECT (SELECT count(*) FROM u) AS docs, (SELECT count(*) FROM g) AS records)
+SELECT 'doc_count' AS metric, docs AS value FROM c UNION ALL SELECT 'sample_count', 2 * docs FROM c""" + "".join(
+    f" UNION ALL SELECT '{c}_record_count', records FROM c UNION ALL SELECT 'matched_{c}_count', records FROM c" for c in final.COLUMN.values()))
 def _(spark, sf):
     return final.merge_coverage(user_documents(spark, sf), payload_tables(spark, sf))
 

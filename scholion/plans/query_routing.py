@@ -234,12 +234,11 @@ def _(spark, sf):
 
 # --- windows in DuckDB
 
-def window_ctes(route: str) -> str:
+def window_ctes(route: str, radius: int = windows.RESULT_RADIUS) -> str:
     """Result windows of a route as set operations: flags, focus, ranges, windows, ranking."""
     config = route_config(route)
     widen = (lambda x: x) if route == "char" else groups_sql
     rheo = sql_list((config.preferences or {}).get("PrecursorFluid", ()))
-    radius = windows.RESULT_RADIUS
     excl = lambda t: any_regex(config.exclude, t)
     comp = lambda t: any_regex(config.comparative, t) if config.comparative else "false"
     transition = lambda t: any_regex(vocab.TRANSITIONS, t)
@@ -464,16 +463,57 @@ PREFERRED = "list_distinct(flatten(list_transform(agroups, lambda g: CASE " + "
     f"WHEN g = '{k}' THEN [{sql_list(v)}]" for k, v in PROP.preferences.items()) + " ELSE [] END)))"
 
 
-@query("method_hints_prop", f"""WITH {window_ctes('prop')},{FULL},
-direct AS (SELECT doc_id, sample_index, list_sort(list_distinct(flatten(list(hints)))) AS hints FROM ranked GROUP BY ALL)
-SELECT doc_id, sample_index, array_to_string(CASE WHEN list_has_any(hints, {PREFERRED}) THEN list_filter(hints, lambda x: list_contains({PREFERRED}, x)) ELSE hints END, '|') AS hints
-FROM direct JOIN anch USING (doc_id, sample_index)""")
+# the porous fallback has windows of its own, with the smaller radius; title phrases make property sections
+PROP_FINAL = f"""{window_ctes('prop')},{FULL},
+porous_wins AS (WITH {window_ctes('prop', windows.POROUS_FALLBACK_RADIUS)} SELECT doc_id, sample_index, chunk_index, window_index, line_start, s, e, keywords, hints FROM raw_wins WHERE NOT excluded),
+state AS (SELECT a.doc_id, a.sample_index, agroups, raw_count, kept_count, list_contains(agroups, 'PorousBody') AS porous FROM anch a JOIN raw_counts USING (doc_id, sample_index) JOIN kept_counts USING (doc_id, sample_index)),
+porous_kept AS (SELECT p.doc_id, p.sample_index, chunk_index, window_index, line_start + s AS start, line_start + e AS "end", 'prop_results' AS part, list_filter(keywords, lambda x: x IN ({sql_list(PROP.preferences['PorousBody'])})) AS keywords, hints
+  FROM porous_wins p JOIN state USING (doc_id, sample_index) WHERE kept_count = 0 AND raw_count > 0 AND porous AND list_has_any(keywords, [{sql_list(PROP.preferences['PorousBody'])}])),
+full_lines AS (SELECT doc_id, sample_index, chunk_index, list_distinct(flatten(list(labels))) AS labels, list_distinct(flatten(list(CASE WHEN hit OR family THEN labels ELSE [] END))) AS hints FROM judged GROUP BY ALL),
+full_kept AS (SELECT r.doc_id, r.sample_index, r.chunk_index, row_number() OVER (PARTITION BY r.doc_id, r.sample_index ORDER BY r.chunk_index) AS window_index, s.line_start AS start, s.line_end AS "end", 'prop_results_full' AS part,
+    list_sort(list_distinct(list_concat(coalesce(r.title_labels, []), coalesce(l.labels, [])))) AS keywords, coalesce(l.hints, []) AS hints
+  FROM results r JOIN state t USING (doc_id, sample_index) JOIN sections s USING (doc_id, chunk_index) LEFT JOIN full_lines l USING (doc_id, sample_index, chunk_index)
+  WHERE t.raw_count = 0 AND len(r.title_labels) > 0),
+chosen AS (SELECT doc_id, sample_index, chunk_index, window_index, line_start + s AS start, line_start + e AS "end", 'prop_results' AS part, keywords, hints FROM ranked UNION ALL SELECT * FROM porous_kept UNION ALL SELECT * FROM full_kept),
+direct AS (SELECT a.doc_id, a.sample_index, a.agroups, list_sort(list_distinct(flatten(list(coalesce(c.hints, []))))) AS found, count(c.window_index) AS n FROM anch a LEFT JOIN chosen c USING (doc_id, sample_index) GROUP BY ALL),
+hint_lists AS (SELECT d.doc_id, d.sample_index, d.n > 0 AND t.kept_count = 0 AS used_result_fallback,
+    CASE WHEN list_has_any(found, {PREFERRED.replace("agroups", "d.agroups")}) THEN list_filter(found, lambda x: list_contains({PREFERRED.replace("agroups", "d.agroups")}, x)) ELSE found END AS hints
+  FROM direct d JOIN state t USING (doc_id, sample_index)),
+narrowed AS (SELECT c.*, CASE WHEN len(h.hints) > 0 THEN list_filter(c.keywords, lambda x: list_contains(h.hints, x)) ELSE c.keywords END AS cut FROM chosen c JOIN hint_lists h USING (doc_id, sample_index)
+  WHERE len(h.hints) = 0 OR list_has_any(c.keywords, h.hints))"""
+
+PROP_METHODS = f"""{METHODS},
+agreeing AS (SELECT h.doc_id, h.sample_index, m.chunk_index, m.window_index, m.start, m."end", list_filter(m.keywords, lambda x: list_contains(h.hints, x)) AS keywords, 'prop_methods' AS part
+  FROM mkeys m JOIN hint_lists h USING (doc_id) JOIN roled r ON r.doc_id = m.doc_id AND r.chunk_index = m.chunk_index
+  WHERE list_has_any(m.keywords, h.hints) AND (len(r.title_labels) = 0 OR list_has_any(r.title_labels, h.hints))),
+whole AS (SELECT h.doc_id, h.sample_index, r.chunk_index, row_number() OVER (PARTITION BY h.doc_id, h.sample_index ORDER BY r.chunk_index) AS window_index, s.line_start AS start, s.line_end AS "end",
+    list_sort(list_distinct(list_concat(r.title_labels, coalesce(l.labels, [])))) AS keywords, 'prop_methods_full' AS part
+  FROM roled r JOIN hint_lists h USING (doc_id) JOIN sections s USING (doc_id, chunk_index)
+  LEFT JOIN (SELECT doc_id, chunk_index, flatten(list(labels)) AS labels FROM labelled GROUP BY ALL) l USING (doc_id, chunk_index)
+  WHERE r.role = 'method' AND list_has_any(r.title_labels, h.hints) AND NOT EXISTS (SELECT 1 FROM agreeing g WHERE g.doc_id = h.doc_id AND g.sample_index = h.sample_index)),
+excerpts AS (SELECT * FROM agreeing UNION ALL SELECT * FROM whole)"""
+
+
+@query("method_hints_prop", f"WITH {PROP_FINAL} SELECT doc_id, sample_index, used_result_fallback, coalesce(array_to_string(hints, '|'), '') AS hints FROM hint_lists")
 def _(spark, sf):
-    kept = routed(spark, sf, "prop").where("NOT used_result_fallback AND had_ranked")
-    return kept.select("doc_id", "sample_index", as_list("hints").alias("hints"))
+    return routed(spark, sf, "prop").select("doc_id", "sample_index", "used_result_fallback", as_list("hints").alias("hints"))
 
 
-@query("prop_tasks")
+@query("result_windows_prop", f"""WITH {PROP_FINAL} SELECT doc_id, sample_index, chunk_index, window_index, start, "end", array_to_string(cut, '|') AS keywords FROM narrowed""")
+def _(spark, sf):
+    return routed(spark, sf, "prop").select("doc_id", "sample_index", F.explode("result").alias("w")).select(
+        "doc_id", "sample_index", "w.chunk_index", "w.window_index", "w.start", "w.end", as_list("w.keywords").alias("keywords"))
+
+
+@query("method_excerpts_prop", f"""WITH {PROP_FINAL},{PROP_METHODS} SELECT doc_id, sample_index, chunk_index, window_index, start, "end", array_to_string(keywords, '|') AS keywords FROM excerpts""")
+def _(spark, sf):
+    return routed(spark, sf, "prop").select("doc_id", "sample_index", F.explode("methods").alias("w")).select(
+        "doc_id", "sample_index", "w.chunk_index", "w.window_index", "w.start", "w.end", as_list("w.keywords").alias("keywords"))
+
+
+@query("prop_tasks", f"""WITH {PROP_FINAL},{PROP_METHODS} SELECT h.doc_id, h.sample_index, concat('run__', h.doc_id, '__', lpad(h.sample_index::varchar, 3, '0'), '__property') AS task_id,
+  (SELECT count(*) FROM excerpts x WHERE x.doc_id = h.doc_id AND x.sample_index = h.sample_index) AS method_window_count,
+  (SELECT count(*) FROM narrowed x WHERE x.doc_id = h.doc_id AND x.sample_index = h.sample_index) AS result_window_count, used_result_fallback FROM hint_lists h""")
 def _(spark, sf):
     built = tasks.build_prop_tasks(sections(spark, sf), samples(spark, sf, "prop"))
     return task_summary(built, "method_window_count", "result_window_count", "used_result_fallback")
