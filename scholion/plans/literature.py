@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from scholion.operators import answers, calls, context, entities, final, merge, normalize, predict, sectioning, stats, tasks, validate
 from scholion.operators.anchors import explode_samples, require_sections
+from scholion.sources import corpus
 from scholion.sources.jsonl import stage_path
 
 Model = Callable[..., str]
@@ -29,7 +30,9 @@ def identity(raw: DataFrame) -> tuple[int, int]:
 def run(spark: SparkSession, raw: DataFrame, base: str, run_id: str, main_model: Model, route_models: dict[str, Model],
         order_by: str = "file_name", batch_size: int = 20, templates: dict[str, str] | None = None, limit: int = 0,
         per_commit: int = calls.PER_COMMIT) -> DataFrame:
-    """From (file_name, md5, content) rows to one record per document.
+    """From (file_name, md5, content) rows to one record per file.
+
+    Files of equal content are worked on once, and each gets the record.
 
     ``templates`` has prompt templates by ``main_signal`` or route; a model with one is called
     with messages, the others with the task text. ``limit`` bounds the calls of each model,
@@ -72,6 +75,9 @@ def run(spark: SparkSession, raw: DataFrame, base: str, run_id: str, main_model:
         spark.createDataFrame([given], "row_count long, checksum long").write.mode("overwrite").parquet(mark)
     sections = done(sectioning.split_sections(sectioning.normalize_raw(raw, order_by), run_id), "doc_split", again=False,
                     doc_count=F.count_if(F.col("section_index") == 1))
+    every_file = sections
+    sections, listed = corpus.one_per_content(every_file)
+    files = done(listed, "files", again=False)
     main_tasks = done(context.build_main_signal_tasks(sections), "main_signal_before", again=False,
                       empty_experiment_count=F.count_if(~F.exists("source_refs", lambda r: F.array_contains(r["roles"], "experimental"))))
     first = normalize.first_good_prediction(asked(main_tasks, main_model, "main_signal", entities.MAIN_SIGNAL))
@@ -92,4 +98,4 @@ def run(spark: SparkSession, raw: DataFrame, base: str, run_id: str, main_model:
     manifest = spark.createDataFrame([(stage, of["row_count"], {k: v for k, v in of.items() if k != "row_count"}) for stage, of in counts.items()],
                                      "stage string, row_count long, counters map<string,long>")
     manifest.write.mode("overwrite").parquet(stage_path(base, run_id, "manifest"))
-    return result
+    return corpus.for_every_file(result, files)

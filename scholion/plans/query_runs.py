@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholion.operators import answers, calls, entities, folds, merge, predict
-from scholion.plans import derived, query_answers
+from scholion.operators import anchors, answers, calls, entities, folds, merge, predict, sectioning
+from scholion.plans import derived, literature, query_answers
 from scholion.session import ensure_checkpoint_dir
+from scholion.sources import corpus
 from scholion.sources.jsonl import read_jsonl
 
 QUERIES: dict = {}
@@ -80,3 +82,23 @@ def _(spark, sf):
         F.when(F.col("seq") % 3 == 0, "hot").otherwise(F.col("task_id")).alias("task_id"), F.struct("file_order", "seq").alias("ord"),
         F.struct(F.left(F.col("parse.characterization.ftir.peaks_cm_1")[0], F.lit(1)).alias("marks"), sem.alias("first_note"), sem.alias("last_note")).alias("payload"))
     return folds.ordered_fold(rows, ["task_id"], "ord", "payload", trail).select("task_id", "n", "payload.*")
+
+
+@query("copied_files", """WITH f AS (SELECT concat('f', doc_id, '.md') AS file_name, md5(concat('# Abstract', chr(10), text)) AS doc_id FROM documents),
+c AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_files FROM f)
+SELECT file_name, n_files, route, concat('run__', doc_id, '__001__', route) AS task_id, 1 AS n_front FROM c, (VALUES ('characterization'), ('property'), ('process')) v(route)""")
+def _(spark, sf):
+    # documents has exact copies, so files of equal content and equal doc_id
+    texts = derived.table(spark, sf, "documents").select(
+        F.concat(F.lit("f"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), F.concat(F.lit("# Abstract\n"), F.col("text")).alias("content"))
+    sections = sectioning.split_sections(sectioning.normalize_raw(corpus.raw_rows(texts)), derived.RUN_ID)
+    kept, files = corpus.one_per_content(sections)
+    counted = files.join(files.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_files")), "doc_id")
+    # one sample for each front section that a route gets to see
+    samples = kept.where("section_index = 1").groupBy("run_id", "doc_id").agg(F.count(F.lit(1)).alias("n_front")).select(
+        "run_id", "doc_id", "n_front", F.lit(1).alias("sample_index"), F.concat(F.lit("s_"), "doc_id").alias("sample_id"),
+        F.lit("PI film").alias("name"), F.lit("PI").alias("category_code"), F.lit("Polyimide").alias("category_name"), F.lit("Film").alias("sample_form"))
+    built = [make(kept, anchors.anchor_rows(samples, route)).select("run_id", "doc_id", F.lit(anchors.ROUTE_STAGE[route]).alias("route"), "task_id")
+             for route, make in literature.BUILD.items()]
+    everything = reduce(DataFrame.unionByName, built).join(samples.select("run_id", "doc_id", "n_front"), ["run_id", "doc_id"])
+    return corpus.for_every_file(everything, counted).select("file_name", "n_files", "route", "task_id", "n_front")

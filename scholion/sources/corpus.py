@@ -40,6 +40,27 @@ def flatten_corpus(files: DataFrame) -> DataFrame:
     return named.join(first, "path", "left_semi").select("path", "stem", "file_name", "content")
 
 
+FILE_KEYS = ["run_id", "doc_id", "doc_index"]
+
+
+def one_per_content(sections: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sections of the first file of each content, and the list of all files with their content.
+
+    Files of equal content share ``doc_id``; later stages that know documents by it would mix their
+    sections and ask the model twice. Only copies are looked for among the sections, so where there
+    are few of them no text moves.
+    """
+    files = sections.select(*FILE_KEYS, "file_name").distinct()
+    firsts = files.groupBy("run_id", "doc_id").agg(F.min("doc_index").alias("doc_index"))
+    copies = files.join(firsts, FILE_KEYS, "left_anti").select(*FILE_KEYS)
+    return sections.join(copies, FILE_KEYS, "left_anti"), files
+
+
+def for_every_file(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Results by content, once for each file that has it."""
+    return files.join(rows.drop("doc_index", "file_name"), ["run_id", "doc_id"])
+
+
 def dense_index(df: DataFrame, key: str, output: str, start: int = 1, tie: list[str] | None = None) -> DataFrame:
     """Consecutive numbers in order of ``key`` and the ``tie`` columns, nulls first.
 

@@ -1,4 +1,6 @@
 import json
+import time
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -36,6 +38,30 @@ def test_whole_run_with_a_stand_in_model(spark, tmp_path):
     assert [p.value.single.text for p in sample.properties] == ["5"] and sample.process == []
 
 
+def test_files_of_equal_content_are_worked_on_once(spark, tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def model(kind, reply):
+        def answer(text):
+            (asked / f"{kind}-{uuid.uuid4().hex}-{len(text)}").touch()
+            return json.dumps(reply, ensure_ascii=False)
+        return answer
+
+    main = model("main", {"文献信息": {}, "聚合物": [{"名称": "PI film", "聚合物分类编码": "PI"}], "why": "w"})
+    routes = {"char": model("char", {"表征": {}}), "prop": model("prop", {"性质": []}), "proc": model("proc", {"工艺流程": []})}
+    shape = "file_name string, md5 string, content string"
+    results = []
+    for run_id, names in (("one", ["a.md"]), ("three", ["a.md", "b.md", "c.md"])):
+        raw = spark.createDataFrame([(n, None, PAPER) for n in names], shape)
+        out = literature.run(spark, raw, str(tmp_path / "out"), run_id, main, routes).collect()
+        assert [r.file_name for r in sorted(out, key=lambda r: r.doc_index)] == names and len({str(r.samples) for r in out}) == 1
+        results.append(sorted(p.name.split("-")[0] + p.name.split("-")[2] for p in asked.iterdir()))
+        for p in asked.iterdir():
+            p.unlink()
+    assert results[0] == results[1] and len(results[0]) == 4
+
+
 def test_a_second_run_asks_only_open_tasks(spark, tmp_path):
     asked = tmp_path / "asked"
     asked.mkdir()
@@ -64,7 +90,13 @@ def test_streamed_chunks_give_complete_prefixes(spark, tmp_path):
     spark.createDataFrame(rows, "response_id string, seq long, chunk string").coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("response_id string, seq long, chunk string").parquet(str(tmp_path / "in"))
     query = (chunks.prefixes(stream).writeStream.format("memory").queryName("prefixes").outputMode("append")
-             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
-    query.awaitTermination(90)
-    found = spark.table("prefixes").where(~F.col("is_final")).collect()
+             .option("checkpointLocation", str(tmp_path / "cp")).start())
+    try:  # a query with processing-time timeouts goes on without data, so wait for its rows
+        for _ in range(120):
+            found = spark.table("prefixes").where(~F.col("is_final")).collect()
+            if found or not query.isActive:
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
     assert [(r.response_id, r.seq, r.raw_text) for r in found] == [("a", 2, '{"x":1}')]
