@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from scholion.functions import vocab
 from scholion.functions.arrays import dedup_ignore_case, let, overlaps
@@ -251,8 +255,83 @@ def anchor_of(column: Column, route: str) -> Anchor:
     return Anchor(route, *[column[n] for n in ("terms", "family", "forms", "groups", "ratios", "is_variant")])
 
 
+#: Samples of a document whose terms share one automaton.
+SAMPLES_AT_ONCE = 256
+_CODE_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789/+-")
+
+
+def fold_case(text: str) -> str:
+    """The text sign by sign in the form that a comparison without regard to case uses."""
+    if text.isascii():
+        return text.lower()
+
+    def one(c: str) -> str:
+        upper = c.upper() if len(c.upper()) == 1 else c
+        return upper.lower() if len(upper.lower()) == 1 else upper
+
+    return "".join(map(one, text))
+
+
+class TermFinder:
+    """Automata of a document's terms: one for short codes as written, one for the others by folded case."""
+
+    def __init__(self, terms: list[dict]):
+        import ahocorasick
+
+        self.sets = {}
+        for is_code in (True, False):
+            own: dict[str, list[tuple]] = {}
+            for t in terms:
+                if t["is_code"] == is_code and t["label"]:
+                    own.setdefault(t["label"] if is_code else fold_case(t["label"]), []).append((t["sample_index"], t["label"], t["plural"]))
+            if own:
+                automaton = ahocorasick.Automaton()
+                for needle, of in own.items():
+                    automaton.add_word(needle, (len(needle), of))
+                automaton.make_automaton()
+                self.sets[is_code] = automaton
+
+    def find(self, line: str) -> dict[int, set[str]]:
+        """Labels found in a line, by sample."""
+        found: dict[int, set[str]] = {}
+        for is_code, automaton in self.sets.items():
+            text = line if is_code else fold_case(line)
+            for end, (size, of) in automaton.iter(text):
+                if is_code:
+                    free = end + 1 - size == 0 or text[end - size] not in _CODE_SIGNS
+                    closed = [free and (i >= len(text) or text[i] not in _CODE_SIGNS) for i in (end + 1, end + 2)]
+                    closed[1] = closed[1] and text[end + 1:end + 2] == "s"
+                for sample, label, plural in of:
+                    if not is_code or closed[0] or (plural and closed[1]):
+                        found.setdefault(sample, set()).add(label)
+        return found
+
+
 def match_terms(lines: DataFrame, terms: DataFrame) -> DataFrame:
-    """Term labels found in each line: equi-join on the document, then the pattern test."""
-    hit = lines.join(terms, ["run_id", "doc_id"]).where(F.rlike("line", F.col("pattern")))
-    return hit.groupBy("run_id", "doc_id", "chunk_index", "line_index", "sample_index").agg(
-        F.array_sort(F.collect_set("label")).alias("labels"))
+    """Term labels found in each line: the terms of a document meet its lines on the document alone,
+    and one pass of an automaton finds all of them."""
+    keys = ["run_id", "doc_id"]
+    plural = F.contains("pattern", F.lit("(?:s)?(?!"))
+    of_doc = terms.withColumn("_part", F.floor(F.col("sample_index") / SAMPLES_AT_ONCE)).groupBy(*keys, "_part").agg(
+        F.collect_set(F.struct(F.col("sample_index").cast("int").alias("sample_index"), "label", "is_code", plural.alias("plural"))).alias("_terms"))
+    rows = lines.join(of_doc, keys).select(*keys, "chunk_index", "line_index", "line", "_part", "_terms")
+    schema = T.StructType([*rows.select(*keys, "chunk_index", "line_index").schema.fields, T.StructField("sample_index", T.IntegerType()),
+                           T.StructField("labels", T.ArrayType(T.StringType()))])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = to_arrow_schema(schema)
+        known, finder = None, None
+        for batch in batches:
+            out = []
+            places = [batch.column(i).to_pylist() for i in range(6)]
+            for i, (run, doc, chunk, at, line, part) in enumerate(zip(*places)):
+                if line is None:
+                    continue
+                if known != (run, doc, part):
+                    known, finder = (run, doc, part), TermFinder(batch.column(6)[i].as_py())
+                out += [{"run_id": run, "doc_id": doc, "chunk_index": chunk, "line_index": at, "sample_index": sample,
+                         "labels": sorted(labels, key=str.encode)} for sample, labels in finder.find(line).items()]
+            if out:
+                yield pa.RecordBatch.from_pylist(out, shape)
+
+    return rows.mapInArrow(find, schema)

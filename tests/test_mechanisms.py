@@ -9,7 +9,7 @@ from oracle_check import compare, connect
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scholion.operators import answers, calls, entities, folds, merge, predict
+from scholion.operators import anchors, answers, calls, entities, folds, merge, predict
 from scholion.plans import literature, registry
 from scholion.sources.jsonl import read_jsonl
 from scholion.sources.lines import read_lines
@@ -131,3 +131,23 @@ def test_predictions_merge_with_a_function_of_the_user(spark):
     out = merge.merge_predictions(preds, lambda a, b: a | {"why": a["why"] + b["why"], "samples": a["samples"] + b["samples"]})
     (row,) = out.collect()
     assert row.n == 3 and row.payload.why == "abc" and [s.name for s in row.payload.samples] == ["PI"] * 3
+
+
+@pytest.mark.parametrize("route", ["char", "prop"])
+@pytest.mark.parametrize("at_once", [1, 256])
+def test_automata_find_what_the_patterns_match(spark, monkeypatch, route, at_once):
+    monkeypatch.setattr(anchors, "SAMPLES_AT_ONCE", at_once)
+    random.seed(3)
+    labels = ["PI", "PI/CNC", "PI-CNC", "PI / CNC", "Polyimide", "poly", "µm (film)", "ÉTÉ", "a.b*c", "CNCs", "PAA", "PIs"]
+    parts = ["PI", "PIs", "PI/CNC", "xPI", "PI-", "pi", "POLYIMIDES", "polyimide", "μM (Film)", "été", "A.B*C", "aXbbc", "CNC", " ", ".", "s", "PAA", "ſ"]
+    lines = spark.createDataFrame([("r", f"d{i % 3}", i % 2, i, "".join(random.choices(parts, k=9)) if i % 40 else None) for i in range(400)],
+                                  "run_id string, doc_id string, chunk_index int, line_index int, line string")
+    term = anchors.term_structs(F.array(*map(F.lit, labels)), route)
+    terms = spark.range(3).select(F.lit("r").alias("run_id"), F.concat(F.lit("d"), "id").alias("doc_id"), F.posexplode(term).alias("ord", "t")).where(
+        "id < 2").select("run_id", "doc_id", (F.col("ord") % 4).alias("sample_index"), "ord", "t.label", "t.is_code", "t.pattern")
+    want = lines.join(terms, ["run_id", "doc_id"]).where(F.rlike("line", F.col("pattern"))).groupBy(
+        "run_id", "doc_id", "chunk_index", "line_index", "sample_index").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    found = anchors.match_terms(lines, terms)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) != []
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
