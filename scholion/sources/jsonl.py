@@ -35,7 +35,7 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType,
         columns = ["file", "line", *columns]
     if on_bad == "skip":
         return parsed.where(~bad).select(*columns)
-    message = F.concat(F.lit("malformed JSON in "), F.col("file"), F.lit(", line "), F.col("line").cast("string"), F.lit(": "), F.substring("value", 1, 200))
+    message = F.concat(F.lit("malformed JSON line in "), F.col("file"), F.lit(", line "), F.col("line").cast("string"), F.lit(": "), F.substring("value", 1, 200))
     return parsed.withColumn("row", F.when(bad, F.raise_error(message)).otherwise(F.col("row"))).select(*columns)
 
 
