@@ -31,14 +31,14 @@ from pyspark.sql import types as T
 from scholion.llm import blocks
 
 #: Characters of the texts in a block, and of a part of a long text that is split at once.
-BLOCK, PART = 16_000_000, 1_000_000
+BLOCK, PART = 10_000_000, 1_000_000
 #: Words of these signs alone are split further: no normal form, no case and no class of theirs is in doubt.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ‐-‧]*")
 _PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~‐-‧]+")
 #: White space of ``str.split`` that the tokenizer takes for signs.
 SIGNS = "\x1c\x1d\x1e\x1f"
-#: Words that leave a block at once.
-ROWS = 50_000
+#: Words that leave a block at once; encoded words that a task holds before they are packed by block.
+ROWS, PACKED = 50_000, 200_000
 #: Documents that are decoded at once.
 DECODED = 100
 
@@ -137,11 +137,12 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def encode_words(found: DataFrame, path: str) -> DataFrame:
-    """block, at, ids for rows of block, at, word: all rows of a word lie side by side, and the word is
-    encoded once."""
+    """block, at, places, sizes, ids (packed numbers) for rows of block, at, word: all rows of a word
+    lie side by side, and the word is encoded once. A block's words come in several rows, each of
+    which holds the places of its words in the dictionary and their ids; ``at`` is the first place."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch_of = getattr(tokenizer(path), "encode_batch_fast", tokenizer(path).encode_batch)
-        last, last_ids = None, b""
+        last, last_ids, held, n = None, b"", {}, 0
         for batch in batches:
             column = batch.column(2).dictionary_encode()
             distinct = column.dictionary.to_pylist()
@@ -151,10 +152,26 @@ def encode_words(found: DataFrame, path: str) -> DataFrame:
             if of:
                 last = batch.column(2)[-1].as_py()
                 last_ids = ids.get(last, last_ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(of, pa.binary()).take(column.indices)], ["block", "at", "ids"])
+            for block, at, code in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), column.indices.to_pylist()):
+                places, words = held.setdefault(block, ([], []))
+                places.append(at)
+                words.append(of[code])
+            n += batch.num_rows
+            if n >= PACKED:
+                yield _by_block(held)
+                held, n = {}, 0
+        if held:
+            yield _by_block(held)
 
     together = found.repartition("word").sortWithinPartitions("word").select("block", "at", "word")
-    return together.mapInArrow(each, "block long, at int, ids binary")
+    return together.mapInArrow(each, "block long, at int, places binary, sizes binary, ids binary")
+
+
+def _by_block(held: dict[int, tuple[list[int], list[bytes]]]) -> pa.RecordBatch:
+    rows = [(block, min(places), blocks.pack(np.array(places)), blocks.pack(np.array(list(map(len, words))) // 4), blocks.pack(np.frombuffer(b"".join(words), "<u4")))
+            for block, (places, words) in held.items()]
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["block", "at", "places", "sizes", "ids"])
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:
@@ -164,9 +181,10 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     def whole(block: dict, of: pa.Table) -> pa.Table:
         codes, sizes = blocks.unpack(block["codes"]), np.array(block["sizes"], dtype=np.int64)
-        held = of["ids"].to_pylist()
-        lengths = np.array(list(map(len, held)), np.int64) // 4
-        ids = blocks.gather(np.frombuffer(b"".join(held), "<u4"), lengths, codes)
+        places, of_word, flat = (np.concatenate([np.zeros(0, np.int64), *map(blocks.unpack, of[name].to_pylist())]) for name in ("places", "sizes", "ids"))
+        order = np.argsort(places)
+        lengths = of_word[order]
+        ids = blocks.gather(blocks.gather(flat, of_word, order), lengths, codes).astype("<u4")
         n = np.diff(blocks.starts(lengths[codes])[blocks.starts(sizes)])
         ends = blocks.starts(n)
         return pa.table({"key": pa.array(block["keys"], kind), "n_tokens": pa.array(n),
