@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from scholion.llm import blocks
 
 #: Characters of the texts in a block, and of a part of a long text that is split at once.
-BLOCK, PART = 10_000_000, 1_000_000
+BLOCK, PART = 12_000_000, 1_000_000
 #: Words of these signs alone are split further: no normal form, no case and no class of theirs is in doubt.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ‐-‧]*")
 _PRE_TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~‐-‧]+")
