@@ -141,3 +141,52 @@ def test_odd_pages(spark):
     got = sorted(((r["page_id"], r["url"], r["text"]) for r in html_extract.extract(df).collect()), key=repr)
     assert got == sorted([(1, None, ""), (None, "::", ""), (2, "http://x", ""), (2, "http://x", ""), (3, "u", "a < b & c"), (4, "u", "deep")], key=repr)
     assert html_extract.extract(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("name", "comment-list comment-body user-comments comments-area post-comments site-footer main-nav menu-main ad-slot social-links "
+                                 "share-buttons sidebar-right widget-area newsletter-box comment-1234 ad-728x90 site-header sidebar__inner".split())
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
+def test_compound_names_of_furniture_go(name, wrap):
+    if name == "site-header" and "article" in wrap:
+        return
+    for attribute in ("class", "id"):
+        body = wrap.format(f"<h1>Title</h1><p>The text of the page, longer than the rest.</p><div {attribute}='{name}'><p>Said by others</p></div>")
+        assert html_extract.Page(f"<body>{body}</body>").text(frozenset()) == "Title\n\nThe text of the page, longer than the rest."
+
+
+@pytest.mark.parametrize("name", ["comment-list", "main-nav", "sidebar-content", "post-menu-wrap", "ad-free-reading", "social-science", "commentary"])
+def test_compound_names_around_the_article_stay(name):
+    text = lambda body: html_extract.Page(f"<body>{body}<div class='sidebar'>side</div></body>").text(frozenset())
+    assert text(f"<div class='{name}'><article><p>The text</p></article></div>") == "The text"
+    assert text(f"<div class='{name}'><p>The text of a page without an article</p></div>") == "The text of a page without an article"
+
+
+def test_links_and_teasers_outside_articles():
+    text = lambda body: html_extract.Page(f"<body>{body}</body>").text(frozenset())
+    assert text("<p>One</p><p><a href=x>Only a link</a></p><ul><li><a href=y>Menu</a></li></ul>") == "One\n\nOnly a link"
+    long = "The whole text of this page, which is much longer than its teaser. " * 5
+    assert text(f"<div><p>{long}</p></div><article><p>A teaser</p></article>") == f"{long.strip()}\n\nA teaser"
+    assert text(f"<article><p>{long}</p></article><div>Loose line</div>") == long.strip()
+
+
+def _site(host, n, notice="<section><b>Read our house rules</b></section>", own="Own text number {0} of {1}"):
+    return [(None, f"https://{host}/p{i}", f"<body><div><p>{own.format(i, host)}</p>{notice}</div></body>") for i in range(n)]
+
+
+def test_low_nodes_do_not_depend_on_the_size_of_the_host(spark):
+    rows = _site("alone", 30) + _site("small", 5) + _site("large", 30) + _site("large", 400, "<em>Number {0}</em>".format("x"), "Other text {0} of {1}")
+    got = {(r["url"], r["text"]) for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert not [t for _, t in got if "house rules" in t]
+    assert ("https://large/p3", "Own text number 3 of large") in got and ("https://small/p3", "Own text number 3 of small") in got
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    rows = _site("copies", 40, own="The same text on every page") + [(None, "https://copies/x", "<body><div><p>Another</p></div></body>")]
+    got = {r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {"The same text on every page\n\nRead our house rules", "Another"}
+
+
+def test_lists_of_low_nodes_are_no_longer_than_a_page(spark):
+    rows = [(None, f"https://one/p{i}", f"<body><div class=t{chr(97 + i // 5 % 20)}><p>Own {i}</p><b>Fixed {i // 5 % 20}</b></div></body>") for i in range(100)]
+    low = html_extract.low_nodes(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(low) == 20 and all(len(r["low"]) <= 5 for r in low)
