@@ -60,6 +60,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """The name, or a longer one where the table has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_key(text: Column) -> Column:
     """Key of a text's content; equal texts get equal keys, null stays null."""
     return F.md5(text.cast("binary"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholion.llm.common import stored
+from scholion.llm.common import stored, unused
 
 WIDTH = 10
 #: Pairs of item and window in a block; a block's terms and windows are sent to all tasks.
@@ -218,7 +218,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFra
     The documents are written out with a number for each row; the rows of the (few) hit documents
     are taken out by that number.
     """
-    number = "__row"
+    number = unused(docs, "__row")
     rows = stored(docs.withColumn(number, F.monotonically_increasing_id()))
     hit = scan(rows.select(number, text), items, key=number, text=text).where(F.size("hits") > 0).select(number)
     return rows.join(hit, number, "left_anti").select(*docs.columns)

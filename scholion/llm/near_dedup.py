@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scholion.llm.common import stored
+from scholion.llm.common import stored, unused
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PICKS = 24, 4
@@ -375,12 +375,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Repeated rows of one key and text are reduced before the texts are shuffled.
     """
-    mark = "__uid"
+    mark = unused(docs, "__uid")
     found = sketched(docs, key, text)
     roots = roots_of(docs, text, found)
     placed = found.select("key", "uid").join(roots, "uid", "left").select("key", "uid", F.coalesce("root", "uid").alias("root"))
+    uid, kept_key = unused(docs, "__kept_uid"), unused(docs, "__kept_key")
     kept = stored(placed.groupBy("root").agg(F.min(F.struct("key", "uid")).alias("k")).select(
-        F.col("k.uid").alias("kept_uid"), F.col("k.key").alias("kept_key")))
+        F.col("k.uid").alias(uid), F.col("k.key").alias(kept_key)))
     own = docs.where(F.col(text).isNotNull()).withColumn(mark, uid_of(F.col(text))).dropDuplicates([mark, key])
-    one = own.join(kept, (F.col(mark) == F.col("kept_uid")) & F.col(key).eqNullSafe(F.col("kept_key")), "left_semi")
+    one = own.join(kept, (F.col(mark) == F.col(uid)) & F.col(key).eqNullSafe(F.col(kept_key)), "left_semi")
     return one.select(*docs.columns).unionByName(docs.where(F.col(text).isNull()))

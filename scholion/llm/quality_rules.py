@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholion.llm.common import WORD, let, stored, words
+from scholion.llm.common import WORD, let, stored, unused, words
 
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 50, 50, 3
 #: A document fails the soft rules if over so many percent of its word characters are symbols,
@@ -142,9 +142,9 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents, with all their columns, that the rules and their host's verdict keep."""
-    flags = "__rules"
+    flags, of_host = unused(docs, "__rules"), unused(docs, "__host")
     failed = F.struct(_host(host).alias("host"), *[c.alias(r) for r, c in failures(F.col(flags)).items()])
     rows = stored(docs.withColumn(flags, measures(F.col(text))).withColumn(flags, failed))
-    verdicts = host_verdicts(rows.select(f"{flags}.*")).select(F.struct("host", "verdict").alias("__host"))
-    joined = rows.join(verdicts, F.col(f"{flags}.host") == F.col("__host.host"))
-    return joined.where(_kept(F.col("__host.verdict"), f"{flags}.")).select(*[rows[c] for c in docs.columns])
+    verdicts = host_verdicts(rows.select(f"{flags}.*")).select(F.struct("host", "verdict").alias(of_host))
+    joined = rows.join(verdicts, F.col(f"{flags}.host") == F.col(f"{of_host}.host"))
+    return joined.where(_kept(F.col(f"{of_host}.verdict"), f"{flags}.")).select(*[rows[c] for c in docs.columns])

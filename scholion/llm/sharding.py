@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scholion.llm.common import stored
+from scholion.llm.common import stored, unused
 
 MULTIPLIER = 2862933555777941757
 MODULUS = 2**64
@@ -60,9 +60,12 @@ def jump_shard(number: Column, shards: int) -> Column:
 
 
 def assign(docs: DataFrame, shards: int, key: str = "doc_id") -> DataFrame:
-    """All rows and columns, with ``shard`` and ``grown_shard`` (one shard more) appended."""
+    """All rows and columns, with ``shard`` and ``grown_shard`` (one shard more) appended.
+
+    A column that has one of these names keeps it, and the new one gets ``_`` at its end.
+    """
     number = stable_key(F.col(key))
-    return docs.withColumns({"shard": jump_shard(number, shards), "grown_shard": jump_shard(number, shards + 1)})
+    return docs.withColumns({unused(docs, "shard"): jump_shard(number, shards), unused(docs, "grown_shard"): jump_shard(number, shards + 1)})
 
 
 def place(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
