@@ -22,7 +22,7 @@ from scholion.llm import subwords
 from scholion.llm.common import fold
 
 SHAPE = subwords.Shape(lengths=(1, 2, 3), buckets=1 << 16, size=16)
-#: Documents of each language that the model is fitted on, about and at most, in all languages.
+#: Documents that the model is fitted on: of each language, and of all together, about.
 SAMPLE, MOST = 1_200, 40_000
 VISITS, RATE = 16_000, 2.0
 #: Share of wrong ones among the accepted predictions of rows that training didn't see.
@@ -40,13 +40,18 @@ def _floor(probabilities: np.ndarray, target: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, most: int = MOST) -> subwords.Model:
-    """The model of the documents with a language whose fold is not 0."""
+    """The model of the documents with a language whose fold is not 0.
+
+    Each language is drawn by the hash of its documents, none by its place in the files; the table
+    of languages that is sent to the tasks has a row for each label of the model.
+    """
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    draw = F.lit(False)
-    for lang, n in sorted(sizes.items()):
-        draw = draw | ((F.col("lang") == lang) & subwords.sampled(F.col("doc_id"), sample, n))
-    rows = known.where(draw).limit(most).withColumn("order", F.xxhash64("doc_id"))
+    sizes = known.groupBy("lang").count().collect()
+    each = max(1, min(sample, most // max(1, len(sizes))))
+    reach = docs.sparkSession.createDataFrame([(r["lang"], subwords.reach(each, r["count"])) for r in sizes], "lang string, reach bigint")
+    drawn = known.join(F.broadcast(reach), "lang").where(subwords.draw(F.col("doc_id")) < F.col("reach"))
+    # repeated rows of one id are drawn together; the limit is for them
+    rows = drawn.limit(2 * most).withColumn("order", F.xxhash64("doc_id"))
     features, targets = subwords.collected(rows, "lang", "order", SHAPE)
     model = subwords.fit(features, targets, SHAPE, visits=VISITS, rate=RATE)
     if model.held_back is not None:

@@ -195,10 +195,12 @@ def folded(model: Model, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarra
     return np.stack([(model.scores[b] * s[:, None]).sum(axis=0) for b, s in rows]) + model.bias
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], targets: list, shape: Shape, *, visits: int, rate: float, held_back: int = 8) -> Model:
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], targets: list, shape: Shape, *, visits: int, rate: float, held_back: int = 8,
+        sizes: dict | None = None) -> Model:
     """A model of the rows, tempered on one row in ``held_back`` that training doesn't see.
 
-    Training passes over the rows until it has seen ``visits`` of them.
+    Training passes over the rows until it has seen ``visits`` of them. Where labels were drawn at
+    different rates, ``sizes`` has the rows of each before the draw, and rows weigh as many.
 
     With a single label, or no rows, the model gives that label (or None) probability 1.
     """
@@ -206,19 +208,31 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], targets: list, shape: Shape,
     if len(labels) < 2:
         return Model(shape, labels or [None], np.zeros((shape.buckets, 1), np.float32), np.zeros(1))
     target = np.array([labels.index(t) for t in targets])
+    weights = np.ones(len(rows))
+    if sizes:
+        weights = np.array([sizes[x] for x in labels])[target] / np.bincount(target)[target]
+        weights /= weights.mean()
     back = np.arange(len(rows)) % held_back == held_back - 1
     seen = np.flatnonzero(~back)
-    model = train([rows[i] for i in seen], target[seen], labels, shape, epochs=-(-visits // len(seen)), rate=rate)
+    model = train([rows[i] for i in seen], target[seen], labels, shape, epochs=-(-visits // len(seen)), rate=rate, weights=weights[seen])
     checked = np.flatnonzero(back)
     if len(checked):
         logits = folded(model, [rows[i] for i in checked])
-        model.temperature = tempered(logits, target[checked])
+        model.temperature = tempered(logits, target[checked], weights[checked])
         model.held_back = (softmax(logits / model.temperature), target[checked])
     return model
 
 
+def draw(key):
+    """A number below 2^30 by the hash of a column."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << 30))
+
+
+def reach(bound: int, total: int) -> int:
+    """The draws below which about ``bound`` of ``total`` rows lie."""
+    return int(min(1.0, bound / max(1, total)) * (1 << 30))
+
+
 def sampled(key, bound: int, total: int):
     """Condition that keeps about ``bound`` of ``total`` rows, by the hash of a column."""
-
-    share = min(1.0, bound / max(1, total))
-    return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30)) + (share >= 1)
+    return draw(key) < reach(bound, total)

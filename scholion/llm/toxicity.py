@@ -1,7 +1,9 @@
 """Toxicity by averaged subword embeddings and a linear softmax.
 
 Misspelt and inflected words share n-grams with those seen in training, and so their vectors.
-The model is fitted on a bounded sample of labelled documents and then reads every whole text.
+The model is fitted on a bounded sample of labelled documents, half of it for the rarer label if
+there are as many, and then reads every whole text. Rows weigh as many as they stand for, so that
+scores keep the share of toxic documents.
 
 Defined cases: null and empty texts get the score of a text without n-grams; labels that are null
 or belong to no document are not learned; contradicting labels of one document count as toxic;
@@ -18,11 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholion.llm import subwords
-from scholion.llm.common import fold
+from scholion.llm.common import fold, unused
 
 SHAPE = subwords.Shape(lengths=(3, 4, 5), buckets=1 << 18, size=8)
 #: Labelled documents that the model is fitted on, about and at most.
-SAMPLE, MOST = 6_000, 7_500
+SAMPLE, MOST = 8_000, 10_000
 VISITS, RATE = 60_000, 5.0
 TOXIC = 0.5
 
@@ -31,10 +33,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = MO
     """The model of the labelled documents whose fold is not 0."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
              .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
-    chosen = known.where(subwords.sampled(F.col("doc_id"), sample, known.count())).limit(most)
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    rarer = min(sizes, key=lambda label: (sizes[label], -label), default=1)
+    rare = min(sizes.get(rarer, 0), sample // 2) if len(sizes) == 2 else 0
+    draw = F.lit(False)
+    for label, n in sizes.items():
+        bound = rare if len(sizes) == 2 and label == rarer else sample - rare
+        draw = draw | ((F.col("toxic") == label) & subwords.sampled(F.col("doc_id"), bound, n))
+    chosen = known.where(draw).limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(most).withColumn("order", F.xxhash64("doc_id"))
     features, targets = subwords.collected(rows, "toxic", "order", SHAPE)
-    return subwords.fit(features, targets, SHAPE, visits=VISITS, rate=RATE)
+    return subwords.fit(features, targets, SHAPE, visits=VISITS, rate=RATE, sizes=sizes)
 
 
 def scored(model: subwords.Model, text: Column, session) -> Column:
@@ -61,5 +70,5 @@ def score(docs: DataFrame, model: subwords.Model, key: str = "doc_id", text: str
 
 def keep_clean(docs: DataFrame, model: subwords.Model, text: str = "text") -> DataFrame:
     """The documents, with all their columns, that are not predicted to be toxic."""
-    flag = "__toxicity"
+    flag = unused(docs, "__toxicity")
     return docs.withColumn(flag, scored(model, F.col(text), docs.sparkSession)).where(F.col(flag) < TOXIC).drop(flag)

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from scholion.llm import language_id, lm_scoring, queries, subwords, toxicity
+from scholion.llm import decontamination, language_id, lm_scoring, near_dedup, quality_rules, queries, sharding, subwords, toxicity
 from scholion.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -144,3 +144,40 @@ def test_no_training_documents(spark):
     r = lm_scoring.score(docs).first()
     assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (3, 0, 0) and r["base_score"] == pytest.approx(0)
     assert lm_scoring.score(docs.where("false")).count() == 0
+
+
+def test_rare_labels_are_learned_from_all_their_rows(spark, insults):
+    docs, labels, truth = insults
+    rare = labels.where("toxic = 0 OR doc_id % 16 = 0")
+    drawn = toxicity.fit(docs, rare, sample=400, most=1000)
+    held = [r for r in toxicity.score(docs, drawn).join(rare, "doc_id").collect() if r["held_out"]]
+    assert np.mean([r["predicted"] == r["toxic"] for r in held]) > 0.95
+    assert any(r["predicted"] for r in held if r["toxic"])
+
+
+def test_weights_give_back_the_share_of_labels():
+    shape = subwords.Shape((1,), 64, 2)
+    rows = [subwords.counted("same", shape)] * 200
+    model = subwords.fit(rows, [1] * 100 + [0] * 100, shape, visits=4000, rate=1.0, sizes={0: 900, 1: 100})
+    assert 0.05 < model.probabilities(["same"])[0, 1] < 0.2
+
+
+def test_many_languages_are_all_learned(spark):
+    rows = [(i, f"{chr(0x3041 + i // 40)} word" * 5, f"l{i // 40:02d}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(docs, sample=30, most=600)
+    assert len(model.labels) == 50
+
+
+def test_helper_columns_of_the_same_name_are_kept(spark, insults):
+    docs, labels, _ = insults
+    names = ("__toxicity", "__uid", "__kept_uid", "__kept_key", "__rules", "__host", "__row", "shard", "grown_shard")
+    rich = docs.limit(40).selectExpr("*", "'a.org' AS source", *[f"doc_id AS `{n}`" for n in names])
+    items = spark.createDataFrame([("i", "no such words")], "item_id string, text string")
+    model = toxicity.fit(docs, labels)
+    for kept in (toxicity.keep_clean(rich, model), near_dedup.keep_one(rich), decontamination.keep_clean(rich, items), quality_rules.keep_good(rich)):
+        assert kept.columns == rich.columns
+        assert all(r[n] == r["doc_id"] for r in kept.collect() for n in names)
+    placed = sharding.assign(rich, 8)
+    assert placed.columns == [*rich.columns, "shard_", "grown_shard_"]
+    assert all(r["shard"] == r["doc_id"] and 0 <= r["shard_"] < 8 for r in placed.collect())
