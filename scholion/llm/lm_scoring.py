@@ -42,9 +42,12 @@ ROWS, INNER_ROWS = 1 << 14, 1 << 10
 SHARE = 1 / (1 << 19)
 ROUNDS, RATE, STEP = 3, 0.15, 8192
 HELD_TOKENS, FAN_IN = 300_000, 16
+#: Gradients of a row that are added up side by side with those of other rows.
+LAYERS = 8
 SLICE = 65_536
 LOG10 = np.log(10.0)
 _START = CLASSES << 26
+_ONES = np.ones(STEP, np.float32)
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -149,13 +152,18 @@ def untrained(vocabulary: DataFrame) -> Model:
     return Model(outer, inner, [r["token"].encode() for r in rows], counts, total, distinct, tail_total, tail_distinct)
 
 
-def slices(codes: Codes, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Codes with three of history before each part, where the parts start, and whose they are."""
+def slices(codes: Codes, texts: list[str | None], rare: list[Counter] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Codes with three of history before each part, where the parts start, and whose they are.
+
+    ``rare`` gets a counter of the tokens that are not frequent for each text.
+    """
     held, starts, owners, size = [], [], [], 0
     for i, x in enumerate(texts):
         found = tokens_of(x)
         found.append(END.encode())
         row = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
+        if rare is not None:
+            rare.append(Counter(map(found.__getitem__, np.flatnonzero(row >> 38 == 0).tolist())))
         row = np.concatenate([np.full(3, _START, np.int64), row])
         for low in range(3, len(row), SLICE):
             part = row[low - 3:low + SLICE]
@@ -183,7 +191,7 @@ def features(row: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
 def _softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
     return logits
 
 
@@ -194,9 +202,10 @@ def _inner_row(row: np.ndarray, at: np.ndarray) -> np.ndarray:
 def class_probabilities(model: Model, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Of each class at these places, and the rows of their features."""
     rows = features(row, at)
-    logits = model.outer[rows[0]]
+    logits, taken = np.empty((2, len(at), CLASSES), np.float32)
+    np.take(model.outer, rows[0], axis=0, out=logits, mode="clip")
     for f in rows[1:]:
-        logits += model.outer[f]
+        logits += np.take(model.outer, f, axis=0, out=taken, mode="clip")
     logits += model.outer[-1]
     return _softmax(logits), rows
 
@@ -206,14 +215,31 @@ def member_probabilities(model: Model, row: np.ndarray, at: np.ndarray, group: n
     return _softmax(model.inner[_inner_row(row, at), group] + model.inner[-1][group])
 
 
+def _summed(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows and the sum of the gradients of each: the first gradients of all rows at
+    once, then the second ones, and so on; the few rows with more than LAYERS take the rest as runs."""
+    order = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")
+    found = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+    sizes = np.diff(first, append=len(rows))
+    sums = grad[order[first]]
+    for k in range(1, LAYERS):
+        more = np.flatnonzero(sizes > k)
+        if not len(more):
+            break
+        sums[more] += grad[order[first[more] + k]]
+    for i in np.flatnonzero(sizes > LAYERS).tolist():
+        rest = grad[order[first[i] + LAYERS:first[i] + sizes[i]]]
+        sums[i] += _ONES[:len(rest)] @ rest
+    return found[first], sums
+
+
 def _scattered(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
     """A gradient step with steps scaled per row."""
-    order = np.argsort(rows, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], np.diff(rows[order]) != 0]))
-    at = rows[order][first]
-    sums = np.add.reduceat(grad[order], first)
-    squares[at] += (sums**2).mean(axis=-1)
-    weights[at] -= (RATE / np.sqrt(squares[at]))[:, None] * sums
+    at, sums = _summed(rows, grad)
+    squares[at] += np.einsum("ij,ij->i", sums, sums) / sums.shape[1]
+    sums *= (RATE / np.sqrt(squares[at]))[:, None]
+    weights[at] -= sums
 
 
 def learn(model: Model, texts: Iterator[list[str | None]], codes: Codes) -> tuple[np.ndarray, np.ndarray, int]:
@@ -302,7 +328,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
                 bodies = batch.column(3).to_pylist()
                 n = len(bodies)
                 size, common, sums, gains = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-                for row, starts, owners in slices(codes, bodies):
+                rare: list[Counter] = []
+                for row, starts, owners in slices(codes, bodies, rare):
                     at = np.flatnonzero(row != _START)
                     group, member, place = (row[at] >> 26) & 127, (row[at] >> 33) & 31, (row[at] >> 38) - 1
                     fine = np.empty(len(at))
@@ -325,10 +352,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
                     common += np.bincount(of, weights=known, minlength=n).astype(np.int64)
                     sums += np.bincount(of, weights=plain, minlength=n)
                     gains += np.bincount(of, weights=fine, minlength=n)
-                rare = [list({t.decode(): c for t, c in Counter(w for w in tokens_of(x) if w not in codes.frequent).items()}.items()) for x in bodies]
-                if END.encode() not in codes.frequent:
-                    rare = [r + [(END, 1)] for r in rare]
-                flat = [p for r in rare for p in r]
+                flat = [(t.decode(), c) for r in rare for t, c in r.items()]
                 offsets = pa.array(np.cumsum([0, *map(len, rare)]).astype(np.int32))
                 entries = pa.StructArray.from_arrays([pa.array([t for t, _ in flat], pa.string()), pa.array([c for _, c in flat], pa.int32())], ["token", "n"])
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(size), pa.array(common), pa.array(sums),

@@ -181,3 +181,12 @@ def test_helper_columns_of_the_same_name_are_kept(spark, insults):
     placed = sharding.assign(rich, 8)
     assert placed.columns == [*rich.columns, "shard_", "grown_shard_"]
     assert all(r["shard"] == r["doc_id"] and 0 <= r["shard_"] < 8 for r in placed.collect())
+
+
+def test_gradients_of_a_row_add_up():
+    rng = np.random.default_rng(1)
+    rows, grad = np.minimum(rng.zipf(1.3, 5000), 900), rng.normal(size=(5000, 4)).astype(np.float32)
+    want = np.zeros((901, 4))
+    np.add.at(want, rows, grad)
+    at, sums = lm_scoring._summed(rows, grad)
+    assert np.array_equal(at, np.unique(rows)) and np.allclose(sums, want[at], atol=1e-3)
