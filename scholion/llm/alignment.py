@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ from scholion.llm.word_bpe import arrow_type
 
 #: Characters of the texts in a block.
 BLOCK = 2_500_000
-#: Parts of texts that are tokenised at once.
-BATCH = 20_000
+#: Parts of texts that are tokenised at once, and tokens of documents that are divided at once.
+BATCH, RUN = 5_000, 200_000
 #: Links of a group beyond which its distinct ids are counted instead of listing its links.
 LISTED = 4_096
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
@@ -70,24 +71,34 @@ class Pair:
         """
         codes = _Codes()
         of = [np.fromiter(map(codes.__getitem__, _SINGLE.split(x) if x else ()), np.int64) for x in texts]
-        parts, ids, good = list(codes), ([], []), []
+        parts, ids, sizes, good = list(codes), ([], []), ([], []), [np.zeros(0, bool)]
         for low in range(0, len(parts), BATCH):
             some = parts[low:low + BATCH]
-            for x, *both in zip(some, (e.ids for e in self._encode([" " + x for x in some], add_special_tokens=False)), self.b.encode(some, num_threads=1)):
-                whole = (" " + x).encode("utf-8", "surrogatepass")
-                good.append(all(b"".join(map(p.__getitem__, i)) == whole for p, i in zip(self.pieces, both)))
-                for held, own in zip(ids, both):
-                    held.append(np.array(own, np.int32))
-        good = np.array(good, bool)
-        of = [x if good[x].all() else x[:0] for x in of]
-        each, counts = np.concatenate(of), [len(x) for x in of]
+            both = [e.ids for e in self._encode([" " + x for x in some], add_special_tokens=False)], self.b.encode(some, num_threads=1)
+            for held, n, own in zip(ids, sizes, both):
+                n.append(np.fromiter(map(len, own), np.int64, len(own)))
+                held.append(np.fromiter(chain.from_iterable(own), np.int32))
+            good.append(self._given_back(some, [x[-1] for x in ids], [x[-1] for x in sizes]))
+        whole = np.concatenate(good)
+        of = [x if whole[x].all() else x[:0] for x in of]
+        each, counts = np.concatenate(of), np.array([len(x) for x in of])
         flat, numbers = [], []
-        for held in ids:
-            sizes = np.array(list(map(len, held)), np.int64)
-            flat.append(blocks.gather(np.concatenate(held).astype(np.int64) if held else np.zeros(0, np.int64), sizes, each))
-            numbers.append(sums(sizes[each], np.array(counts)))
+        for held, n in zip(ids, sizes):
+            of_part = np.concatenate([np.zeros(0, np.int64), *n])
+            flat.append(blocks.gather(np.concatenate([np.zeros(0, np.int32), *held]), of_part, each).astype(np.int64))
+            numbers.append(sums(of_part[each], counts))
         return flat, numbers
 
+    def _given_back(self, parts: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
+        """Whether the pieces of both tokenizers join to the bytes of each part after its space."""
+        want = [(" " + x).encode("utf-8", "surrogatepass") for x in parts]
+        good = np.ones(len(parts), bool)
+        for pieces, lengths, own, n in zip(self.pieces, self.lengths, ids, sizes):
+            joined = b"".join(map(pieces.__getitem__, own.tolist()))
+            at = blocks.starts(sums(lengths[own], n)).tolist()
+            good &= np.fromiter((joined[low:high] == x for low, high, x in zip(at, at[1:], want)), bool, len(want))
+        return good
+
 
 def byte_level_pieces(path: str) -> list[bytes]:
     """The bytes of each id: a printable sign of Latin-1 stands for itself, the other bytes in turn
@@ -197,6 +208,19 @@ def sums(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 # --- documents
 
+def _run(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, own: Pair) -> dict[str, np.ndarray]:
+    """Groups and links of consecutive documents that have so many tokens of both."""
+    a_of, b_of, n = blocks.starts(n_a), blocks.starts(n_b), len(n_a)
+    to_a, to_b = divide(np.cumsum(own.lengths[0][a]), np.cumsum(own.lengths[1][b]), a_of, b_of)
+    in_a, in_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+    doc_of = np.searchsorted(a_of, to_a - 1, side="right") - 1
+    keys, times = linked(a, b, in_a, in_b, doc_of, own.sizes)
+    doc_of_pair, pair = np.divmod(keys, own.sizes[0] * own.sizes[1])
+    n_groups = np.bincount(doc_of, minlength=n)
+    return {"in_a": in_a, "in_b": in_b, "n_groups": n_groups, "n_links": sums(in_a * in_b, n_groups),
+            "n_pairs": np.bincount(doc_of_pair, minlength=n), "pair": pair, "times": times}
+
+
 def cut(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:
     """Blocks of aligned documents: keys, counts of each, ids, groups, and the dictionary of linked
     pairs with the number of documents that hold each."""
@@ -209,16 +233,12 @@ def cut(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: str
         own = tokenizers(first, second)
         for block, held in blocks.in_blocks(batches, size):
             (a, b), (n_a, n_b) = own.tokens([t for _, t in held])
-            a_of, b_of = blocks.starts(n_a), blocks.starts(n_b)
-            to_a, to_b = divide(np.cumsum(own.lengths[0][a]), np.cumsum(own.lengths[1][b]), a_of, b_of)
-            in_a, in_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
-            doc_of = np.searchsorted(a_of, to_a - 1, side="right") - 1
-            keys, times = linked(a, b, in_a, in_b, doc_of, own.sizes)
-            doc_of_pair, pair = np.divmod(keys, own.sizes[0] * own.sizes[1])
-            pairs, codes = np.unique(pair, return_inverse=True)
-            of = {"n_a": n_a, "n_b": n_b, "n_groups": np.bincount(doc_of, minlength=len(held)),
-                  "n_links": sums(in_a * in_b, np.bincount(doc_of, minlength=len(held))), "n_pairs": np.bincount(doc_of_pair, minlength=len(held)),
-                  "a": a, "b": b, "in_a": in_a, "in_b": in_b, "codes": codes, "times": times}
+            from_a, from_b = blocks.starts(n_a), blocks.starts(n_b)
+            begin = np.flatnonzero(np.diff(from_a[:-1] // RUN, prepend=-1)).tolist()
+            runs = [_run(a[from_a[i]:from_a[j]], b[from_b[i]:from_b[j]], n_a[i:j], n_b[i:j], own) for i, j in zip(begin, [*begin[1:], len(held)])]
+            of = {"n_a": n_a, "n_b": n_b, "a": a, "b": b} | {n: np.concatenate([r[n] for r in runs]) for n in runs[0]}
+            pairs, codes = np.unique(of.pop("pair"), return_inverse=True)
+            of["codes"] = codes
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block]), pa.array([[k for k, _ in held]], pa.list_(kind)), *[pa.array([of[n].tolist()], pa.list_(pa.int64())) for n in numbers],
                  *[pa.array([blocks.pack(of[n])], pa.binary()) for n in packed],
