@@ -6,7 +6,8 @@ that burst into a branch when they grow too large. When the trie is full, whole
 sorted runs; Spark brings the runs of a prefix into one partition and adds them up. A phrase can be
 frequent only if both its parts without the last and without the first word are; a bitmap of fixed
 size tells tasks which phrases of the length before may be, so that few others are counted. It only
-errs towards counting; the exact sums decide.
+errs towards counting; the exact sums decide. The blocks are written again without the words that
+are too rare for any phrase.
 
 Defined cases: a null language counts as ``und``, null texts as empty; repeated rows count as often
 as they occur; texts without words give none; columns other than text and language are ignored.
@@ -212,19 +213,19 @@ class HatTrie:
 
 
 def runs(cuts: DataFrame, length: int, before: bytes | None = None, held: int = HELD, burst: int = BURST, named: int = NAMED) -> DataFrame:
-    """Sorted runs of the phrases of a length: lang, prefix, phrase, f. A phrase comes in several runs.
+    """Sorted runs of the phrases of a length: lang, phrase, f. A phrase comes in several runs.
 
     ``before`` is the map of frequent phrases one word shorter; others' extensions are left out.
     """
     shared = cuts.sparkSession.sparkContext.broadcast(before) if before else None
-    names = ["lang", "prefix", "phrase", "f"]
+    names = ["lang", "phrase", "f"]
 
     def batch(rows: list[tuple[bytes, int]], words: list[tuple[str, str]]) -> pa.RecordBatch:
         ids = np.frombuffer(b"".join(r for r, _ in rows), ">u4").reshape(-1, length)
         text, lang = (pa.array([w[i] for w in words], pa.string()) for i in (1, 0))
         columns = [text.take(pa.array(c.astype(np.int64))) for c in ids.T]
-        joined = [c if len(c) == 1 else [pc.binary_join_element_wise(*c, " ")] for c in (columns[:PREFIX], columns)]
-        return pa.RecordBatch.from_arrays([lang.take(pa.array(ids[:, 0].astype(np.int64))), joined[0][0], joined[1][0], pa.array([c for _, c in rows], pa.int64())], names)
+        joined = columns[0] if length == 1 else pc.binary_join_element_wise(*columns, " ")
+        return pa.RecordBatch.from_arrays([lang.take(pa.array(ids[:, 0].astype(np.int64))), joined, pa.array([c for _, c in rows], pa.int64())], names)
 
     def batches_of(spilled: Iterator[list[tuple[bytes, int]]], words: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[bytes, int]] = []
@@ -240,10 +241,11 @@ def runs(cuts: DataFrame, length: int, before: bytes | None = None, held: int =
         frequent = np.frombuffer(shared.value, np.uint8) if shared else None
         trie, ids, words = HatTrie(length, burst), {}, []
         for rows in batches:
-            for langs, of, own, codes in zip(*(rows.column(c) for c in ("langs", "of", "words", "codes"))):
+            for langs, of, own, codes, *stored_hashes in zip(*rows.columns):
                 langs = langs.as_py()
                 named_words = [(langs[i], w) for i, w in zip(of.as_py(), own.as_py())]
-                found, counts = _counted(blocks.unpack(codes.as_py()), named_words, length, frequent)
+                hashes = np.frombuffer(stored_hashes[0].as_py(), np.uint64) if stored_hashes else _hashes(named_words)
+                found, counts = _counted(blocks.unpack(codes.as_py()), hashes, length, frequent)
                 used = np.unique(found)
                 if len(ids) + len(used) > named and ids:
                     yield from batches_of(trie.spill(), words)
@@ -262,10 +264,39 @@ def runs(cuts: DataFrame, length: int, before: bytes | None = None, held: int =
                         yield from batches_of(trie.spill(held // 2), words)
         yield from batches_of(trie.spill(), words)
 
-    return cuts.select("langs", "of", "words", "codes").mapInArrow(count, "lang string, prefix string, phrase string, f long")
+    needed = ["langs", "of", "words", "codes", *(["hashes"] if "hashes" in cuts.columns else [])]
+    return cuts.select(*needed).mapInArrow(count, "lang string, phrase string, f long")
 
 
-def _counted(codes: np.ndarray, words: list[tuple[str, str]], length: int, frequent: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def compacted(cuts: DataFrame, before: bytes) -> DataFrame:
+    """The blocks without the words that the map of single words leaves out: pieces end there, as no
+    frequent phrase holds them. ``hashes`` has those of the words that stay."""
+    shared = cuts.sparkSession.sparkContext.broadcast(before)
+
+    def smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = np.frombuffer(shared.value, np.uint8)
+        for rows in batches:
+            for block, langs, of, words, codes in zip(*rows.columns):
+                of, words, names = np.array(of.as_py(), np.int64), words.as_py(), langs.as_py()
+                hashes = _hashes([(names[i], w) for i, w in zip(of.tolist(), words)])
+                stays = in_map(frequent, hashes[:, None])
+                place = np.where(stays, np.cumsum(stays), 0)
+                new = np.concatenate([[0], place])[blocks.unpack(codes.as_py())]
+                new = new[(new > 0) | (np.concatenate([[0], new[:-1]]) > 0)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block.as_py()]), pa.array([names]), pa.array([of[stays].tolist()], pa.list_(pa.int32())),
+                     pa.array([[words[i] for i in np.flatnonzero(stays).tolist()]], pa.list_(pa.string())), pa.array([blocks.pack(new)], pa.binary()),
+                     pa.array([hashes[stays].tobytes()], pa.binary())], ["block", "langs", "of", "words", "codes", "hashes"])
+
+    return cuts.select("block", "langs", "of", "words", "codes").mapInArrow(
+        smaller, "block long, langs array<string>, of array<int>, words array<string>, codes binary, hashes binary")
+
+
+def _hashes(words: list[tuple[str, str]]) -> np.ndarray:
+    return np.fromiter((word_hash(*w) for w in words), np.uint64, len(words))
+
+
+def _counted(codes: np.ndarray, hashes: np.ndarray, length: int, frequent: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct phrases of a block as rows of word places, and how often each occurs."""
     n = len(codes) - length + 1
     if n <= 0:
@@ -274,7 +305,6 @@ def _counted(codes: np.ndarray, words: list[tuple[str, str]], length: int, frequ
     for i in range(length):
         good &= codes[i:i + n] > 0
     if frequent is not None and length > 1:
-        hashes = np.fromiter((word_hash(*w) for w in words), np.uint64, len(words))
         at = np.flatnonzero(good)
         for shift in (0, 1):
             rows = hashes[np.stack([codes[at + shift + i] for i in range(length - 1)], axis=1) - 1]
@@ -283,14 +313,16 @@ def _counted(codes: np.ndarray, words: list[tuple[str, str]], length: int, frequ
         at = np.flatnonzero(good)
     ranks = codes[at] - 1
     for i in range(1, length):  # number the distinct phrases word by word, so that the numbers stay small
-        _, ranks = np.unique(ranks * len(words) + codes[at + i] - 1, return_inverse=True)
+        _, ranks = np.unique(ranks * len(hashes) + codes[at + i] - 1, return_inverse=True)
     _, first, counts = np.unique(ranks, return_index=True, return_counts=True)
     return np.stack([codes[at[first] + i] - 1 for i in range(length)], axis=1), counts
 
 
 def merged(found: DataFrame) -> DataFrame:
-    """The runs added up, prefix by prefix: lang, phrase, f."""
-    return found.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f")).drop("prefix")
+    """The runs added up, prefix by prefix: lang, phrase, f. The prefix is found anew on both sides
+    of the shuffle, so that it doesn't travel along."""
+    prefix = F.substring_index("phrase", " ", PREFIX)
+    return found.repartition("lang", prefix).groupBy("lang", prefix.alias("prefix"), "phrase").agg(F.sum("f").alias("f")).drop("prefix")
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT,
@@ -308,6 +340,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
         known = level if known is None else known.unionByName(level)
         if length < longest:
             before = bitmap(level, length)
+        if length == 1 and longest > 1:
+            cuts = stored(compacted(cuts, before))
     return known, totals
 
 
