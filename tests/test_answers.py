@@ -94,3 +94,31 @@ def test_stage_layout(spark, tmp_path):
     path = jsonl.write_stage(df, str(tmp_path), "doc_split")
     assert jsonl.sibling(path, "final_merge").endswith("stage=final_merge/run_id=7")
     assert spark.read.text(path).first()[0] == '{"run_id":"7","x":null}'
+
+
+def test_first_object_is_found_at_any_depth_and_by_one_regex(spark):
+    deep = answers.PLAIN_DEPTH + 4
+    shallow = '{"a": [1, {"b": "x}\\"]"}], "c": 2}'
+    nested = '{"p": ' + "[" * deep + "1" + "]" * deep + "}"
+    texts = [shallow, shallow + " Done. {", nested, nested + " and }", '{"a": [1, 2', '{"a": "x', "{]x", '{"a": 1,, }']
+    expected = [shallow, shallow, nested, nested, None, None, "{]", '{"a": 1,, }']
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.f for r in rows.select("i", answers._first_object(F.col("t")).alias("f")).orderBy("i").collect()]
+    assert got == expected
+    # the regex alone decides for objects that are not too deep, so no mark is followed one by one
+    found = rows.where("i < 2").select(F.regexp_extract("t", rf"\A{answers._balanced(answers.PLAIN_DEPTH)}", 0).alias("f")).collect()
+    assert [r.f for r in found] == [shallow, shallow]
+
+
+def test_inputs_with_few_splits_are_dealt_over_the_cores(spark, tmp_path):
+    from scholion.session import INPUT_PARTITIONS, dealt
+
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    set_to = spark.conf.get(INPUT_PARTITIONS)
+    spark.conf.unset(INPUT_PARTITIONS)
+    try:
+        rows = dealt(spark.read.parquet(str(tmp_path / "t")))
+        assert rows.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+        assert sorted(r.id for r in rows.collect()) == list(range(1000))
+    finally:
+        spark.conf.set(INPUT_PARTITIONS, set_to)
