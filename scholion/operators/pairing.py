@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
 import unicodedata
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -56,50 +56,96 @@ def exact_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 # --- similar names
 
-def gram_classes(min_score: float) -> list[tuple[int, float, float, float]]:
-    """(q, lowest total length, next class's lowest, slope) per gram size.
+#: Longest grams in use; rarer than that they need not be.
+LONGEST_GRAM = 8
 
-    Two names with ratio >= s and total length T match in M >= sT/2 characters, in at most
-    (1-s)T + 1 runs, because a gap between runs costs an unmatched character. So they share
-    at least M - runs*(q-1) = T*(s/2 - (1-s)(q-1)) - (q-1) grams of size q. The largest q
-    with a bound of at least one is used for a total length.
+
+@dataclass(frozen=True)
+class Bound:
+    """What two texts with ratio >= s and total length T share, as columns.
+
+    They match in at least M = ceil(sT/2) characters and leave at most d = T - 2M unmatched, so the
+    matching runs are d + 1 or fewer, because a gap between runs costs an unmatched character. Of
+    grams of size q they share M - (d + 1)(q - 1) or more, in the same order and at places that
+    differ by no more than what either text leaves unmatched before them. The largest q is used
+    that leaves a tenth of the total length as shared grams: a text's most frequent grams, which
+    half of all names may have, can then be left out.
+    """
+
+    total: Column
+    min_score: float
+
+    @property
+    def matched(self) -> Column:
+        return F.greatest(F.lit(1), F.ceil(self.total * self.min_score / 2 - 1e-6).cast("int"))
+
+    @property
+    def runs(self) -> Column:
+        return F.greatest(F.lit(1), self.total - self.matched * 2 + 1)
+
+    @property
+    def q(self) -> Column:
+        room = self.matched - F.greatest(F.lit(1), F.floor(self.total / 10).cast("int"))
+        return F.least(F.lit(LONGEST_GRAM), F.greatest(F.lit(1), F.floor(room / self.runs).cast("int") + 1))
+
+    @property
+    def shared(self) -> Column:
+        return self.matched - self.runs * (self.q - 1)
+
+    def prefix(self, length: Column) -> Column:
+        """So many of the rarest grams of a text hold one of those that it shares."""
+        return length - self.q + 2 - self.shared
+
+
+#: Total lengths that share a key of the join.
+BAND = 4
+
+
+def gram_kinds(own: DataFrame, other: DataFrame, min_score: float) -> DataFrame:
+    """(len, q, keep, bands): gram sizes that the lengths of the other side ask for, and how many of the rarest
+    grams each band of total lengths needs."""
+    pairs = own.select(F.length("text").alias("len")).distinct().crossJoin(
+        F.broadcast(other.select(F.length("text").alias("partner")).distinct()))
+    bound = Bound(F.col("len") + F.col("partner"), min_score)
+    return pairs.where(bound.matched <= F.least("len", "partner")).groupBy(
+        "len", bound.q.alias("q"), F.floor(bound.total / BAND).cast("int").alias("band")).agg(
+        F.max(bound.prefix(F.col("len"))).alias("keep")).groupBy("len", "q").agg(
+        F.max("keep").alias("keep"), F.collect_list(F.struct("band", "keep")).alias("bands"))
+
+
+def text_grams(texts: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Grams of each size that some partner's length asks for, with their places."""
+    sized = texts.select("text", F.length("text").alias("len")).join(F.broadcast(kinds), "len")
+    return sized.select("*", F.posexplode(F.transform(
+        F.sequence(F.lit(1), F.col("len") - F.col("q") + 1), lambda i: F.substr("text", i, F.col("q")))).alias("at", "gram"))
+
+
+def rarest_grams(grams: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(text, len, q, band, rank, gram, at) of the grams that a partner may meet, rarest first."""
+    ranked = grams.join(frequency, ["q", "gram"]).groupBy("text", "len", "q").agg(
+        F.first("bands").alias("bands"), F.array_sort(F.collect_list(F.struct("n", "gram", "at"))).alias("gs"))
+    return ranked.select("text", "len", "q", "gs", F.explode("bands").alias("b")).select(
+        "text", "len", "q", "b.band", F.posexplode(F.slice("gs", 1, F.greatest("b.keep", F.lit(0)))).alias("rank", "g")).select(
+        "text", "len", "q", "band", (F.col("rank") + 1).alias("rank"), "g.gram", "g.at")
+
+
+def similar_texts(left: DataFrame, right: DataFrame, min_score: float) -> DataFrame:
+    """(left_text, right_text) pairs that can reach the score; none that does is missing.
+
+    Pairs are judged where they meet, by the places of the gram and by an edit distance that no pair
+    at the score exceeds, so that only those that pass are moved.
     """
-    classes, upper = [], math.inf
-    for q in (3, 2, 1):
-        slope = min_score / 2 - (1 - min_score) * (q - 1)
-        lower = q / slope if slope > 0 else math.inf
-        if q == 1:
-            lower = 0.0
-        if lower < upper:
-            classes.append((q, lower, upper, slope))
-            upper = lower
-    return classes
-
-
-def prefix_grams(keys: DataFrame, variant: str, min_score: float, frequency: DataFrame | None) -> DataFrame:
-    """The rarest grams of each key: any partner at or above the score shares one of them."""
-    n = F.length(variant)
-    rows = None
-    for q, lower, upper, slope in gram_classes(min_score):
-        least, most = n * 2 / (2 - min_score), n * 2 / min_score
-        usable = keys.where((n >= q) & (most >= lower) & (least < upper))
-        needed = F.greatest(F.lit(1.0), F.ceil(F.greatest(least, F.lit(lower)) * slope - (q - 1) - 1e-9))
-        grams = usable.select("key", n.alias("len"), (n - q + 1 - needed + 1).cast("int").alias("keep"),
-                              F.explode(_numbered_grams(F.col(variant), q)).alias("gram")).withColumn("q", F.lit(q))
-        rows = grams if rows is None else rows.unionByName(grams)
-    if frequency is None:
-        return rows
-    ranked = rows.join(frequency, ["q", "gram"]).groupBy("key", "len", "q", "keep").agg(
-        F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
-    return ranked.select("key", "len", "q", F.explode(F.slice("grams", 1, F.greatest(F.col("keep"), F.lit(1)))).alias("g")).select(
-        "key", "len", "q", "g.gram")
-
-
-def _numbered_grams(text: Column, q: int) -> Column:
-    """Grams with an occurrence number, so that repeats count as different grams."""
-    grams = F.transform(F.sequence(F.lit(1), F.length(text) - q + 1), lambda i: F.substr(text, i, F.lit(q)))
-    return let(grams, lambda gs: F.transform(gs, lambda g, i: F.concat(
-        g, F.size(F.filter(F.slice(gs, 1, i), lambda x: x == g)).cast("string"))))
+    grams = [text_grams(own, gram_kinds(own, other, min_score)) for own, other in ((left, right), (right, left))]
+    frequency = grams[0].unionByName(grams[1]).groupBy("q", "gram").agg(F.count(F.lit(1)).alias("n"))
+    a, b = (rarest_grams(side, frequency).alias(name) for side, name in zip(grams, "ab"))
+    bound = Bound(F.col("a.len") + F.col("b.len"), min_score)
+    shift = F.col("a.at") - F.col("b.at")
+    met = a.join(b, (F.col("a.q") == F.col("b.q")) & (F.col("a.gram") == F.col("b.gram")) & (F.col("a.band") == F.col("b.band"))
+                 & (bound.matched <= F.least("a.len", "b.len")) & (F.col("a.q") == bound.q) & (F.col("a.band") == F.floor(bound.total / BAND))
+                 & (F.col("a.rank") <= bound.prefix(F.col("a.len"))) & (F.col("b.rank") <= bound.prefix(F.col("b.len")))
+                 & (shift <= F.col("a.len") - bound.matched) & (-shift <= F.col("b.len") - bound.matched))
+    near = F.levenshtein("a.text", "b.text") <= F.col("a.len") + F.col("b.len") - bound.matched * 2
+    return met.where(near).select(F.col("a.text").alias("left_text"), F.col("b.text").alias("right_text")).distinct()
 
 
 @F.pandas_udf(T.DoubleType())
@@ -118,15 +164,11 @@ def candidate_keys(left: DataFrame, right: DataFrame, min_score: float) -> DataF
     """Key pairs that can reach the score; none that does is missing."""
     pairs = None
     for variant in ("normalized", "token_sorted"):
-        sides = [df.select(F.col("normalized").alias("key"), "normalized", "token_sorted").distinct()
-                 for df in (left, right)]
-        counted = prefix_grams(sides[0], variant, min_score, None).unionByName(
-            prefix_grams(sides[1], variant, min_score, None)).groupBy("q", "gram").agg(F.count(F.lit(1)).alias("n"))
-        a, b = (prefix_grams(s, variant, min_score, counted) for s in sides)
-        total = F.col("a.len") + F.col("b.len")
-        met = a.alias("a").join(b.alias("b"), (F.col("a.q") == F.col("b.q")) & (F.col("a.gram") == F.col("b.gram"))
-                                & (F.least("a.len", "b.len") * 2 >= total * F.lit(min_score - 1e-9)))
-        found = met.select(F.col("a.key").alias("left_key"), F.col("b.key").alias("right_key"))
+        keys = {side: df.select(F.col("normalized").alias(f"{side}_key"), F.col(variant).alias(f"{side}_text")).distinct()
+                for side, df in (("left", left), ("right", right))}
+        texts = [keys[side].select(F.col(f"{side}_text").alias("text")).distinct() for side in keys]
+        found = similar_texts(*texts, min_score).join(keys["left"], "left_text").join(keys["right"], "right_text").select(
+            "left_key", "right_key")
         pairs = found if pairs is None else pairs.unionByName(found)
     same = left.select(F.col("normalized").alias("left_key")).distinct().join(
         right.select(F.col("normalized").alias("right_key")).distinct(), F.col("left_key") == F.col("right_key"))
@@ -139,6 +181,8 @@ def scored_keys(left: DataFrame, right: DataFrame, min_score: float) -> DataFram
         return df.select(F.col("normalized").alias(f"{side}_key"), F.col("token_sorted").alias(f"{side}_tokens")).distinct()
 
     floor = F.lit(min_score)
+    # the keys are read many times over; what they come from may be whole texts
+    left, right = (cut_lineage(df.select("normalized", "token_sorted").distinct()) for df in (left, right))
     paired = candidate_keys(left, right, min_score).join(tokens(left, "left"), "left_key").join(
         tokens(right, "right"), "right_key")
     # equal totals of both variants let one bound serve both
@@ -216,7 +260,8 @@ REPORT = "md_name string, content_name string, match_type string, score double"
 
 def pairing_report(left_names: DataFrame, right_names: DataFrame, min_score: float = 0.85) -> DataFrame:
     """Exact, similar and unmatched names of both sides."""
-    left, right = normalize_keys(left_names, "left"), normalize_keys(right_names, "right")
+    left_names, right_names = cut_lineage(left_names), cut_lineage(right_names)
+    left, right = cut_lineage(normalize_keys(left_names, "left")), cut_lineage(normalize_keys(right_names, "right"))
     exact = cut_lineage(exact_pairs(left, right))
     rest_left = left.join(exact.select(F.col("left_name").alias("name")), "name", "left_anti")
     rest_right = right.join(exact.select(F.col("right_name").alias("name")), "name", "left_anti")

@@ -47,3 +47,24 @@ def test_pairing_equals_going_down_the_sorted_list(spark):
     assert found == brute(lefts, rights, 0.85)
     assert {r.md_name for r in rows if r.md_name} == set(lefts)
     assert {r.content_name for r in rows if r.content_name} == set(rights)
+
+
+def test_names_with_a_common_beginning_leave_few_candidates(spark):
+    import hashlib
+    from difflib import SequenceMatcher
+
+    from scholion.operators import pairing
+
+    codes = [hashlib.md5(str(i).encode()).hexdigest() for i in range(150)]
+    near = [c[:k] + "_x" for c, k in zip(codes[:60], [17, 16, 15] * 20)]
+    left = [f"Paper_{c[:20]}.md" for c in codes] + ["a.md", "ab cd.md"]
+    right = [f"paper-{n}_content_list.json" for n in near + [c[:20] for c in codes[60:90]]] + ["a_content_list.json", "cd-ab_content_list.json"]
+    sides = [pairing.normalize_keys(spark.createDataFrame([(n,) for n in names], "name string"), side)
+             for names, side in ((left, "left"), (right, "right"))]
+    keys = [[(r.normalized, r.token_sorted) for r in s.collect()] for s in sides]
+    wanted = {(a, b) for a, ta in keys[0] for b, tb in keys[1]
+              if max(SequenceMatcher(None, a, b).ratio(), SequenceMatcher(None, ta, tb).ratio()) >= 0.85}
+    found = {(r.left_key, r.right_key) for r in pairing.candidate_keys(*sides, 0.85).collect()}
+    assert wanted <= found
+    # the grams that all names share bring nobody together
+    assert len(found) < 2 * len(wanted)
