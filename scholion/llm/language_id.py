@@ -52,8 +52,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, most: int = MOST) -> subwords.Mod
     drawn = known.join(F.broadcast(reach), "lang").where(subwords.draw(F.col("doc_id")) < F.col("reach"))
     # repeated rows of one id are drawn together; the limit is for them
     rows = drawn.limit(2 * most).withColumn("order", F.xxhash64("doc_id"))
-    features, targets = subwords.collected(rows, "lang", "order", SHAPE)
-    model = subwords.fit(features, targets, SHAPE, visits=VISITS, rate=RATE)
+    model = subwords.fitted(rows, "lang", "order", SHAPE, visits=VISITS, rate=RATE)
     if model.held_back is not None:
         model.floor = _floor(*model.held_back)
     return model

@@ -7,6 +7,8 @@ and softmax are trained jointly, by minibatch gradient descent in numpy.
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -173,8 +175,9 @@ def tempered(logits: np.ndarray, target: np.ndarray, weights: np.ndarray | None
 # --- with Spark
 
 
-def collected(rows, target: str, order: str, shape: Shape) -> tuple[list[tuple[np.ndarray, np.ndarray]], list]:
-    """Features and targets of a bounded sample; the texts are counted where they lie.
+def fitted(rows, target: str, order: str, shape: Shape, **options) -> Model:
+    """``fit`` of a bounded sample. The texts are counted where they lie, one task trains on the
+    counts, and only the finished model comes to the driver.
 
     ``rows`` has ``text``, the target and a column that fixes the order of training.
     """
@@ -184,10 +187,17 @@ def collected(rows, target: str, order: str, shape: Shape) -> tuple[list[tuple[n
         found = [counted(x, shape) for x in texts]
         return pd.DataFrame({"buckets": [b.tobytes() for b, _ in found], "shares": [s.tobytes() for _, s in found]})
 
-    got = rows.select(F.col(target).alias("target"), F.col(order).alias("order"), features("text").alias("f")).select(
-        "target", "order", "f.buckets", "f.shares").collect()
-    got.sort(key=lambda r: (r["order"], r["target"], r["buckets"]))
-    return [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in got], [r["target"] for r in got]
+    def trained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = [r for f in frames for r in zip(f["order"].tolist(), f["target"].tolist(), f["buckets"], f["shares"])]
+        got.sort(key=lambda r: r[:3])
+        sample = [(np.frombuffer(b, np.int32), np.frombuffer(s, np.float32)) for _, _, b, s in got]
+        yield pd.DataFrame({"model": [pickle.dumps(fit(sample, [r[1] for r in got], shape, **options))]})
+
+    counts = rows.select(F.col(target).alias("target"), F.col(order).alias("order"), features("text").alias("f")).select(
+        "target", "order", "f.buckets", "f.shares")
+    made = counts.repartition(1).mapInPandas(trained, "model binary").collect()
+    # without rows there may be no task either
+    return pickle.loads(made[0]["model"]) if made else fit([], [], shape, **options)
 
 
 def folded(model: Model, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:

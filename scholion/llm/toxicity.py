@@ -42,8 +42,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = MO
         draw = draw | ((F.col("toxic") == label) & subwords.sampled(F.col("doc_id"), bound, n))
     chosen = known.where(draw).limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(most).withColumn("order", F.xxhash64("doc_id"))
-    features, targets = subwords.collected(rows, "toxic", "order", SHAPE)
-    return subwords.fit(features, targets, SHAPE, visits=VISITS, rate=RATE, sizes=sizes)
+    return subwords.fitted(rows, "toxic", "order", SHAPE, visits=VISITS, rate=RATE, sizes=sizes)
 
 
 def scored(model: subwords.Model, text: Column, session) -> Column:
