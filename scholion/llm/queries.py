@@ -78,7 +78,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE), WORD_BPE)
+    texts = word_bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE, decoded=True)
     return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

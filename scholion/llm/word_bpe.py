@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -174,8 +174,11 @@ def _by_block(held: dict[int, tuple[list[int], list[bytes]]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["block", "at", "places", "sizes", "ids"])
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:
-    """One row per document: key, n_tokens, ids (little-endian 32-bit numbers)."""
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", size: int = BLOCK, decoded: bool = False) -> DataFrame:
+    """One row per document: key, n_tokens, ids (little-endian 32-bit numbers). With ``decoded`` also
+    that column of ``decode``, made where the ids of a block are put together: no second Python
+    worker has to hold them.
+    """
     cuts = blocks.stored_by_block(cut(docs, key, text, size))
     kind = arrow_type(docs, key)
 
@@ -187,12 +190,14 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         ids = blocks.gather(blocks.gather(flat, of_word, order), lengths, codes).astype("<u4")
         n = np.diff(blocks.starts(lengths[codes])[blocks.starts(sizes)])
         ends = blocks.starts(n)
-        return pa.table({"key": pa.array(block["keys"], kind), "n_tokens": pa.array(n),
-                         "ids": pa.array([ids[low:high].tobytes() for low, high in zip(ends, ends[1:])], pa.binary())})
+        own = pa.table({"key": pa.array(block["keys"], kind), "n_tokens": pa.array(n),
+                        "ids": pa.array([ids[low:high].tobytes() for low, high in zip(ends, ends[1:])], pa.binary())})
+        return pa.Table.from_batches(_decoded(own.to_batches(), path, "ids")) if decoded else own
 
     key_type = docs.schema[key].dataType.simpleString()
     found = encode_words(entries(cuts), path)
-    return blocks.rebuilt(cuts.drop("words"), found, whole, f"key {key_type}, n_tokens long, ids binary").withColumnRenamed("key", key)
+    schema = f"key {key_type}, n_tokens long, ids binary{', decoded string' if decoded else ''}"
+    return blocks.rebuilt(cuts.drop("words"), found, whole, schema).withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -204,19 +209,20 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pieces(path)
-        known = table.is_valid().to_numpy(zero_copy_only=False)
-        for batch in (whole.slice(low, DECODED) for whole in batches for low in range(0, whole.num_rows, DECODED)):
-            column = batch.column(batch.schema.get_field_index(ids))
-            numbers = [np.frombuffer(x.as_py() or b"", "<u4").astype(np.int64) for x in column]
-            numbers = [x[known[np.minimum(x, len(known) - 1)] & (x < len(known))] for x in numbers]
-            joined = table.take(pa.array(np.concatenate(numbers) if numbers else np.zeros(0, np.int64)))
-            starts = blocks.starts(np.array(list(map(len, numbers)), np.int64))
-            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), joined), " ")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pc.if_else(column.is_valid(), texts, None)], [*batch.schema.names, "decoded"])
-
-    return encoded.mapInArrow(each, schema)
+    return encoded.mapInArrow(lambda batches: _decoded(batches, path, ids), schema)
+
+
+def _decoded(batches: Iterable[pa.RecordBatch], path: str, ids: str) -> Iterator[pa.RecordBatch]:
+    table = pieces(path)
+    known = table.is_valid().to_numpy(zero_copy_only=False)
+    for batch in (whole.slice(low, DECODED) for whole in batches for low in range(0, whole.num_rows, DECODED)):
+        column = batch.column(batch.schema.get_field_index(ids))
+        numbers = [np.frombuffer(x.as_py() or b"", "<u4").astype(np.int64) for x in column]
+        numbers = [x[known[np.minimum(x, len(known) - 1)] & (x < len(known))] for x in numbers]
+        joined = table.take(pa.array(np.concatenate(numbers) if numbers else np.zeros(0, np.int64)))
+        starts = blocks.starts(np.array(list(map(len, numbers)), np.int64))
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), joined), " ")
+        yield pa.RecordBatch.from_arrays([*batch.columns, pc.if_else(column.is_valid(), texts, None)], [*batch.schema.names, "decoded"])
 
 
 @lru_cache(maxsize=4)

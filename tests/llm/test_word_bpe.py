@@ -41,6 +41,17 @@ def test_encoding_and_decoding_are_those_of_the_library(spark, odd, library, siz
         assert sorted(got, key=repr) == sorted(((r["doc_id"], *library(r["text"])) for r in docs.collect()), key=repr)
 
 
+@pytest.mark.parametrize("size", [1 << 24, 300])
+def test_decoding_beside_encoding_is_that_of_decode(spark, odd, size):
+    hard = spark.createDataFrame([(i, x) for i, x in enumerate(HARD)] + [(1, HARD[3]), (None, None)], "doc_id bigint, text string")
+    for docs in (odd, hard):
+        beside = word_bpe.encode(docs, queries.WORD_BPE, size=size, decoded=True)
+        after = both(docs, size=size)
+        assert beside.columns == after.columns and sorted(beside.collect(), key=repr) == sorted(after.collect(), key=repr)
+        plan = beside._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("FlatMapCoGroupsInArrow") < plan.index("MapInArrow")  # no Python worker behind that of the blocks
+
+
 def test_parts_of_a_long_text_end_at_white_space(monkeypatch):
     monkeypatch.setattr(word_bpe, "PART", 7)
     for text in (*HARD, "one  two\x1cthree four five " * 5):
