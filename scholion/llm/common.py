@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,35 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside hands Python at most so many rows at once, for rows that are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system; Spark keeps Python workers for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def tidy(body: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The body of a task, which gives its memory back at the end."""
+    def run(batches: Iterator) -> Iterator:
+        yield from body(batches)
+        give_back()
+
+    return run
+
+
 def unused(docs: DataFrame, name: str) -> str:
     """The name, or a longer one where the table has such a column."""
     taken = {c.lower() for c in docs.columns}

@@ -32,13 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scholion.llm.common import stored, unused
+from scholion.llm.common import small_batches, stored, tidy, unused
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PICKS = 24, 4
 #: Neighbours in a group that a text is paired with; groups are dealt into parts of about this size for it.
 NEIGHBOURS, PART = 3, 256
-BATCH_ROWS = 2_000
+#: Texts and pairs of texts that a task's Python holds at once.
+BATCH_ROWS, PAIR_ROWS = 2_000, 500
 
 _RANDOM = np.random.default_rng(20240607)
 _POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15 | 1, dtype=np.uint64))
@@ -223,7 +224,8 @@ def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
                     [batch.column(0), batch.column(1), pa.array(np.maximum(sizes, 1).astype(np.int64)),
                      pa.array([c.view(np.int64) for c in codes], pa.list_(pa.int64()))], ["key", "uid", "n", "sketches"])
 
-    return stored(rows.mapInArrow(sketch, f"key {kind}, uid binary, n bigint, sketches array<bigint>"))
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        return stored(rows.mapInArrow(tidy(sketch), f"key {kind}, uid binary, n bigint, sketches array<bigint>"))
 
 
 def members(found: DataFrame) -> DataFrame:
@@ -278,8 +280,9 @@ def prefix_pairs(rooted: DataFrame, texts: DataFrame) -> DataFrame:
                     [batch.column(0), batch.column(1), pa.array([len(c) for c in codes], pa.int64()),
                      pa.array([c.view(np.int64) for c in codes], pa.list_(pa.int64()))], ["uid", "root", "n", "codes"])
 
-    rows = texts.join(rooted, "uid").select("uid", "root", "text").mapInArrow(labels, "uid binary, root binary, n bigint, codes array<bigint>")
-    each = stored(rows).select("uid", "root", "n", F.explode("codes").alias("code"))
+    rows = texts.join(rooted, "uid").select("uid", "root", "text").mapInArrow(tidy(labels), "uid binary, root binary, n bigint, codes array<bigint>")
+    with small_batches(texts.sparkSession, BATCH_ROWS):
+        each = stored(rows).select("uid", "root", "n", F.explode("codes").alias("code"))
     shared = stored(each.groupBy("code").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("low"), F.max("root").alias("high")).where(
         F.col("low") != F.col("high")).select("code", "texts"))
     least = lambda a, b: F.ceil(SIMILARITY / (1 + SIMILARITY) * (a + b) - 1e-9)
@@ -301,10 +304,10 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose texts align; ``texts`` has one row (uid, text) for each of them."""
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
         for batch in batches:
-            held: dict[str, np.ndarray] = {}
             kept = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for x, y in ((x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))):
                 for t in (x, y):
                     if t not in held:
                         if len(held) > 64:
@@ -315,7 +318,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left, right = texts.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("uid").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return stored(both.mapInArrow(aligned, "a binary, b binary"))
+    with small_batches(texts.sparkSession, PAIR_ROWS):
+        return stored(both.mapInArrow(tidy(aligned), "a binary, b binary"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -15,10 +15,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from scholion.llm.common import small_batches, tidy
+
 #: Any other ASCII character than a letter separates words.
 _SEPARATORS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 #: Texts are put together up to about this size, longer ones are taken apart.
 BLOCK_BYTES = 1 << 20
+#: Texts whose counts are handed over at once.
+COUNTED = 500
 
 
 @dataclass(frozen=True)
@@ -195,7 +199,8 @@ def fitted(rows, target: str, order: str, shape: Shape, **options) -> Model:
 
     counts = rows.select(F.col(target).alias("target"), F.col(order).alias("order"), features("text").alias("f")).select(
         "target", "order", "f.buckets", "f.shares")
-    made = counts.repartition(1).mapInPandas(trained, "model binary").collect()
+    with small_batches(rows.sparkSession, COUNTED):  # the counts of a text may be many
+        made = counts.repartition(1).mapInPandas(tidy(trained), "model binary").collect()
     # without rows there may be no task either
     return pickle.loads(made[0]["model"]) if made else fit([], [], shape, **options)
 

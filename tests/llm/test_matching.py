@@ -4,10 +4,11 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from scholion.llm import decontamination, near_dedup, quality_rules, queries, toxicity
+from scholion.llm import common, decontamination, near_dedup, quality_rules, queries, subwords, toxicity
 from scholion.llm.common import stored, table
 
 SF = "/root/testdata/sf0.001"
@@ -209,3 +210,23 @@ def test_pipeline_stands_odd_rows(spark, odd):
     for _, stage in STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
     assert STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_tasks_hold_few_large_rows_at_once(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, asked = spark.conf.get(name), []
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    with common.small_batches(spark, 3):
+        assert max(r["n"] for r in spark.range(10).repartition(1).mapInArrow(common.tidy(sizes), "n long").collect()) <= 3
+    assert spark.conf.get(name) == before
+    for module in (near_dedup, subwords):
+        monkeypatch.setattr(module, "small_batches", lambda session, rows: asked.append(rows) or common.small_batches(session, rows))
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(40)) + f" end{i % 2}", i % 2) for i in range(8)], "doc_id bigint, text string, toxic int")
+    assert near_dedup.keep_one(docs.drop("toxic")).count() == 1
+    assert asked == [near_dedup.BATCH_ROWS, *[near_dedup.PAIR_ROWS] * (len(asked) - 1)] and len(asked) > 1
+    toxicity.fit(docs, docs)
+    assert asked[-1] == subwords.COUNTED and spark.conf.get(name) == before
