@@ -1,13 +1,14 @@
 """Phrase collocations: counts of all frequent phrases by HAT-tries, and the phrases that hold together.
 
-Texts become blocks of word numbers once. Then each length is counted in turn: a task feeds its
-phrases to a HAT-trie, whose upper levels branch by word id and whose leaves are hash containers
+Texts become blocks of word numbers once. Then each length is counted in turn. First the occurrences
+are added up by a hash of their phrase: a phrase whose hash occurs too rarely in the corpus can't be
+frequent, and a bitmap of fixed size tells tasks which hashes do. Then a task feeds the phrases that
+are left to a HAT-trie, whose upper levels branch by word id and whose leaves are hash containers
 that burst into a branch when they grow too large. When the trie is full, whole subtrees leave it as
 sorted runs; Spark brings the runs of a prefix into one partition and adds them up. A phrase can be
-frequent only if both its parts without the last and without the first word are; a bitmap of fixed
-size tells tasks which phrases of the length before may be, so that few others are counted. It only
-errs towards counting; the exact sums decide. The blocks are written again without the words that
-are too rare for any phrase.
+frequent only if both its parts without the last and without the first word are, so a second bitmap
+leaves out the extensions of others. The maps only err towards counting; the exact sums decide. The
+blocks are written again without the words that are too rare for any phrase.
 
 Defined cases: a null language counts as ``und``, null texts as empty; repeated rows count as often
 as they occur; texts without words give none; columns other than text and language are ignored.
@@ -36,8 +37,10 @@ BLOCK, PART = 4_000_000, 1 << 20
 BURST, HELD, NAMED = 4_096, 300_000, 200_000
 #: Rows of runs that leave a task at once.
 SENT = 50_000
-#: Bits of the map of frequent phrases: 8 MB at any size of the corpus.
-FILTER_BITS = 26
+#: Bits of the maps of phrases: 8 MB at any size of the corpus; bits of a chunk of a map.
+FILTER_BITS, CHUNK_BITS = 26, 16
+#: Hashes that a task holds before they are added up and leave it.
+HASHED = 4_000_000
 #: First words of a phrase whose runs meet in one partition.
 PREFIX = 3
 #: Parts into which a language's phrases are dealt to be ranked, and a frequent part's phrases to be joined.
@@ -73,27 +76,34 @@ class _Codes(dict):
         return code
 
 
+BLOCKS = ["block", "langs", "n", "of", "words", "hashes", "codes"]
+
+
 def cut(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = BLOCK) -> DataFrame:
-    """Blocks: block, langs, of (place of each word's language), words, codes (places of the words;
-    0 separates pieces, word w is w + 1)."""
+    """Blocks: block, langs, n (words of each language), of (place of each word's language), words,
+    hashes (of the words), codes (places of the words; 0 separates pieces, word w is w + 1)."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, held in blocks.in_blocks(batches, size):
-            langs, words, of, codes = [], [], [], []
+            langs, n, words, hashes, of, codes = [], [], [], [], [], []
             for name in sorted({x for x, _ in held}):
+                before = hash_start(name)
                 own = _Codes({b".": 0})
                 mine = [np.fromiter(map(own.__getitem__, tokens(x)), np.int64) for x in (x for n, x in held if n == name)]
                 mine = np.concatenate([y for x in mine for y in (x, [0])])
                 codes.append(np.where(mine > 0, mine + len(words), 0))
                 of += [len(langs)] * (len(own) - 1)
                 words += [w.decode("utf-8", "surrogatepass") for w in own][1:]
+                hashes += [xxhash.xxh64_intdigest(before + w) for w in own][1:]
+                n.append(int(np.count_nonzero(mine)))
                 langs.append(name)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([langs]), pa.array([of], pa.list_(pa.int32())), pa.array([words], pa.list_(pa.string())),
-                 pa.array([blocks.pack(np.concatenate(codes))], pa.binary())], ["block", "langs", "of", "words", "codes"])
+                [pa.array([block]), pa.array([langs]), pa.array([n], pa.list_(pa.int64())), pa.array([of], pa.list_(pa.int32())),
+                 pa.array([words], pa.list_(pa.string())), pa.array([np.array(hashes, np.uint64).tobytes()], pa.binary()),
+                 pa.array([blocks.pack(np.concatenate(codes))], pa.binary())], BLOCKS)
 
-    return rows.mapInArrow(pieces, "block long, langs array<string>, of array<int>, words array<string>, codes binary")
+    return rows.mapInArrow(pieces, "block long, langs array<string>, n array<long>, of array<int>, words array<string>, hashes binary, codes binary")
 
 
 # --- the map of phrases that may be frequent
@@ -101,8 +111,12 @@ def cut(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = BLO
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def hash_start(lang: str) -> bytes:
+    return f"{lang}\0".encode("utf-8", "surrogatepass")
+
+
 def word_hash(lang: str, word: str) -> int:
-    return xxhash.xxh64_intdigest(f"{lang}\0{word}".encode("utf-8", "surrogatepass"))
+    return xxhash.xxh64_intdigest(hash_start(lang) + word.encode("utf-8", "surrogatepass"))
 
 
 def bits(hashes: np.ndarray) -> np.ndarray:
@@ -136,14 +150,77 @@ def bitmap(frequent: DataFrame, length: int) -> bytes:
                 yield pd.DataFrame({"chunk": [number], "map": [np.packbits(held).tobytes()]})
 
     found = frequent.select("lang", "phrase").mapInPandas(each, "bit long")
-    chunks = found.groupBy((F.col("bit") / F.lit(1 << 16)).cast("long").alias("chunk")).agg(
-        F.collect_set((F.col("bit") % F.lit(1 << 16)).cast("int")).alias("places")).mapInPandas(chunk, "chunk long, map binary")
-    whole = bytearray(1 << (FILTER_BITS - 3))
-    for row in chunks.toLocalIterator():
-        whole[row["chunk"] << 13:(row["chunk"] + 1) << 13] = row["map"]
+    chunks = found.groupBy((F.col("bit") / F.lit(1 << CHUNK_BITS)).cast("long").alias("chunk")).agg(
+        F.collect_set((F.col("bit") % F.lit(1 << CHUNK_BITS)).cast("int")).alias("places")).mapInPandas(chunk, "chunk long, map binary")
+    return _whole(chunks)
+
+
+def _whole(chunks: DataFrame) -> bytes:
+    """The map whose chunks (chunk, map) these are."""
+    whole, size = bytearray(1 << (FILTER_BITS - 3)), 1 << (CHUNK_BITS - 3)
+    for row in chunks.collect():  # the whole map is of fixed size
+        whole[row["chunk"] * size:(row["chunk"] + 1) * size] = row["map"]
     return bytes(whole)
 
 
+def hashed_often(cuts: DataFrame, length: int, least: int, before: bytes | None = None, hashed: int = HASHED) -> bytes:
+    """The map of the hashes that ``least`` occurrences of phrases of a length have, or more.
+
+    Tasks send how often each hash occurs, packed by chunk of the map; the chunk's sums are found in
+    its partition, row by row.
+    """
+    shared = cuts.sparkSession.sparkContext.broadcast(before) if before else None
+
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        found, of = np.unique(np.concatenate([b for b, _ in held]), return_inverse=True)
+        counts = np.minimum(np.bincount(of, weights=np.concatenate([n for _, n in held])), least).astype("<u4")
+        chunks, first = np.unique(found >> np.uint32(CHUNK_BITS), return_index=True)
+        ends = [*first[1:].tolist(), len(found)]
+        low = (found & np.uint32((1 << CHUNK_BITS) - 1)).astype("<u2")
+        rows = [(low[i:j], counts[i:j]) for i, j in zip(first.tolist(), ends)]
+        # steps and counts are small, so that their high bytes, side by side, all but vanish in the shuffle
+        planes = lambda x: np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+        return pa.RecordBatch.from_arrays([pa.array(chunks.astype(np.int32)), pa.array([planes(np.diff(p, prepend=p.dtype.type(0))) for p, _ in rows], pa.binary()),
+                                           pa.array([planes(c) for _, c in rows], pa.binary())], ["chunk", "places", "counts"])
+
+    def hashes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = np.frombuffer(shared.value, np.uint8) if shared else None
+        held, n = [], 0
+        for rows in batches:
+            for codes, own in zip(*rows.columns):
+                codes, own = blocks.unpack(codes.as_py()), np.frombuffer(own.as_py(), np.uint64)
+                if length == 1:
+                    found, counts = bits(own[:, None]), np.bincount(codes, minlength=len(own) + 1)[1:]
+                else:
+                    at = _places(codes, own, length, frequent)
+                    found = bits(own[np.stack([codes[at + i] for i in range(length)], axis=1) - 1])
+                    counts = np.ones(len(at), np.int64)
+                held.append((found.astype(np.uint32), counts))
+                n += len(found)
+                if n >= hashed:
+                    yield packed(held)
+                    held, n = [], 0
+        if n:
+            yield packed(held)
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, sums = None, None
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([np.packbits(sums >= least).tobytes()], pa.binary())], ["chunk", "map"])
+        flat = lambda x, kind: np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+        for rows in batches:
+            for chunk, places, counts in zip(*(c.to_pylist() for c in rows.columns)):
+                if chunk != last:
+                    if last is not None:
+                        yield done()
+                    last, sums = chunk, np.zeros(1 << CHUNK_BITS, np.int64)
+                sums[np.cumsum(flat(places, "<u2"), dtype=np.uint16)] += flat(counts, "<u4")
+        if last is not None:
+            yield done()
+
+    sent = cuts.select("codes", "hashes").mapInArrow(hashes_of, "chunk int, places binary, counts binary")
+    return _whole(sent.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(often, "chunk int, map binary"))
+
+
 # --- counting
 
 class HatTrie:
@@ -212,12 +289,13 @@ class HatTrie:
             self.size -= weights[step]
 
 
-def runs(cuts: DataFrame, length: int, before: bytes | None = None, held: int = HELD, burst: int = BURST, named: int = NAMED) -> DataFrame:
+def runs(cuts: DataFrame, length: int, before: bytes | None = None, often: bytes | None = None, held: int = HELD, burst: int = BURST, named: int = NAMED) -> DataFrame:
     """Sorted runs of the phrases of a length: lang, phrase, f. A phrase comes in several runs.
 
     ``before`` is the map of frequent phrases one word shorter; others' extensions are left out.
+    ``often`` is that of the phrases whose hash occurs often enough; others are left out.
     """
-    shared = cuts.sparkSession.sparkContext.broadcast(before) if before else None
+    shared, shared_often = (cuts.sparkSession.sparkContext.broadcast(x) if x else None for x in (before, often))
     names = ["lang", "phrase", "f"]
 
     def batch(rows: list[tuple[bytes, int]], words: list[tuple[str, str]]) -> pa.RecordBatch:
@@ -238,21 +316,19 @@ def runs(cuts: DataFrame, length: int, before: bytes | None = None, held: int =
             yield batch(rows, words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.frombuffer(shared.value, np.uint8) if shared else None
+        frequent, likely = (np.frombuffer(x.value, np.uint8) if x else None for x in (shared, shared_often))
         trie, ids, words = HatTrie(length, burst), {}, []
         for rows in batches:
-            for langs, of, own, codes, *stored_hashes in zip(*rows.columns):
+            for langs, of, own, hashes, codes in zip(*rows.columns):
                 langs = langs.as_py()
-                named_words = [(langs[i], w) for i, w in zip(of.as_py(), own.as_py())]
-                hashes = np.frombuffer(stored_hashes[0].as_py(), np.uint64) if stored_hashes else _hashes(named_words)
-                found, counts = _counted(blocks.unpack(codes.as_py()), hashes, length, frequent)
+                found, counts = _counted(blocks.unpack(codes.as_py()), np.frombuffer(hashes.as_py(), np.uint64), length, frequent, likely)
                 used = np.unique(found)
                 if len(ids) + len(used) > named and ids:
                     yield from batches_of(trie.spill(), words)
                     ids, words = {}, []
-                to_id = np.zeros(len(named_words), np.int64)
-                for i in used.tolist():
-                    w = named_words[i]
+                to_id = np.zeros(len(own), np.int64)
+                for i, k, w in zip(used.tolist(), of.values.take(pa.array(used)).to_pylist(), own.values.take(pa.array(used)).to_pylist()):
+                    w = langs[k], w
                     if w not in ids:
                         ids[w] = len(words)
                         words.append(w)
@@ -264,53 +340,55 @@ def runs(cuts: DataFrame, length: int, before: bytes | None = None, held: int =
                         yield from batches_of(trie.spill(held // 2), words)
         yield from batches_of(trie.spill(), words)
 
-    needed = ["langs", "of", "words", "codes", *(["hashes"] if "hashes" in cuts.columns else [])]
-    return cuts.select(*needed).mapInArrow(count, "lang string, phrase string, f long")
+    return cuts.select("langs", "of", "words", "hashes", "codes").mapInArrow(count, "lang string, phrase string, f long")
 
 
 def compacted(cuts: DataFrame, before: bytes) -> DataFrame:
     """The blocks without the words that the map of single words leaves out: pieces end there, as no
-    frequent phrase holds them. ``hashes`` has those of the words that stay."""
+    frequent phrase holds them."""
     shared = cuts.sparkSession.sparkContext.broadcast(before)
 
     def smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.frombuffer(shared.value, np.uint8)
         for rows in batches:
-            for block, langs, of, words, codes in zip(*rows.columns):
-                of, words, names = np.array(of.as_py(), np.int64), words.as_py(), langs.as_py()
-                hashes = _hashes([(names[i], w) for i, w in zip(of.tolist(), words)])
+            for block, langs, n, of, words, hashes, codes in zip(*rows.columns):
+                hashes = np.frombuffer(hashes.as_py(), np.uint64)
                 stays = in_map(frequent, hashes[:, None])
                 place = np.where(stays, np.cumsum(stays), 0)
                 new = np.concatenate([[0], place])[blocks.unpack(codes.as_py())]
                 new = new[(new > 0) | (np.concatenate([[0], new[:-1]]) > 0)]
+                kept = pa.array(np.flatnonzero(stays))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block.as_py()]), pa.array([names]), pa.array([of[stays].tolist()], pa.list_(pa.int32())),
-                     pa.array([[words[i] for i in np.flatnonzero(stays).tolist()]], pa.list_(pa.string())), pa.array([blocks.pack(new)], pa.binary()),
-                     pa.array([hashes[stays].tobytes()], pa.binary())], ["block", "langs", "of", "words", "codes", "hashes"])
-
-    return cuts.select("block", "langs", "of", "words", "codes").mapInArrow(
-        smaller, "block long, langs array<string>, of array<int>, words array<string>, codes binary, hashes binary")
-
+                    [pa.array([block.as_py()]), pa.array([langs.as_py()]), pa.array([n.as_py()], pa.list_(pa.int64())),
+                     pa.array([of.values.take(kept).to_pylist()], pa.list_(pa.int32())), pa.array([words.values.take(kept).to_pylist()], pa.list_(pa.string())),
+                     pa.array([hashes[stays].tobytes()], pa.binary()), pa.array([blocks.pack(new)], pa.binary())], BLOCKS)
 
-def _hashes(words: list[tuple[str, str]]) -> np.ndarray:
-    return np.fromiter((word_hash(*w) for w in words), np.uint64, len(words))
+    return cuts.select(*BLOCKS).mapInArrow(smaller, cuts.schema)
 
 
-def _counted(codes: np.ndarray, hashes: np.ndarray, length: int, frequent: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct phrases of a block as rows of word places, and how often each occurs."""
+def _places(codes: np.ndarray, hashes: np.ndarray, length: int, frequent: np.ndarray | None = None, likely: np.ndarray | None = None) -> np.ndarray:
+    """Where the phrases of a block begin that the maps don't leave out."""
     n = len(codes) - length + 1
     if n <= 0:
-        return np.zeros((0, length), np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64)
     good = np.ones(n, bool)
     for i in range(length):
         good &= codes[i:i + n] > 0
+    at = np.flatnonzero(good)
+    rows = lambda size, shift=0: hashes[np.stack([codes[at + shift + i] for i in range(size)], axis=1) - 1]
+    if likely is not None:
+        at = at[in_map(likely, rows(length))]
     if frequent is not None and length > 1:
-        at = np.flatnonzero(good)
         for shift in (0, 1):
-            rows = hashes[np.stack([codes[at + shift + i] for i in range(length - 1)], axis=1) - 1]
-            at = at[in_map(frequent, rows)]
-    else:
-        at = np.flatnonzero(good)
+            at = at[in_map(frequent, rows(length - 1, shift))]
+    return at
+
+
+def _counted(codes: np.ndarray, hashes: np.ndarray, length: int, frequent: np.ndarray | None = None, likely: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct phrases of a block as rows of word places, and how often each occurs."""
+    at = _places(codes, hashes, length, frequent, likely)
+    if not len(at):
+        return np.zeros((0, length), np.int64), np.zeros(0, np.int64)
     ranks = codes[at] - 1
     for i in range(1, length):  # number the distinct phrases word by word, so that the numbers stay small
         _, ranks = np.unique(ranks * len(hashes) + codes[at + i] - 1, return_inverse=True)
@@ -330,12 +408,10 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     """All phrases of up to ``longest`` words with f >= min_count: lang, length, phrase, f; and the
     number of all words of each language: lang, n."""
     cuts = stored(cut(docs, text, lang, size))
-    known, before, totals = None, None, None
+    totals = cuts.select(F.explode(F.arrays_zip("langs", "n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.n").alias("n")).where("n > 0")
+    known, before = None, None
     for length in range(1, longest + 1):
-        counts = merged(runs(cuts, length, before, **limits))
-        if length == 1:
-            counts = stored(counts)
-            totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
+        counts = merged(runs(cuts, length, before, hashed_often(cuts, length, min_count, before), **limits))
         level = stored(counts.where(F.col("f") >= min_count).select("lang", F.lit(length).alias("length"), "phrase", "f"))
         known = level if known is None else known.unionByName(level)
         if length < longest:

@@ -62,6 +62,27 @@ def test_a_saturated_map_of_phrases_changes_nothing(spark, monkeypatch):
     assert sorted(tuple(r[x] for x in NAMES) for r in got) == want
 
 
+@pytest.mark.parametrize("hashed", [1, 100, 1 << 22])
+def test_only_phrases_of_frequent_hashes_leave_the_tasks(spark, odd, hashed):
+    made = spark.createDataFrame([(" ".join(f"w{i * 7 % 50} x{i}" for i in range(j, j + 40)) + " the end of it", "en" if j % 3 else None) for j in range(60)], "text string, lang string")
+    for docs, least in ((made, 5), (odd, 3)):
+        cuts = collocations.stored(collocations.cut(docs, size=700))
+        for length in (1, 2, 3):
+            f = {(r["lang"], r["phrase"]): r["f"] for r in collocations.merged(collocations.runs(cuts, length)).collect()}
+            often = collocations.hashed_often(cuts, length, least, hashed=hashed)
+            left = {(r["lang"], r["phrase"]): r["f"] for r in collocations.merged(collocations.runs(cuts, length, None, often)).collect()}
+            assert left == {k: n for k, n in f.items() if n >= least}  # so few phrases share no hash
+            assert 0 < len(left) < len(f)
+
+
+def test_a_saturated_map_of_hashes_changes_nothing(spark, monkeypatch):
+    docs = table(spark, SF, "documents").where("length(text) < 2000")
+    want = brute(rows_of(docs), 4, 6, 30, 90)
+    monkeypatch.setattr(collocations, "hashed_often", lambda *a, **k: b"\xff" * (1 << (collocations.FILTER_BITS - 3)))
+    got = collocations.collocations(docs, longest=4, min_count=6, top=30, share=90).collect()
+    assert sorted(tuple(r[x] for x in NAMES) for r in got) == want
+
+
 def test_no_documents_and_no_phrases(spark, nothing, odd):
     assert collocations.collocations(nothing).collect() == []
     assert collocations.collocations(odd.where("doc_id IN (2, 3, 4)"), min_count=1).collect() == []
