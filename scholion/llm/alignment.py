@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholion.llm import blocks
-from scholion.llm.common import stored
+from scholion.llm.common import stored, tidy
 from scholion.llm.word_bpe import arrow_type
 
 #: Characters of the texts in a block.
@@ -244,7 +244,7 @@ def cut(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: str
                  *[pa.array([blocks.pack(of[n])], pa.binary()) for n in packed],
                  pa.array([pairs.tolist()], pa.list_(pa.int64())), pa.array([np.bincount(codes, minlength=len(pairs)).tolist()], pa.list_(pa.int64()))], names)
 
-    return rows.mapInArrow(pieces, f"block long, keys array<{key_type}>, {', '.join(f'{n} array<long>' for n in numbers)}, "
+    return rows.mapInArrow(tidy(pieces), f"block long, keys array<{key_type}>, {', '.join(f'{n} array<long>' for n in numbers)}, "
                                    f"{', '.join(f'{n} binary' for n in packed)}, pairs array<long>, docs array<long>")
 
 
@@ -259,7 +259,7 @@ def pair_counts(cuts: DataFrame, second_size: int) -> DataFrame:
 def align(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:
     """One row per document: key, n_a, n_b, n_groups, n_links, n_best (links whose pair's document count
     is the highest of its first id), count_sum (of the links' counts), groups (text)."""
-    cuts = stored(cut(docs, first, second, key, text, size))
+    cuts = blocks.stored_by_block(cut(docs, first, second, key, text, size))
     n_first, n_second = tokenizers(first, second).sizes
     counts = pair_counts(cuts, n_second).select("pair", F.col("docs").alias("count"), "best")
     values = blocks.entries(cuts, "pairs").withColumnRenamed("pairs", "pair").join(counts, "pair").select("block", "at", "count", "best")

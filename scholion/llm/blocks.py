@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholion.llm.common import shared_folder
+from scholion.llm.common import give_back, shared_folder
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -98,7 +98,10 @@ def rebuilt(blocks: DataFrame, values: DataFrame, body: Callable[[dict, pa.Table
     entries get an empty table.
     """
     def of(left: pa.Table, right: pa.Table) -> pa.Table:
-        return body(left.to_pylist()[0], right.sort_by("at"))
+        try:
+            return body(left.to_pylist()[0], right.sort_by("at"))
+        finally:
+            give_back()
 
     own = values.withColumnRenamed("block", "of_block")  # both sides may come from the same rows
     return blocks.groupBy("block").cogroup(own.groupBy("of_block")).applyInArrow(of, schema)

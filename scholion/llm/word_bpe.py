@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholion.llm import blocks
+from scholion.llm.common import tidy
 
 #: Characters of the texts in a block, and of a part of a long text that is split at once.
 BLOCK, PART = 12_000_000, 1_000_000
@@ -99,7 +100,7 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = BL
                 ["block", "keys", "sizes", "codes", "words"])
 
     kind = arrow_type(rows, "key")
-    return rows.mapInArrow(pieces, f"block long, keys array<{key_type}>, sizes array<long>, codes binary, words binary")
+    return rows.mapInArrow(tidy(pieces), f"block long, keys array<{key_type}>, sizes array<long>, codes binary, words binary")
 
 
 def _packed(words: list[str]) -> bytes:
@@ -164,7 +165,7 @@ def encode_words(found: DataFrame, path: str) -> DataFrame:
             yield _by_block(held)
 
     together = found.repartition("word").sortWithinPartitions("word").select("block", "at", "word")
-    return together.mapInArrow(each, "block long, at int, places binary, sizes binary, ids binary")
+    return together.mapInArrow(tidy(each), "block long, at int, places binary, sizes binary, ids binary")
 
 
 def _by_block(held: dict[int, tuple[list[int], list[bytes]]]) -> pa.RecordBatch:

@@ -78,6 +78,11 @@ def test_registered_digests(spark):
         assert r["groups_sha256"] == (hashlib.sha256(text.encode()).hexdigest() if text else "")
 
 
+def test_blocks_are_not_shuffled(spark, odd):
+    plan = alignment.align(odd, queries.BYTE_BPE, queries.PIECE_BPE)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+
+
 def test_no_documents(spark, nothing):
     assert alignment.align(nothing, queries.BYTE_BPE, queries.PIECE_BPE).collect() == []
 
