@@ -266,6 +266,12 @@ def learn(model: Model, texts: Iterator[list[str | None]], codes: Codes) -> tupl
     return model.outer, model.inner, seen
 
 
+def dealt(texts: DataFrame, rounds: int) -> DataFrame:
+    """The texts in fewer partitions: a round learns from one text in ``rounds``, so a task takes so
+    many splits, and fewer changes of the weights are shuffled to be averaged."""
+    return texts.coalesce(-(-texts.rdd.getNumPartitions() // rounds) or 1)
+
+
 def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     """Rounds of updates in the tasks, each over its slice of the texts; the weights are averaged by tokens seen."""
     session = texts.sparkSession
@@ -281,6 +287,7 @@ def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([(total / seen).astype(np.float16).tobytes()], pa.binary()), pa.array([seen], pa.int64())], ["change", "seen"])
 
+    texts = dealt(texts, rounds)
     for r in range(rounds):
         shared = session.sparkContext.broadcast(model)
 

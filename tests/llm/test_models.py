@@ -110,6 +110,12 @@ def test_history_helps_on_held_out_texts(spark):
     assert sum(r["score"] for r in rows) > 0.98 * sum(r["base_score"] for r in rows)
 
 
+def test_a_task_learns_from_as_many_splits_as_there_are_rounds(spark):
+    texts = spark.range(20).selectExpr("cast(id AS string) AS text").repartition(7)
+    assert [lm_scoring.dealt(texts, n).rdd.getNumPartitions() for n in (1, 3, 9)] == [7, 3, 1]
+    assert sorted(r["text"] for r in lm_scoring.dealt(texts, 3).collect()) == sorted(map(str, range(20)))
+
+
 def test_probabilities_of_the_next_token_sum_to_one(spark):
     docs = table(spark, SF, "documents")
     texts = lm_scoring.training(docs, "doc_id", "text")
