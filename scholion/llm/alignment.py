@@ -18,7 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholion.llm import blocks
-from scholion.llm.common import stored, tidy
+from scholion.llm.common import small_batches, stored, tidy
 from scholion.llm.word_bpe import arrow_type
 
 #: Characters of the texts in a block.
 BLOCK = 2_500_000
 #: Parts of texts that are tokenised at once, and tokens of documents that are divided at once.
 BATCH, RUN = 5_000, 200_000
+#: Characters of the distinct parts that a worker keeps encoded from block to block, with 16 more for each part.
+KEPT = 10_000_000
+#: Documents that come to a task at once.
+AT_ONCE = 500
 #: Links of a group beyond which its distinct ids are counted instead of listing its links.
 LISTED = 4_096
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
@@ -44,6 +48,10 @@ class _Codes(dict):
         return code
 
 
+def _cost(parts: list[str]) -> int:
+    return sum(map(len, parts)) + 16 * len(parts)
+
+
 class Pair:
     """Two tokenizers: a byte-level one that gets a space before the text, and one that adds it itself."""
 
@@ -61,33 +69,46 @@ class Pair:
         self.pieces = byte_level_pieces(first), sentence_pieces(self.b)
         self.sizes = tuple(map(len, self.pieces))
         self.lengths = tuple(np.array(list(map(len, p)), np.int64) for p in self.pieces)
+        self.codes, self.kept = _Codes(), 0
+        self.ids, self.counts, self.whole = [np.zeros(0, np.int32)] * 2, [np.zeros(0, np.int64)] * 2, np.zeros(0, bool)
 
     def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both, one text after the other, and their numbers for each text; none where one
         tokenizer doesn't give the text's bytes back.
 
         No token of either crosses a single space between signs, so each distinct part between such
-        spaces is encoded once.
+        spaces is encoded once, and not again while it is kept.
         """
-        codes = _Codes()
-        of = [np.fromiter(map(codes.__getitem__, _SINGLE.split(x) if x else ()), np.int64) for x in texts]
-        parts, ids, sizes, good = list(codes), ([], []), ([], []), [np.zeros(0, bool)]
+        known = len(self.codes)
+        of = [np.fromiter(map(self.codes.__getitem__, _SINGLE.split(x) if x else ()), np.int64) for x in texts]
+        self._encoded(list(islice(self.codes, known, None)))
+        of = [x if self.whole[x].all() else x[:0] for x in of]
+        each, sizes = np.concatenate(of), np.array([len(x) for x in of])
+        flat = [blocks.gather(ids, n, each).astype(np.int64) for ids, n in zip(self.ids, self.counts)]
+        numbers = [sums(n[each], sizes) for n in self.counts]
+        if self.kept > KEPT:
+            self._forget_all_but(np.unique(each))
+        return flat, numbers
+
+    def _forget_all_but(self, stay: np.ndarray) -> None:
+        parts = list(self.codes)
+        parts = [parts[i] for i in stay.tolist()]
+        self.codes, self.kept = _Codes(zip(parts, range(len(parts)))), _cost(parts)
+        self.ids = [blocks.gather(ids, n, stay) for ids, n in zip(self.ids, self.counts)]
+        self.counts, self.whole = [n[stay] for n in self.counts], self.whole[stay]
+
+    def _encoded(self, parts: list[str]) -> None:
+        """Takes in parts that are not known yet, in the order of their numbers."""
+        ids, counts, whole = [[x] for x in self.ids], [[x] for x in self.counts], [self.whole]
         for low in range(0, len(parts), BATCH):
             some = parts[low:low + BATCH]
             both = [e.ids for e in self._encode([" " + x for x in some], add_special_tokens=False)], self.b.encode(some, num_threads=1)
-            for held, n, own in zip(ids, sizes, both):
+            for held, n, own in zip(ids, counts, both):
                 n.append(np.fromiter(map(len, own), np.int64, len(own)))
                 held.append(np.fromiter(chain.from_iterable(own), np.int32))
-            good.append(self._given_back(some, [x[-1] for x in ids], [x[-1] for x in sizes]))
-        whole = np.concatenate(good)
-        of = [x if whole[x].all() else x[:0] for x in of]
-        each, counts = np.concatenate(of), np.array([len(x) for x in of])
-        flat, numbers = [], []
-        for held, n in zip(ids, sizes):
-            of_part = np.concatenate([np.zeros(0, np.int64), *n])
-            flat.append(blocks.gather(np.concatenate([np.zeros(0, np.int32), *held]), of_part, each).astype(np.int64))
-            numbers.append(sums(of_part[each], counts))
-        return flat, numbers
+            whole.append(self._given_back(some, [x[-1] for x in ids], [x[-1] for x in counts]))
+        self.ids, self.counts, self.whole = [np.concatenate(x) for x in ids], [np.concatenate(x) for x in counts], np.concatenate(whole)
+        self.kept += _cost(parts)
 
     def _given_back(self, parts: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
         """Whether the pieces of both tokenizers join to the bytes of each part after its space."""
@@ -138,12 +159,14 @@ def divide(a_ends: np.ndarray, b_ends: np.ndarray, a_of: np.ndarray, b_of: np.nd
     """
     held = (a_of[1:] > a_of[:-1]) & (b_of[1:] > b_of[:-1])
     work = np.stack([a_of[:-1], a_of[1:], b_of[:-1], b_of[1:]], axis=1)[held]
+    place = np.searchsorted(b_ends, a_ends)
+    shared = b_ends[np.minimum(place, len(b_ends) - 1)] == a_ends if len(b_ends) else np.zeros(len(a_ends), bool)
     done: list[np.ndarray] = []
     while len(work):
         single = (work[:, 1] - work[:, 0] < 2) | (work[:, 3] - work[:, 2] < 2)
         done.append(work[single])
         work = work[~single]
-        at, to = _near_middle(work, a_ends, b_ends)
+        at, to = _near_middle(work, place, shared)
         done.append(work[at < 0])
         low_a, high_a, low_b, high_b = work[at >= 0].T
         at, to = at[at >= 0] + 1, to[at >= 0] + 1
@@ -152,9 +175,10 @@ def divide(a_ends: np.ndarray, b_ends: np.ndarray, a_of: np.ndarray, b_of: np.nd
     return np.sort(leaves[:, 1]), np.sort(leaves[:, 3])
 
 
-def _near_middle(work: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _near_middle(work: np.ndarray, place: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each interval the first tokenizer's token nearest to the middle that ends where one of the
-    second does, before the interval's end, and that token; -1 without one."""
+    second does, before the interval's end, and that token; -1 without one. ``shared``: whether a token
+    of the second ends where this one does; ``place``: which."""
     at, to = np.full(len(work), -1, np.int64), np.full(len(work), -1, np.int64)
     low, last = work[:, 0], work[:, 1] - 2
     middle = (low + last) // 2
@@ -165,12 +189,12 @@ def _near_middle(work: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> tu
         offsets = np.array([o for d in range(before, reach) for o in ((d, -d) if d else (0,))], np.int64)
         tried = m[:, None] + offsets
         inside = (tried >= lo[:, None]) & (tried <= hi[:, None])
-        ends = a_ends[np.where(inside, tried, lo[:, None])]
-        place = np.searchsorted(b_ends, ends)
-        hit = inside & (b_ends[np.minimum(place, len(b_ends) - 1)] == ends)
+        tried = np.where(inside, tried, lo[:, None])
+        hit = inside & shared[tried]
         found, first = hit.any(axis=1), hit.argmax(axis=1)
         rows = np.flatnonzero(found)
-        at[open_[rows]], to[open_[rows]] = tried[rows, first[rows]], place[rows, first[rows]]
+        at[open_[rows]] = tried[rows, first[rows]]
+        to[open_[rows]] = place[at[open_[rows]]]
         open_ = open_[~found & ((m - lo >= reach) | (hi - m >= reach))]
         before, reach = reach, reach * 2
     return at, to
@@ -259,7 +283,8 @@ def pair_counts(cuts: DataFrame, second_size: int) -> DataFrame:
 def align(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:
     """One row per document: key, n_a, n_b, n_groups, n_links, n_best (links whose pair's document count
     is the highest of its first id), count_sum (of the links' counts), groups (text)."""
-    cuts = blocks.stored_by_block(cut(docs, first, second, key, text, size))
+    with small_batches(docs.sparkSession, AT_ONCE):
+        cuts = blocks.stored_by_block(cut(docs, first, second, key, text, size))
     n_first, n_second = tokenizers(first, second).sizes
     counts = pair_counts(cuts, n_second).select("pair", F.col("docs").alias("count"), "best")
     values = blocks.entries(cuts, "pairs").withColumnRenamed("pairs", "pair").join(counts, "pair").select("block", "at", "count", "best")
@@ -267,6 +292,7 @@ def align(docs: DataFrame, first: str, second: str, key: str = "doc_id", text: s
     names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
     def whole(block: dict, of: pa.Table) -> pa.Table:
+        tokenizers.cache_clear()  # the worker may hold what it has cut blocks with
         a, b, in_a, in_b, codes, times = (blocks.unpack(block[n]) for n in ("a", "b", "in_a", "in_b", "codes", "times"))
         count, best = of["count"].to_numpy(), of["best"].to_numpy().astype(np.int64)
         n_pairs = np.array(block["n_pairs"], np.int64)

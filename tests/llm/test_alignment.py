@@ -121,3 +121,16 @@ def test_large_groups_are_counted_by_their_ids(monkeypatch):
     plain = alignment.linked(a, b, *parts, (9, 7))
     monkeypatch.setattr(alignment, "LISTED", 10)
     assert [x.tolist() for x in alignment.linked(a, b, *parts, (9, 7))] == [x.tolist() for x in plain]
+
+
+def test_parts_are_encoded_once_for_all_blocks(monkeypatch):
+    texts = ["one two three", "two  three\nfour", "", "x" * 70 + " one", "日本語 two", "three one " * 9, "\x00 one"]
+    of = lambda own: [[x.tolist() for side in own.tokens([t]) for x in side] for t in texts]
+    own, seen = alignment.Pair(queries.BYTE_BPE, queries.PIECE_BPE), []
+    encode = own._encode
+    own._encode = lambda parts, **how: seen.extend(parts) or encode(parts, **how)
+    want = [[x.tolist() for side in alignment.Pair(queries.BYTE_BPE, queries.PIECE_BPE).tokens([t]) for x in side] for t in texts]
+    assert of(own) == of(own) == want
+    assert len(seen) == len(set(seen))
+    monkeypatch.setattr(alignment, "KEPT", 0)
+    assert of(own) == of(own) == want
