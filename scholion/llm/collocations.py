@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholion.llm import blocks
-from scholion.llm.common import stored
+from scholion.llm.common import small_batches, stored, tidy
 
 LONGEST, MIN_COUNT, TOP, SCALE, SHARE = 5, 100, 2000, 1000, 100
 #: Characters of the texts in a block, and bytes of a long text that is split at once.
@@ -40,7 +40,9 @@ SENT = 50_000
 #: Bits of the maps of phrases: 8 MB at any size of the corpus; bits of a chunk of a map.
 FILTER_BITS, CHUNK_BITS = 26, 16
 #: Hashes that a task holds before they are added up and leave it.
-HASHED = 4_000_000
+HASHED = 2_000_000
+#: Documents, and blocks or rows of packed hashes, that come to a task at once.
+AT_ONCE, BLOCKS_AT_ONCE = 500, 2
 #: First words of a phrase whose runs meet in one partition.
 PREFIX = 3
 #: Parts into which a language's phrases are dealt to be ranked, and a frequent part's phrases to be joined.
@@ -103,7 +105,7 @@ def cut(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = BLO
                  pa.array([words], pa.list_(pa.string())), pa.array([np.array(hashes, np.uint64).tobytes()], pa.binary()),
                  pa.array([blocks.pack(np.concatenate(codes))], pa.binary())], BLOCKS)
 
-    return rows.mapInArrow(pieces, "block long, langs array<string>, n array<long>, of array<int>, words array<string>, hashes binary, codes binary")
+    return rows.mapInArrow(tidy(pieces), "block long, langs array<string>, n array<long>, of array<int>, words array<string>, hashes binary, codes binary")
 
 
 # --- the map of phrases that may be frequent
@@ -171,9 +173,13 @@ def hashed_often(cuts: DataFrame, length: int, least: int, before: bytes | None
     """
     shared = cuts.sparkSession.sparkContext.broadcast(before) if before else None
 
-    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        found, of = np.unique(np.concatenate([b for b, _ in held]), return_inverse=True)
-        counts = np.minimum(np.bincount(of, weights=np.concatenate([n for _, n in held])), least).astype("<u4")
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(held)
+        held.clear()
+        rows.sort()
+        found, counts = (rows >> np.uint64(32)).astype(np.uint32), rows & np.uint64((1 << 32) - 1)
+        heads = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        found, counts = found[heads], np.minimum(np.add.reduceat(counts, heads), np.uint64(least)).astype("<u4")
         chunks, first = np.unique(found >> np.uint32(CHUNK_BITS), return_index=True)
         ends = [*first[1:].tolist(), len(found)]
         low = (found & np.uint32((1 << CHUNK_BITS) - 1)).astype("<u2")
@@ -194,12 +200,12 @@ def hashed_often(cuts: DataFrame, length: int, least: int, before: bytes | None
                 else:
                     at = _places(codes, own, length, frequent)
                     found = bits(own[np.stack([codes[at + i] for i in range(length)], axis=1) - 1])
-                    counts = np.ones(len(at), np.int64)
-                held.append((found.astype(np.uint32), counts))
+                    counts = 1
+                held.append(found << np.uint64(32) | np.asarray(counts, np.uint64))
                 n += len(found)
                 if n >= hashed:
                     yield packed(held)
-                    held, n = [], 0
+                    n = 0
         if n:
             yield packed(held)
 
@@ -217,8 +223,9 @@ def hashed_often(cuts: DataFrame, length: int, least: int, before: bytes | None
         if last is not None:
             yield done()
 
-    sent = cuts.select("codes", "hashes").mapInArrow(hashes_of, "chunk int, places binary, counts binary")
-    return _whole(sent.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(often, "chunk int, map binary"))
+    sent = cuts.select("codes", "hashes").mapInArrow(tidy(hashes_of), "chunk int, places binary, counts binary")
+    with small_batches(cuts.sparkSession, BLOCKS_AT_ONCE):
+        return _whole(sent.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(tidy(often), "chunk int, map binary"))
 
 
 # --- counting
@@ -340,7 +347,7 @@ def runs(cuts: DataFrame, length: int, before: bytes | None = None, often: bytes
                         yield from batches_of(trie.spill(held // 2), words)
         yield from batches_of(trie.spill(), words)
 
-    return cuts.select("langs", "of", "words", "hashes", "codes").mapInArrow(count, "lang string, phrase string, f long")
+    return cuts.select("langs", "of", "words", "hashes", "codes").mapInArrow(tidy(count), "lang string, phrase string, f long")
 
 
 def compacted(cuts: DataFrame, before: bytes) -> DataFrame:
@@ -360,10 +367,14 @@ def compacted(cuts: DataFrame, before: bytes) -> DataFrame:
                 kept = pa.array(np.flatnonzero(stays))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block.as_py()]), pa.array([langs.as_py()]), pa.array([n.as_py()], pa.list_(pa.int64())),
-                     pa.array([of.values.take(kept).to_pylist()], pa.list_(pa.int32())), pa.array([words.values.take(kept).to_pylist()], pa.list_(pa.string())),
+                     _one_list(of.values.take(kept)), _one_list(words.values.take(kept)),
                      pa.array([hashes[stays].tobytes()], pa.binary()), pa.array([blocks.pack(new)], pa.binary())], BLOCKS)
 
-    return cuts.select(*BLOCKS).mapInArrow(smaller, cuts.schema)
+    return cuts.select(*BLOCKS).mapInArrow(tidy(smaller), cuts.schema)
+
+
+def _one_list(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def _places(codes: np.ndarray, hashes: np.ndarray, length: int, frequent: np.ndarray | None = None, likely: np.ndarray | None = None) -> np.ndarray:
@@ -407,17 +418,20 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
                      size: int = BLOCK, **limits: int) -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``longest`` words with f >= min_count: lang, length, phrase, f; and the
     number of all words of each language: lang, n."""
-    cuts = stored(cut(docs, text, lang, size))
+    with small_batches(docs.sparkSession, AT_ONCE):
+        cuts = stored(cut(docs, text, lang, size))
     totals = cuts.select(F.explode(F.arrays_zip("langs", "n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.n").alias("n")).where("n > 0")
     known, before = None, None
     for length in range(1, longest + 1):
         counts = merged(runs(cuts, length, before, hashed_often(cuts, length, min_count, before), **limits))
-        level = stored(counts.where(F.col("f") >= min_count).select("lang", F.lit(length).alias("length"), "phrase", "f"))
+        with small_batches(docs.sparkSession, BLOCKS_AT_ONCE):
+            level = stored(counts.where(F.col("f") >= min_count).select("lang", F.lit(length).alias("length"), "phrase", "f"))
         known = level if known is None else known.unionByName(level)
         if length < longest:
             before = bitmap(level, length)
         if length == 1 and longest > 1:
-            cuts = stored(compacted(cuts, before))
+            with small_batches(docs.sparkSession, BLOCKS_AT_ONCE):
+                cuts = stored(compacted(cuts, before))
     return known, totals
 
 

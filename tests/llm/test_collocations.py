@@ -128,3 +128,12 @@ def test_tries_burst_spill_and_keep_all_counts(rows, burst, keep):
 
 def test_registered_phrases_have_contract_columns(spark):
     assert queries.op12_collocations(spark, SF).columns == list(NAMES)
+
+
+def test_tasks_get_few_blocks_at_once(spark, monkeypatch):
+    seen, stored = [], collocations.stored
+    monkeypatch.setattr(collocations, "stored", lambda df: seen.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))) or stored(df))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    collocations.frequent_phrases(table(spark, SF, "documents").where("length(text) < 300"), longest=2, min_count=3)
+    assert seen == [collocations.AT_ONCE] + [collocations.BLOCKS_AT_ONCE] * 3
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
