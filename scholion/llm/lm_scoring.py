@@ -45,6 +45,8 @@ HELD_TOKENS, FAN_IN = 300_000, 16
 #: Gradients of a row that are added up side by side with those of other rows.
 LAYERS = 8
 SLICE = 65_536
+#: Places whose classes are weighed at once, so that their numbers stay in the processor's cache.
+NEAR = 1024
 LOG10 = np.log(10.0)
 _START = CLASSES << 26
 _ONES = np.ones(STEP, np.float32)
@@ -188,31 +190,49 @@ def features(row: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return hashed + [ROWS + k * (CLASSES + 1) + group[at - 1 - k] for k in range(3)]
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
+def _softmax(logits: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Probabilities of all columns, or of the ``wanted`` one in each row."""
     logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
+    sums = logits @ np.ones(logits.shape[1], np.float32)
+    if wanted is not None:
+        return logits[np.arange(len(logits)), wanted] / sums
+    logits /= sums[:, None]
     return logits
 
 
+def _taken(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``values[rows]`` for rows of a table, which take() copies faster."""
+    return values.take(rows, axis=0, mode="clip")
+
+
 def _inner_row(row: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (((row[at - 1] & 0x3FFFFFF) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - INNER_ROWS.bit_length() + 1)).astype(np.int64)
 
 
-def class_probabilities(model: Model, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Of each class at these places, and the rows of their features."""
+def class_probabilities(model: Model, row: np.ndarray, at: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of each class at these places, or of the one in ``group``, and the rows of their features."""
     rows = features(row, at)
-    logits, taken = np.empty((2, len(at), CLASSES), np.float32)
-    np.take(model.outer, rows[0], axis=0, out=logits, mode="clip")
-    for f in rows[1:]:
-        logits += np.take(model.outer, f, axis=0, out=taken, mode="clip")
-    logits += model.outer[-1]
-    return _softmax(logits), rows
+    found = np.empty(len(at) if group is not None else (len(at), CLASSES), np.float32)
+    held, taken = np.empty((2, min(len(at), NEAR), CLASSES), np.float32)
+    for low in range(0, len(at), NEAR):
+        near = slice(low, low + NEAR)
+        logits = found[near] if group is None else held[:len(found[near])]
+        np.take(model.outer, rows[0][near], axis=0, out=logits, mode="clip")
+        for f in rows[1:]:
+            logits += np.take(model.outer, f[near], axis=0, out=taken[:len(logits)], mode="clip")
+        logits += model.outer[-1]
+        if group is None:
+            _softmax(logits)
+        else:
+            found[near] = _softmax(logits, group[near])
+    return found, rows
 
 
-def member_probabilities(model: Model, row: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Of each member of the head classes that the tokens at these places have."""
-    return _softmax(model.inner[_inner_row(row, at), group] + model.inner[-1][group])
+def member_probabilities(model: Model, row: np.ndarray, at: np.ndarray, group: np.ndarray, member: np.ndarray | None = None) -> np.ndarray:
+    """Of each member of the head classes that the tokens at these places have, or of that one."""
+    inner = _taken(model.inner.reshape(-1, MEMBERS), _inner_row(row, at) * HEAD_CLASSES + group)
+    return _softmax(inner + _taken(model.inner[-1], group), member)
 
 
 def _summed(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,14 +242,14 @@ def _summed(rows: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     found = rows[order]
     first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
     sizes = np.diff(first, append=len(rows))
-    sums = grad[order[first]]
+    sums = _taken(grad, order[first])
     for k in range(1, LAYERS):
         more = np.flatnonzero(sizes > k)
         if not len(more):
             break
-        sums[more] += grad[order[first[more] + k]]
+        sums[more] = _taken(sums, more) + _taken(grad, order[first[more] + k])
     for i in np.flatnonzero(sizes > LAYERS).tolist():
-        rest = grad[order[first[i] + LAYERS:first[i] + sizes[i]]]
+        rest = _taken(grad, order[first[i] + LAYERS:first[i] + sizes[i]])
         sums[i] += _ONES[:len(rest)] @ rest
     return found[first], sums
 
@@ -239,7 +259,7 @@ def _scattered(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, grad:
     at, sums = _summed(rows, grad)
     squares[at] += np.einsum("ij,ij->i", sums, sums) / sums.shape[1]
     sums *= (RATE / np.sqrt(squares[at]))[:, None]
-    weights[at] -= sums
+    weights[at] = _taken(weights, at) - sums
 
 
 def learn(model: Model, texts: Iterator[list[str | None]], codes: Codes) -> tuple[np.ndarray, np.ndarray, int]:
@@ -342,12 +362,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
                     fine = np.empty(len(at))
                     for k in range(0, len(at), STEP):
                         part = at[k:k + STEP]
-                        outer, _ = class_probabilities(own, row, part)
                         g = group[k:k + STEP]
-                        fine[k:k + STEP] = np.log10(outer[np.arange(len(part)), g])
+                        outer, _ = class_probabilities(own, row, part, g)
+                        fine[k:k + STEP] = np.log10(outer)
                         head = np.flatnonzero(g < HEAD_CLASSES)
-                        inner = member_probabilities(own, row, part[head], g[head])
-                        fine[k + head] += np.log10(inner[np.arange(len(head)), member[k + head]])
+                        fine[k + head] += np.log10(member_probabilities(own, row, part[head], g[head], member[k + head]))
                     known = place >= 0
                     rest = np.flatnonzero(known & (group >= HEAD_CLASSES))
                     fine[rest] += tail[place[rest]]
@@ -367,7 +386,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
 
     found = stored(rows.mapInArrow(scored, f"row bigint, key {kind}, held_out boolean, n_tokens bigint, n_frequent bigint, base double, model double, "
                                            "rare array<struct<token:string,n:int>>"))
-    counted = found.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n").join(vocabulary, "token", "left")
+    counted = found.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n").join(vocabulary.hint("shuffle_hash"), "token", "left")  # a row a token: nothing to sort
     # the tasks have taken off what a rare token's count is divided by
     count = F.coalesce("c", F.lit(0))
     rare = counted.groupBy("row").agg(

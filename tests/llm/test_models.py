@@ -196,3 +196,26 @@ def test_gradients_of_a_row_add_up():
     np.add.at(want, rows, grad)
     at, sums = lm_scoring._summed(rows, grad)
     assert np.array_equal(at, np.unique(rows)) and np.allclose(sums, want[at], atol=1e-3)
+
+
+def test_wanted_probabilities_are_those_of_all_in_any_portions(spark, monkeypatch):
+    docs = table(spark, SF, "documents")
+    texts = lm_scoring.training(docs, "doc_id", "text")
+    model = lm_scoring.train(texts, lm_scoring.untrained(lm_scoring.token_counts(texts)), rounds=1)
+    row, _, _ = next(lm_scoring.slices(lm_scoring.Codes(model.frequent), [r["text"] for r in docs.limit(20).collect()]))
+    at = np.flatnonzero(row != lm_scoring._START)[:3000]
+    group, member = (row[at] >> 26) & 127, (row[at] >> 33) & 31
+    whole, rows = lm_scoring.class_probabilities(model, row, at)
+    assert whole.shape == (len(at), lm_scoring.CLASSES) and np.allclose(whole.sum(axis=1), 1, atol=1e-5)
+    head = np.flatnonzero(group < lm_scoring.HEAD_CLASSES)
+    inner = lm_scoring.member_probabilities(model, row, at[head], group[head])
+    assert np.array_equal(lm_scoring.member_probabilities(model, row, at[head], group[head], member[head]), inner[np.arange(len(head)), member[head]])
+    for near in (7, 1024, 1 << 20):
+        monkeypatch.setattr(lm_scoring, "NEAR", near)
+        assert np.allclose(lm_scoring.class_probabilities(model, row, at)[0], whole, rtol=1e-5)
+        assert np.allclose(lm_scoring.class_probabilities(model, row, at, group)[0], whole[np.arange(len(at)), group], rtol=1e-5)
+
+
+def test_counts_of_rare_tokens_come_without_sorting(spark):
+    plan = lm_scoring.score(table(spark, SF, "documents"), rounds=1)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [token" in plan
