@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
+import zlib
 from dataclasses import dataclass
 from difflib import SequenceMatcher
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scholion.functions.arrays import let
+from scholion.functions.arrays import as_made, let
 from scholion.functions.text import SPACE_RUN, strip
-from scholion.session import cut_lineage
+from scholion.session import cut_lineage, dealt
 
 CONTENT_SUFFIX = "_content_list"
 
@@ -56,96 +60,201 @@ def exact_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 # --- similar names
 
-#: Longest grams in use; rarer than that they need not be.
-LONGEST_GRAM = 8
+#: Longest chunk in use; more selective than that it need not be.
+LONGEST_CHUNK = 8
+#: Chunks of this size or more may hold one unmatched character; shorter ones must meet as they are.
+SHORTEST_LOOSE = 3
+#: Buckets in which grams are counted for the choice of chunks, at any number of names.
+BUCKETS = 1 << 16
 
 
 @dataclass(frozen=True)
 class Bound:
-    """What two texts with ratio >= s and total length T share, as columns.
-
-    They match in at least M = ceil(sT/2) characters and leave at most d = T - 2M unmatched, so the
-    matching runs are d + 1 or fewer, because a gap between runs costs an unmatched character. Of
-    grams of size q they share M - (d + 1)(q - 1) or more, in the same order and at places that
-    differ by no more than what either text leaves unmatched before them. The largest q is used
-    that leaves a tenth of the total length as shared grams: a text's most frequent grams, which
-    half of all names may have, can then be left out.
+    """What a left and a right text with ratio >= s and total length T share, as columns of their lengths.
+
+    They match in order in at least M = ceil(sT/2) characters, so at most d = T - 2M are unmatched, and
+    the place of a match differs by no more than what either text leaves unmatched before it. Chunks of
+    the left text that don't overlap share these d between them: an unmatched character of the left
+    text lies in one chunk at most, and so does one of the right text that stands between two matches.
+    Of floor(d/2) + 1 chunks one therefore holds at most one such character, and of d + 1 chunks one
+    holds none. Chunks leave a fifth of the text free, so that frequent parts, which half of all names
+    may have, can be left out.
     """
 
-    total: Column
+    left: Column
+    right: Column
     min_score: float
 
     @property
     def matched(self) -> Column:
-        return F.greatest(F.lit(1), F.ceil(self.total * self.min_score / 2 - 1e-6).cast("int"))
+        return F.greatest(F.lit(1), F.ceil((self.left + self.right) * self.min_score / 2 - 1e-6).cast("int"))
 
     @property
-    def runs(self) -> Column:
-        return F.greatest(F.lit(1), self.total - self.matched * 2 + 1)
+    def possible(self) -> Column:
+        return self.matched <= F.least(self.left, self.right)
 
     @property
-    def q(self) -> Column:
-        room = self.matched - F.greatest(F.lit(1), F.floor(self.total / 10).cast("int"))
-        return F.least(F.lit(LONGEST_GRAM), F.greatest(F.lit(1), F.floor(room / self.runs).cast("int") + 1))
+    def chunks(self) -> Column:
+        """struct(size, many) of the left text's chunks."""
+        unmatched = self.left + self.right - self.matched * 2
+
+        def size(many: Column) -> Column:
+            return F.floor(self.left * 4 / (many * 5)).cast("int")
+
+        def kind(length: Column, many: Column) -> Column:
+            return F.struct(length.cast("int").alias("size"), many.cast("int").alias("many"))
 
-    @property
-    def shared(self) -> Column:
-        return self.matched - self.runs * (self.q - 1)
-
-    def prefix(self, length: Column) -> Column:
-        """So many of the rarest grams of a text hold one of those that it shares."""
-        return length - self.q + 2 - self.shared
-
-
-#: Total lengths that share a key of the join.
-BAND = 4
+        loose, tight = F.floor(unmatched / 2) + 1, unmatched + 1
+        return F.when(size(loose) >= SHORTEST_LOOSE, kind(F.least(F.lit(LONGEST_CHUNK), size(loose)), loose)).when(
+            size(tight) >= 2, kind(size(tight), tight)).otherwise(kind(F.lit(1), self.left - self.matched + 1))
+
+    def near(self, shift: Column) -> Column:
+        """A match that stands so much further right in the right text is possible."""
+        return (shift <= self.right - self.matched) & (-shift <= self.left - self.matched)
+
+    def alike(self, left: str, right: str) -> Column:
+        """The outlines of two texts do not rule the pair out.
+
+        A text has no more characters that the other lacks than it leaves unmatched; an unmatched character
+        breaks two pairs of neighbours of its own text and one of the other.
+        """
+        def lacking(own: str, other: str, mask: str) -> Column:
+            return F.bit_count(F.col(f"{own}.{mask}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{mask}"))))
 
+        def one(own: str, other: str, free: Column, other_free: Column) -> Column:
+            return (lacking(own, other, "chars") <= free) & (
+                lacking(own, other, "pairs_a") + lacking(own, other, "pairs_b") <= free * 2 + other_free)
+
+        free = self.left - self.matched, self.right - self.matched
+        return one(left, right, *free) & one(right, left, *free[::-1])
+
+
+def chunk_kinds(left: DataFrame, right: DataFrame, min_score: float) -> DataFrame:
+    """(left_len, right_len, size, many) for the lengths that both sides have and that can reach the score."""
+    lengths = (side.select(F.length("text").alias(f"{name}_len")).distinct() for side, name in ((left, "left"), (right, "right")))
+    bound = Bound(F.col("left_len"), F.col("right_len"), min_score)
+    return next(lengths).crossJoin(F.broadcast(next(lengths))).where(bound.possible).select(
+        "left_len", "right_len", bound.chunks.alias("c")).select("left_len", "right_len", "c.*")
+
+
+@F.pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in ("chars", "pairs_a", "pairs_b")]))
+def outline(texts: pd.Series) -> pd.DataFrame:
+    """Bits for the characters, each with the number of its occurrence, and for the pairs of neighbours."""
+    def one(text: str) -> tuple[int, int, int]:
+        seen, chars, pairs, before = {}, 0, 0, None
+        for c in text:
+            seen[c] = nth = seen.get(c, 0) + 1
+            chars |= 1 << ((ord(c) * 0x9E3779B1 + nth * 0x85EBCA77) >> 16 & 63)
+            if before is not None:
+                pairs |= 1 << ((ord(before) * 0x9E3779B1 + ord(c) * 0xC2B2AE3D) >> 16 & 127)
+            before = c
+        return chars, pairs & (1 << 64) - 1, pairs >> 64
+
+    masks = np.array([one(t) for t in texts], dtype=np.uint64).reshape(-1, 3).view(np.int64)
+    return pd.DataFrame(masks, columns=["chars", "pairs_a", "pairs_b"])
+
+
+def rarest_chunks(counts: np.ndarray):
+    """UDF for the starts, from 1, of so many chunks of a text that do not overlap and have the least sum of counts."""
+    def one(text: str, size: int, many: int) -> list[int]:
+        # a chunk meets most texts by what it has without its first or last character, if that is allowed
+        gram = size - 1 if size >= SHORTEST_LOOSE else size
+        grams = [int(counts[zlib.crc32(text[i:i + gram].encode()) % BUCKETS]) for i in range(len(text) - gram + 1)]
+        weights = [sum(grams[i:i + size - gram + 1]) for i in range(len(text) - size + 1)]
+        # least sums of 0, 1, .. chunks that end at a place or before it
+        sums = [[0] * (len(text) + 1)]
+        for _ in range(many):
+            sums.append([math.inf] * size + list(accumulate((s + w for s, w in zip(sums[-1], weights)), min)))
+        out, end = [], len(text)
+        for level in reversed(sums[1:]):
+            end = level.index(level[end]) - size
+            out.append(end + 1)
+        return out
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def places(texts: pd.Series, sizes: pd.Series, many: pd.Series) -> pd.Series:
+        return pd.Series([one(t, s, m) for t, s, m in zip(texts, sizes, many)], dtype=object)
+
+    return places
+
+
+def starts(length: Column) -> Column:
+    """1 up to the length; nothing if it is less."""
+    return F.when(length >= 1, F.sequence(F.lit(1), length)).otherwise(F.array().cast("array<int>"))
+
+
+def gram_counts(texts: DataFrame, size: int) -> np.ndarray:
+    """How many grams of the least size that chunks meet by fall into each bucket; serves the choice of chunks only."""
+    least = size - 1 if size >= SHORTEST_LOOSE else size
+    placed = texts.select("text", F.explode(starts(F.length("text") - least + 1)).alias("at"))
+    hashed = placed.select((F.crc32(F.substr("text", F.col("at"), F.lit(least)).cast("binary")) % BUCKETS).alias("bucket"))
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    for bucket, n in hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[bucket] = n
+    return counts
+
+
+OUTLINE = ["id", "len", "chars", "pairs_a", "pairs_b"]
 
-def gram_kinds(own: DataFrame, other: DataFrame, min_score: float) -> DataFrame:
-    """(len, q, keep, bands): gram sizes that the lengths of the other side ask for, and how many of the rarest
-    grams each band of total lengths needs."""
-    pairs = own.select(F.length("text").alias("len")).distinct().crossJoin(
-        F.broadcast(other.select(F.length("text").alias("partner")).distinct()))
-    bound = Bound(F.col("len") + F.col("partner"), min_score)
-    return pairs.where(bound.matched <= F.least("len", "partner")).groupBy(
-        "len", bound.q.alias("q"), F.floor(bound.total / BAND).cast("int").alias("band")).agg(
-        F.max(bound.prefix(F.col("len"))).alias("keep")).groupBy("len", "q").agg(
-        F.max("keep").alias("keep"), F.collect_list(F.struct("band", "keep")).alias("bands"))
 
+def outlined(texts: DataFrame) -> DataFrame:
+    """Texts with their ``OUTLINE``. Texts of equal id are told apart in the end."""
+    return texts.withColumns({"id": F.xxhash64("text"), "len": F.length("text"), "_o": outline("text")}).select(
+        "*", "_o.*").drop("_o")
+
+
+def chunk_rows(texts: DataFrame, size: int, counts: np.ndarray) -> DataFrame:
+    """Keys of a text's rarest chunks: the chunk itself and, if it may hold an unmatched character, without each of its own."""
+    places = rarest_chunks(counts)("text", F.lit(size), "many")
+    placed = outlined(texts).withColumn("at", F.explode(as_made(places))).withColumn("chunk", F.substr("text", F.col("at"), F.lit(size)))
+    keys = [F.col("chunk")]
+    if size >= SHORTEST_LOOSE:
+        keys += [F.concat(F.substr("chunk", F.lit(1), F.lit(i)), F.substr("chunk", F.lit(i + 2))) for i in range(size)]
+    return placed.select(*OUTLINE, "at", F.explode(F.array(*[F.xxhash64(k) for k in keys])).alias("key"))
 
-def text_grams(texts: DataFrame, kinds: DataFrame) -> DataFrame:
-    """Grams of each size that some partner's length asks for, with their places."""
-    sized = texts.select("text", F.length("text").alias("len")).join(F.broadcast(kinds), "len")
-    return sized.select("*", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.col("len") - F.col("q") + 1), lambda i: F.substr("text", i, F.col("q")))).alias("at", "gram"))
 
-
-def rarest_grams(grams: DataFrame, frequency: DataFrame) -> DataFrame:
-    """(text, len, q, band, rank, gram, at) of the grams that a partner may meet, rarest first."""
-    ranked = grams.join(frequency, ["q", "gram"]).groupBy("text", "len", "q").agg(
-        F.first("bands").alias("bands"), F.array_sort(F.collect_list(F.struct("n", "gram", "at"))).alias("gs"))
-    return ranked.select("text", "len", "q", "gs", F.explode("bands").alias("b")).select(
-        "text", "len", "q", "b.band", F.posexplode(F.slice("gs", 1, F.greatest("b.keep", F.lit(0)))).alias("rank", "g")).select(
-        "text", "len", "q", "band", (F.col("rank") + 1).alias("rank"), "g.gram", "g.at")
+def gram_rows(texts: DataFrame, size: int) -> DataFrame:
+    """Keys that chunks of a similar text may have: grams of their size and, if chunks may hold an unmatched
+    character, shorter grams and longer ones without one of their inner characters."""
+    at = F.col("at")
+
+    def part(skip: int, length: int) -> Column:
+        return F.substr("text", at + skip, F.lit(length))
+
+    found = [(size, part(0, size))]
+    if size >= SHORTEST_LOOSE:
+        found += [(size - 1, part(0, size - 1))]
+        found += [(size + 1, F.concat(part(0, i), part(i + 1, size - i))) for i in range(1, size)]
+    placed = outlined(texts).withColumn("at", F.explode(starts(F.col("len") - min(n for n, _ in found) + 1)))
+    keys = [F.when(at + n <= F.col("len") + 1, F.xxhash64(gram)) for n, gram in found]
+    return placed.select(*OUTLINE, "at", F.explode(F.array(*keys)).alias("key")).where("key IS NOT NULL")
 
 
 def similar_texts(left: DataFrame, right: DataFrame, min_score: float) -> DataFrame:
     """(left_text, right_text) pairs that can reach the score; none that does is missing.
 
-    Pairs are judged where they meet, by the places of the gram and by an edit distance that no pair
-    at the score exceeds, so that only those that pass are moved.
+    Pairs are judged where they meet, by the places of the chunk and by the outlines of the texts, so that
+    only those that pass are moved. An edit distance that no pair at the score exceeds judges what is left.
     """
-    grams = [text_grams(own, gram_kinds(own, other, min_score)) for own, other in ((left, right), (right, left))]
-    frequency = grams[0].unionByName(grams[1]).groupBy("q", "gram").agg(F.count(F.lit(1)).alias("n"))
-    a, b = (rarest_grams(side, frequency).alias(name) for side, name in zip(grams, "ab"))
-    bound = Bound(F.col("a.len") + F.col("b.len"), min_score)
-    shift = F.col("a.at") - F.col("b.at")
-    met = a.join(b, (F.col("a.q") == F.col("b.q")) & (F.col("a.gram") == F.col("b.gram")) & (F.col("a.band") == F.col("b.band"))
-                 & (bound.matched <= F.least("a.len", "b.len")) & (F.col("a.q") == bound.q) & (F.col("a.band") == F.floor(bound.total / BAND))
-                 & (F.col("a.rank") <= bound.prefix(F.col("a.len"))) & (F.col("b.rank") <= bound.prefix(F.col("b.len")))
-                 & (shift <= F.col("a.len") - bound.matched) & (-shift <= F.col("b.len") - bound.matched))
-    near = F.levenshtein("a.text", "b.text") <= F.col("a.len") + F.col("b.len") - bound.matched * 2
-    return met.where(near).select(F.col("a.text").alias("left_text"), F.col("b.text").alias("right_text")).distinct()
+    kinds = cut_lineage(chunk_kinds(left, right, min_score))
+    bound = Bound(F.col("a.len"), F.col("b.len"), min_score)
+    pairs = None
+    for size in sorted(row["size"] for row in kinds.select("size").distinct().collect()):
+        own = kinds.where(F.col("size") == size)
+        lefts = left.join(F.broadcast(own.groupBy("left_len").agg(F.max("many").alias("many"))), F.length("text") == F.col("left_len"))
+        rights = right.join(F.broadcast(own.select("right_len").distinct()), F.length("text") == F.col("right_len"))
+        a, b = chunk_rows(lefts, size, gram_counts(rights, size)).alias("a"), gram_rows(rights, size).alias("b")
+        met = a.join(b, (F.col("a.key") == F.col("b.key")) & bound.possible & bound.near(F.col("b.at") - F.col("a.at")) & bound.alike("a", "b"))
+        found = met.select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
+        pairs = found if pairs is None else pairs.unionByName(found)
+    if pairs is None:
+        return left.select(F.col("text").alias("left_text"), F.col("text").alias("right_text")).where("false")
+    pairs = pairs.distinct()
+    for name, texts in (("left", left), ("right", right)):
+        pairs = pairs.join(texts.select(F.xxhash64("text").alias(f"{name}_id"), F.col("text").alias(f"{name}_text")), f"{name}_id")
+    whole = Bound(F.length("left_text"), F.length("right_text"), min_score)
+    near = F.levenshtein("left_text", "right_text") <= whole.left + whole.right - whole.matched * 2
+    return pairs.where(whole.possible & near).select("left_text", "right_text")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -166,7 +275,8 @@ def candidate_keys(left: DataFrame, right: DataFrame, min_score: float) -> DataF
     for variant in ("normalized", "token_sorted"):
         keys = {side: df.select(F.col("normalized").alias(f"{side}_key"), F.col(variant).alias(f"{side}_text")).distinct()
                 for side, df in (("left", left), ("right", right))}
-        texts = [keys[side].select(F.col(f"{side}_text").alias("text")).distinct() for side in keys]
+        texts = [dealt(cut_lineage(keys[side].select(F.col(f"{side}_text").alias("text")).where("text IS NOT NULL").distinct()))
+                 for side in keys]
         found = similar_texts(*texts, min_score).join(keys["left"], "left_text").join(keys["right"], "right_text").select(
             "left_key", "right_key")
         pairs = found if pairs is None else pairs.unionByName(found)

@@ -1,6 +1,8 @@
 import random
 from difflib import SequenceMatcher
 
+from pyspark.sql import functions as F
+
 from scholion.operators import pairing
 
 
@@ -68,3 +70,50 @@ def test_names_with_a_common_beginning_leave_few_candidates(spark):
     assert wanted <= found
     # the grams that all names share bring nobody together
     assert len(found) < 2 * len(wanted)
+
+
+def common_characters(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b):
+            before, row[j + 1] = row[j + 1], before + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]
+
+
+def test_chunks_bring_all_similar_texts_together(spark):
+    rng = random.Random(5)
+
+    def change(text):
+        for _ in range(rng.randint(0, 1 + len(text) // 6)):
+            at = rng.randrange(len(text) + 1)
+            text = text[:at] + rng.choice(["", rng.choice("abé ")]) + text[at + rng.randint(0, 1):]
+        return text
+
+    lefts = {"".join(rng.choices("abcé ", k=rng.choice([1, 2, 3, 4, 5, 7, 9, 14, 26, 60]))) for _ in range(70)}
+    lefts |= {"report of the year " + t for t in list(lefts)[:20]}
+    rights = {change(t) for t in sorted(lefts)} | {"".join(rng.choices("abc", k=rng.randint(1, 30))) for _ in range(30)}
+    sides = [spark.createDataFrame([(t,) for t in sorted(texts)], "text string") for texts in (lefts, rights)]
+    for least in (0.4, 0.85):
+        wanted = {(a, b) for a in lefts for b in rights if a and b and common_characters(a, b) * 2 >= least * (len(a) + len(b)) - 1e-9}
+        found = {(r.left_text, r.right_text) for r in pairing.similar_texts(*sides, least).collect()}
+        assert wanted <= found
+    # nothing on one side, nothing in common lengths
+    assert pairing.similar_texts(sides[0].where("false"), sides[1], 0.85).count() == 0
+
+
+def test_unlike_names_hardly_meet(spark):
+    codes = ["paper " + "".join(random.Random(i).choices("0123456789abcdef", k=20)) for i in range(1200)]
+    left, right = (spark.createDataFrame([(c,) for c in half], "text string") for half in (codes[:600], codes[600:]))
+    kinds = pairing.chunk_kinds(left, right, 0.85).collect()
+    assert [(k["size"], k["many"]) for k in kinds] == [(5, 4)]
+    chunks = pairing.chunk_rows(left.withColumn("many", F.lit(4)), 5, pairing.gram_counts(right, 5))
+    # chunks keep away from what all names begin with
+    assert chunks.agg(F.min("at")).first()[0] >= 4
+    assert chunks.select("id", "at").distinct().count() == 600 * 4
+    # of all pairs, before the places and the outlines are looked at
+    assert chunks.join(pairing.gram_rows(right, 5), "key").count() < 600 * 600 / 50
+    bound = pairing.Bound(F.length("a.text"), F.length("b.text"), 0.85)
+    pairs = pairing.outlined(left).alias("a").crossJoin(pairing.outlined(right).alias("b"))
+    assert pairs.where(bound.alike("a", "b")).count() < 600 * 600 / 100
